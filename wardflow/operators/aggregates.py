@@ -118,9 +118,11 @@ def unpivot(df: DataFrame, ids: list[str], columns: list[str], name: str, value:
     return df.unpivot(ids, columns, name, value).filter(F.col(value).isNotNull())
 
 
-def histogram(df: DataFrame, keys: list[str], column: str, low: float, high: float, n: int, bucket: str, **aggs: Column):
-    """Equal-width buckets 1..n; 0 below the range, n+1 from its end on."""
-    number = F.width_bucket(F.col(column).cast("double"), F.lit(float(low)), F.lit(float(high)), F.lit(n))
+def histogram(
+    df: DataFrame, keys: list[str], column: str, low: float, high: float, bars: int, bucket: str, **aggs: Column
+) -> DataFrame:
+    """Equal-width buckets 1..bars; 0 below the range, bars+1 from its end on."""
+    number = F.width_bucket(F.col(column).cast("double"), F.lit(float(low)), F.lit(float(high)), F.lit(bars))
     return df.withColumn(bucket, number.cast("int")).groupBy(*keys, bucket).agg(*[c.alias(a) for a, c in aggs.items()])
 
 
