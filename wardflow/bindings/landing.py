@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from wardflow.params import Params
 from wardflow.plans.catalog import build
+from wardflow.session import fresh_path
+from wardflow.sources.landing import read_landing
 
 AS_OF = datetime(2001, 8, 1, 12, 30)
 EVENTS_AS_OF = datetime(2024, 1, 29, 12, 30)
@@ -253,6 +255,7 @@ SOURCES = {
     "raw_lab_results": raw_lab_results,
     "raw_claims": raw_claims,
     "raw_facility_ops": raw_facility_ops,
+    "raw_facility_records": raw_facility_records,
     "facility_reference": facility_reference,
 }
 
@@ -261,8 +264,27 @@ _RECORD_MODELS = {
 }
 
 
+_WRITTEN: dict[tuple[str, str, str], str] = {}
+
+
+def landed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The landing table, derived and written to the shared folder once per session, then read.
+
+    A model reads its landing table several times; without the written table each time would join
+    and serialise the documents again.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _WRITTEN:
+        path = fresh_path(spark, name)
+        SOURCES[name](spark, sf_dir).write.parquet(path)
+        _WRITTEN[key] = path
+    if not name.startswith("raw_"):
+        return spark.read.parquet(_WRITTEN[key])
+    return read_landing(spark, _WRITTEN[key])
+
+
 class Landing(dict):
-    """Landing relations, each derived when first asked for."""
+    """Landing relations, each opened when first asked for."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, records: bool):
         super().__init__()
@@ -272,11 +294,11 @@ class Landing(dict):
         return name in SOURCES or super().__contains__(name)
 
     def __missing__(self, name):
-        source = SOURCES[name]
+        relation = landed(self.spark, self.sf_dir, name)
         if self.records and name == "raw_facility_ops":
-            source = lambda spark, sf: raw_facility_ops(spark, sf).unionByName(raw_facility_records(spark, sf))
-        self[name] = source(self.spark, self.sf_dir)
-        return self[name]
+            relation = relation.unionByName(landed(self.spark, self.sf_dir, "raw_facility_records"))
+        self[name] = relation
+        return relation
 
 
 def model(spark: SparkSession, sf_dir: str, name: str, params: Params = PARAMS) -> DataFrame:

@@ -24,11 +24,10 @@ def grouped(
     plain = [c.alias(n) for n, c in aggs.items()]
     if not percentiles:
         return df.groupBy(*keys).agg(*plain)
-    _, _, largest = group_sizes(df, keys)
-    if largest <= max_group_rows(df.sparkSession):
+    if group_sizes(df, keys).largest <= max_group_rows(df.sparkSession):
         exact = [F.percentile(c, F.lit(p)).alias(n) for n, (c, p) in percentiles.items()]
         return df.groupBy(*keys).agg(*plain, *exact)
-    out = df.groupBy(*keys).agg(*plain)
+    out = df.groupBy(*keys).agg(*plain) if plain else df.select(*keys).distinct()
     for column in dict.fromkeys(c for c, _ in percentiles.values()):
         counts = df.filter(F.col(column).isNotNull()).groupBy(*keys, column).agg(F.count(F.lit(1)).alias("__n"))
         wanted = {n: p for n, (c, p) in percentiles.items() if c == column}
@@ -141,13 +140,13 @@ def collect_parts(df: DataFrame, keys: list[str], order: list[str], item: Column
     A group within the limit has the one part 0. A longer list goes on in parts 1, 2, ...: nothing
     is left out and no task holds more than one part.
     """
-    _, _, largest = group_sizes(df, keys)
+    sizes = group_sizes(df, keys)
     sort = [c for o in order for c in (F.col(o).isNull(), F.col(o))]
     packed = df.select(*keys, *order, F.struct(*[c.alias(f"s{i}") for i, c in enumerate(sort)], item.alias("item")).alias("__e"))
-    if largest <= max_items:
+    if sizes.largest <= max_items:
         parted = packed.withColumn("list_part", F.lit(0))
     else:
-        numbered = ordered_window(packed, keys, [asc(o) for o in order], __rn=row_number())
+        numbered = ordered_window(packed, keys, [asc(o) for o in order], sizes, __rn=row_number())
         parted = numbered.withColumn("list_part", F.floor((F.col("__rn") - 1) / max_items).cast("int"))
     cells = parted.groupBy(*keys, "list_part").agg(F.array_sort(F.collect_list("__e")).alias("__l"))
     return cells.select(*keys, "list_part", F.col("__l")["item"].alias(name))

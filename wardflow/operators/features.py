@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from wardflow.functions import find_group, find_text, hash_bucket, lookup
 from wardflow.operators.aggregates import sorted_set
-from wardflow.operators.ordered import By, asc, desc, first_of, ordered_window, peer_ranks, total
+from wardflow.operators.ordered import By, asc, desc, first_of, group_sizes, ordered_window, peer_ranks, total
 from wardflow.operators.relational import latest_by, share_of_total
 
 
@@ -104,12 +104,13 @@ def rate_card(df: DataFrame, cards: dict[str, tuple[str, dict[str, str], str]],
 def unify_alerts(alerts: DataFrame, entity: str, priority: str, ts: str, message: str, tie_break: list[str]) -> DataFrame:
     """Alerts of one entity ranked by priority and recency, with their number and the worst one."""
     order = [asc(priority), desc(ts)]
+    sizes = group_sizes(alerts, [entity])
     whole = ordered_window(
-        alerts, [entity], [*order, *[asc(t) for t in tie_break]],
+        alerts, [entity], [*order, *[asc(t) for t in tie_break]], sizes,
         total_patient_alerts=total("count", F.lit(1)),
         most_critical_alert=first_of(F.col(message)),
     )
-    return peer_ranks(whole, [entity], order, alert_rank="dense_rank")
+    return peer_ranks(whole, [entity], order, sizes, alert_rank="dense_rank")
 
 
 def rule_points(value: Column, steps: list[tuple[int, int]], default: int) -> Column:

@@ -15,6 +15,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 from math import ceil
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,6 +24,10 @@ from pyspark.sql import types as T
 from wardflow.session import max_broadcast_rows, max_group_rows, shared_dir
 
 
+# Keeps the number of shuffle blocks and of hand-over rows bounded however large the input is.
+MAX_SHARDS = 20_000
+
+
 @dataclass(frozen=True)
 class By:
     """One sort column: ascending puts NULLs last, descending puts them first."""
@@ -97,21 +102,41 @@ def total(agg: str, value: Column) -> Calc:
     return Calc("total", value, agg=agg)
 
 
-def group_sizes(df: DataFrame, keys: list[str]) -> tuple[int, int, int]:
-    """(rows, groups, rows of the largest group); counts only, pre-aggregated before the shuffle."""
+class Sizes(NamedTuple):
+    """How a relation falls into groups."""
+
+    rows: int
+    groups: int
+    largest: int
+
+
+def group_sizes(df: DataFrame, keys: list[str]) -> Sizes:
+    """Counts only, pre-aggregated before the shuffle. Operators with the same keys can share the result."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     row = counts.agg(F.sum("n"), F.count(F.lit(1)), F.max("n")).first()
-    return int(row[0] or 0), int(row[1] or 0), int(row[2] or 0)
+    return Sizes(int(row[0] or 0), int(row[1] or 0), int(row[2] or 0))
+
+
+def sizes_within(df: DataFrame, keys: list[str]) -> Sizes | None:
+    """Sizes to share with operators whose keys contain `keys`, or None when a group is too large.
+
+    Finer groups are no larger than coarse ones, so one count can settle all of them.
+    """
+    sizes = group_sizes(df, keys)
+    return sizes if sizes.largest <= max_group_rows(df.sparkSession) else None
 
 
-def ordered_window(df: DataFrame, partition: list[str], order: list[By], **calcs: Calc) -> DataFrame:
+def ordered_window(
+    df: DataFrame, partition: list[str], order: list[By], sizes: Sizes | None = None, **calcs: Calc
+) -> DataFrame:
     """`df` with one column per entry of `calcs`."""
-    rows, _, largest = group_sizes(df, partition)
+    sizes = sizes or group_sizes(df, partition)
     limit = max_group_rows(df.sparkSession)
-    if largest <= limit:
+    if sizes.largest <= limit:
         return _plain(df, partition, order, calcs)
     workers = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return _sharded(df, partition, order, calcs, max(workers, ceil(2 * rows / limit)))
+    shards = max(workers, min(ceil(2 * sizes.rows / limit), MAX_SHARDS))
+    return _sharded(df, partition, order, calcs, shards)
 
 
 _AGGREGATES = {"sum": F.sum, "count": F.count, "avg": F.avg, "min": F.min, "max": F.max}
@@ -315,14 +340,16 @@ def tile(position: Column, size: Column, n: int) -> Column:
     )
 
 
-def peer_ranks(df: DataFrame, partition: list[str], order: list[By], **kinds: str) -> DataFrame:
+def peer_ranks(
+    df: DataFrame, partition: list[str], order: list[By], sizes: Sizes | None = None, **kinds: str
+) -> DataFrame:
     """rank, dense_rank, percent_rank or cume_dist: rows with equal sort columns share the value.
 
     `kinds` maps output column to function name. Large groups are first counted down to one row
     per distinct sort value, those few rows are ranked, and the ranks are joined back.
     """
-    _, _, largest = group_sizes(df, partition)
-    if largest <= max_group_rows(df.sparkSession):
+    sizes = sizes or group_sizes(df, partition)
+    if sizes.largest <= max_group_rows(df.sparkSession):
         w = Window.partitionBy(*partition).orderBy(*[by.column for by in order])
         return df.withColumns({name: getattr(F, kind)().over(w) for name, kind in kinds.items()})
     keys = [*partition, *[by.name for by in order]]
@@ -340,51 +367,55 @@ def peer_ranks(df: DataFrame, partition: list[str], order: list[By], **kinds: st
         "percent_rank": F.when(F.col("__size") > 1, (position - 1) / (F.col("__size") - 1)).otherwise(F.lit(0.0)),
         "cume_dist": F.col("__upto") / F.col("__size"),
     }
-    ranks = ranked.select(*keys, "__peers", *[formulas[kind].alias(name) for name, kind in kinds.items()])
-    return join_facts(df, ranks, keys, "__peers").select(*df.columns, *kinds)
+    ranks = ranked.select(*keys, *[formulas[kind].alias(name) for name, kind in kinds.items()])
+    return join_facts(df, ranks, keys, own_keys=True).select(*df.columns, *kinds)
 
 
-def group_totals(df: DataFrame, keys: list[str], **aggs: Column) -> DataFrame:
-    """Every row with aggregates over its whole group; pre-aggregated, then joined back."""
-    facts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__peers"), *[c.alias(n) for n, c in aggs.items()])
-    return join_facts(df, facts, keys, "__peers").select(*df.columns, *aggs)
+def group_totals(df: DataFrame, keys: list[str], sizes: Sizes | None = None, **aggs: Column) -> DataFrame:
+    """Every row with aggregates over its whole group.
 
+    Few groups: aggregated and broadcast back, the rows are not shuffled. Many small groups: one
+    window. Large groups: aggregated and joined back with their rows spread over tasks.
+    """
+    sizes = sizes or group_sizes(df, keys)
+    spark = df.sparkSession
+    if sizes.groups > max_broadcast_rows(spark) and sizes.largest <= max_group_rows(spark):
+        w = Window.partitionBy(*keys)
+        return df.withColumns({name: agg.over(w) for name, agg in aggs.items()})
+    facts = df.groupBy(*keys).agg(*[c.alias(n) for n, c in aggs.items()])
+    return join_facts(df, facts, keys, sizes, own_keys=True).select(*df.columns, *aggs)
 
-def join_facts(df: DataFrame, facts: DataFrame, keys: list[str], size_column: str | None = None) -> DataFrame:
-    """Join `facts`, one row per key, to all rows of that key, NULL keys included.
 
-    `size_column` holds the number of rows each key has in `df`; without it they are counted here.
-    `facts` is broadcast while its counted rows stay under `wardflow.maxBroadcastRows`. Beyond that
-    the join shuffles, and keys that hold more than their share of the rows are spread by a salt.
-    Such keys number fewer than 1000, because each holds over a thousandth of all rows.
+def join_facts(
+    df: DataFrame, facts: DataFrame, keys: list[str], sizes: Sizes | None = None, own_keys: bool = False
+) -> DataFrame:
+    """Left join of `facts`, one row per key, to all rows of that key, NULL keys included.
+
+    `own_keys` says that `facts` holds no other keys than `df`; it is then broadcast while the
+    counted keys stay under `wardflow.maxBroadcastRows`. Otherwise the join is left to the planner,
+    and keys with more rows in `df` than one task should hold are spread by a salt. Fewer than
+    `wardflow.maxBroadcastRows` such keys exist, because each holds more than that part of all rows.
     """
     spark = df.sparkSession
-    if size_column is None:
-        size_column = "__peers"
-        sizes = df.groupBy(*[F.col(k).alias(f"__s_{k}") for k in keys]).agg(F.count(F.lit(1)).alias(size_column))
-        facts = facts.join(sizes, null_safe(facts, sizes, [(k, f"__s_{k}") for k in keys])).drop(
-            *[f"__s_{k}" for k in keys]
-        )
-    size = facts.agg(F.count(F.lit(1)), F.sum(size_column), F.max(size_column)).first()
-    groups, rows, largest = int(size[0]), int(size[1] or 0), int(size[2] or 0)
+    sizes = sizes or group_sizes(df, keys)
     renamed = facts.select(*[F.col(k).alias(f"__k_{k}") for k in keys], *[c for c in facts.columns if c not in keys])
     pairs = [(k, f"__k_{k}") for k in keys]
-    if groups <= max_broadcast_rows(spark):
+    if own_keys and sizes.groups <= max_broadcast_rows(spark):
         return df.join(F.broadcast(renamed), null_safe(df, renamed, pairs), "left")
-    limit = max(max_group_rows(spark), rows // 1000)
-    if largest <= limit:
+    limit = max(max_group_rows(spark), sizes.rows // max(max_broadcast_rows(spark), 1))
+    if sizes.largest <= limit:
         return df.join(renamed, null_safe(df, renamed, pairs), "left")
-    salts = ceil(largest / limit) * 4
-    hot = renamed.filter(F.col(size_column) > limit).select(
-        *[F.col(f"__k_{k}").alias(f"__h_{k}") for k in keys], F.lit(salts).alias("__salts")
-    )
-    marked = df.join(F.broadcast(hot), null_safe(df, hot, [(k, f"__h_{k}") for k in keys]), "left")
-    salted = marked.withColumn(
-        "__salt",
-        F.when(F.col("__salts").isNotNull(), F.pmod(F.xxhash64(*df.columns), F.lit(salts)))
-        .otherwise(F.lit(0))
-        .cast("int"),
-    )
-    copies = F.when(F.col(size_column) > limit, F.lit(salts - 1)).otherwise(F.lit(0))
-    spread = renamed.withColumn("__k_salt", F.explode(F.sequence(F.lit(0), copies)))
-    return salted.join(spread, null_safe(salted, spread, [*pairs, ("__salt", "__k_salt")]), "left")
+    salts = ceil(sizes.largest / limit) * 4
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > limit)
+    hot = counts.select(*[F.col(k).alias(f"__h_{k}") for k in keys], F.lit(salts).alias("__salts"))
+
+    def marked(side: DataFrame, columns: list[str]) -> DataFrame:
+        same = null_safe(side, hot, [(c, f"__h_{k}") for c, k in zip(columns, keys, strict=True)])
+        return side.join(F.broadcast(hot), same, "left").drop(*[f"__h_{k}" for k in keys])
+
+    left = marked(df, keys)
+    spread = F.pmod(F.xxhash64(*df.columns), F.col("__salts")).cast("int")
+    left = left.withColumn("__salt", F.coalesce(spread, F.lit(0))).drop("__salts")
+    copies = F.sequence(F.lit(0), F.coalesce(F.col("__salts"), F.lit(1)) - 1)
+    right = marked(renamed, [f"__k_{k}" for k in keys]).withColumn("__k_salt", F.explode(copies)).drop("__salts")
+    return left.join(right, null_safe(left, right, [*pairs, ("__salt", "__k_salt")]), "left")

@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardflow.operators.aggregates import collect_parts
-from wardflow.operators.ordered import asc, group_totals, join_facts, ordered_window, running
+from wardflow.operators.ordered import asc, group_sizes, group_totals, ordered_window, running
 from wardflow.operators.relational import share_of_total
+from wardflow.session import shared_dir
 
 BLOCK_ITEMS = 1000
 
@@ -21,10 +22,18 @@ def cooccurrence_pairs(
     dropped before pairing. The items of a large entity are cut into blocks of about 1000, so its
     pairs are made by many tasks.
     """
-    things = df.select(entity, item, label).distinct().filter(F.col(item).isNotNull() & F.col(entity).isNotNull())
-    support = things.groupBy(item, label).agg(F.count(F.lit(1)).alias("__support"))
-    frequent = join_facts(things, support, [item, label], "__support").filter(F.col("__support") >= min_support)
-    sized = group_totals(frequent.select(entity, item, label), [entity], __items=F.count(F.lit(1)))
+    shared_dir(df.sparkSession)
+    # Everything below works on these few columns; the checkpoint keeps their source from being read again.
+    things = (
+        df.select(entity, item, label)
+        .filter(F.col(item).isNotNull() & F.col(entity).isNotNull())
+        .distinct()
+        .checkpoint()
+    )
+    by_item = group_sizes(things, [item, label])
+    support = group_totals(things, [item, label], by_item, __support=F.count(F.lit(1)))
+    frequent = support.filter(F.col("__support") >= min_support).drop("__support")
+    sized = group_totals(frequent, [entity], __items=F.count(F.lit(1)))
     blocks = F.ceil(F.col("__items") / BLOCK_ITEMS).cast("int")
     left = sized.select(
         F.col(entity).alias("__e"), F.col(item).alias("item_1"), F.col(label).alias("label_1"),
@@ -37,12 +46,18 @@ def cooccurrence_pairs(
     same = (F.col("__e") == F.col(entity)) & (F.col("__b") == F.col("__block"))
     pairs = left.join(right, same & (F.col("item_1") < F.col("item_2")))
     keys = ["item_1", "item_2", "label_1", "label_2"]
-    counted = pairs.groupBy(*keys).agg(F.count_distinct(entity).alias("support")).filter(F.col("support") >= min_support)
-    shared = share_of_total(counted, prevalence="support")
-    members = pairs.select(*keys, entity).distinct()
-    lists = collect_parts(members, keys, [entity], F.col(entity), "entities", max_items)
-    same_pair = [shared[k].eqNullSafe(lists[k]) for k in keys]
-    joined = shared.join(lists, same_pair, "inner").select(shared["*"], lists["list_part"], lists["entities"])
+    support = F.count(F.lit(1)).alias("support")
+    if by_item.largest <= max_items:
+        # No pair has more entities than its rarer item, so every list fits one cell.
+        counted = pairs.groupBy(*keys).agg(support, F.array_sort(F.collect_list(entity)).alias("entities"))
+        kept = counted.filter(F.col("support") >= min_support).withColumn("list_part", F.lit(0))
+        joined = share_of_total(kept.checkpoint(), prevalence="support")
+    else:
+        counted = pairs.groupBy(*keys).agg(support).filter(F.col("support") >= min_support)
+        shared = share_of_total(counted.checkpoint(), prevalence="support")
+        lists = collect_parts(pairs.select(*keys, entity), keys, [entity], F.col(entity), "entities", max_items)
+        same_pair = [shared[k].eqNullSafe(lists[k]) for k in keys]
+        joined = shared.join(lists, same_pair, "inner").select(shared["*"], lists["list_part"], lists["entities"])
     return joined.withColumn("pair_hash", F.xxhash64("item_1", "item_2"))
 
 

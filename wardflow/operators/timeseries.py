@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from wardflow.functions import boundary_diff, div0null, floor_day, floor_hour, iff, zero_if_null
 from wardflow.operators.ordered import (
     By,
+    Sizes,
     asc,
     desc,
     group_sizes,
@@ -99,38 +100,39 @@ def rolling_daily(events: DataFrame, entity: str, ts: str, critical: Column, val
         F.avg(value).alias("avg_resolution"),
     )
     n = F.col("daily_event_count")
+    sizes = group_sizes(daily, [entity])
     rolled = ordered_window(
-        daily, [entity], [asc("event_date")],
+        daily, [entity], [asc("event_date")], sizes,
         rolling_7d_avg_events=moving("avg", n, 6),
         rolling_30d_critical_sum=moving("sum", F.col("daily_critical"), 29),
         __week_ago=lag(n, 7),
         cumulative_events=running("sum", n),
     )
-    ranked = peer_ranks(rolled, [entity], [desc("daily_event_count")], busiest_day_rank="rank")
+    ranked = peer_ranks(rolled, [entity], [desc("daily_event_count")], sizes, busiest_day_rank="rank")
     return ranked.withColumn("week_over_week_change", n - F.col("__week_ago")).drop("__week_ago")
 
 
 def count_within(
-    df: DataFrame, keys: list[str], ts: str, seconds: int, condition: Column, name: str
+    df: DataFrame, keys: list[str], ts: str, seconds: int, condition: Column, name: str, sizes: Sizes | None = None
 ) -> DataFrame:
     """Rows of the group that meet `condition` within `seconds` up to each row's time, ties included.
 
     Large groups use running counts over distinct times: the count at a moment minus the count just
     before the start of its range.
     """
-    _, _, largest = group_sizes(df, keys)
-    if largest <= max_group_rows(df.sparkSession):
+    sizes = sizes or group_sizes(df, keys)
+    if sizes.largest <= max_group_rows(df.sparkSession):
         by = ", ".join(f"`{k}`" for k in keys)
         frame = f"RANGE BETWEEN INTERVAL '{seconds}' SECOND PRECEDING AND CURRENT ROW"
         marked = df.withColumn("__hit", condition)
         counted = f"count_if(__hit) OVER (PARTITION BY {by} ORDER BY `{ts}` ASC NULLS LAST {frame})"
         return marked.withColumn(name, F.expr(counted)).drop("__hit")
-    times = df.groupBy(*keys, ts).agg(F.count_if(condition).alias("__n"), F.count(F.lit(1)).alias("__peers"))
+    times = df.groupBy(*keys, ts).agg(F.count_if(condition).alias("__n"))
     width = F.make_dt_interval(secs=F.lit(seconds))
-    ends = times.select(*keys, ts, F.col(ts).alias("__at"), F.lit(1).alias("__end"), "__n", "__peers")
+    ends = times.select(*keys, ts, F.col(ts).alias("__at"), F.lit(1).alias("__end"), "__n")
     starts = times.select(
         *keys, ts, (F.col(ts) - width).alias("__at"), F.lit(0).alias("__end"),
-        F.lit(0).cast("bigint").alias("__n"), F.lit(0).cast("bigint").alias("__peers"),
+        F.lit(0).cast("bigint").alias("__n"),
     )
     order = [asc("__at"), asc("__end"), asc(ts)]
     summed = ordered_window(ends.unionByName(starts), keys, order, __run=running("sum", F.col("__n")))
@@ -141,9 +143,8 @@ def count_within(
             F.max(F.when(F.col("__end") == 1, F.col("__run"))) - F.max(F.when(F.col("__end") == 0, F.col("__run")))
         )
         .alias(name),
-        F.sum("__peers").alias("__peers"),
     )
-    return join_facts(df, per_time, [*keys, ts], "__peers").select(*df.columns, name)
+    return join_facts(df, per_time, [*keys, ts], own_keys=True).select(*df.columns, name)
 
 
 def return_intervals(df: DataFrame, entity: str, start: str, end: str, tie_break: str, carried: dict[str, str]) -> DataFrame:

@@ -15,7 +15,7 @@ from wardflow.operators.aggregates import (
     unpivot,
 )
 from wardflow.operators.features import buckets, count_flags, encode_flags, has_flag, hash_dedup, note_features
-from wardflow.operators.ordered import asc, desc, group_totals, moving, ntile, ordered_window, peer_ranks
+from wardflow.operators.ordered import asc, desc, group_sizes, group_totals, moving, ntile, ordered_window, peer_ranks
 from wardflow.operators.relational import top_k_per_group
 from wardflow.operators.semi import build_document, completeness, flatten_product, is_array
 from wardflow.params import Params
@@ -145,8 +145,9 @@ def adv_dynamic_pivot(stg_patients: DataFrame, params: Params) -> DataFrame:
         .groupBy("facility_id", floor_month(F.col("admit_date")).alias("month"))
         .agg(F.count(F.lit(1)).alias("admissions"), F.avg("length_of_stay").alias("avg_los"))
     )
-    ranked = peer_ranks(monthly, ["facility_id"], [desc("admissions")], busiest_month_rank="rank")
-    ranked = peer_ranks(ranked, ["facility_id"], [desc("avg_los")], highest_los_rank="rank")
+    sizes = group_sizes(monthly, ["facility_id"])
+    ranked = peer_ranks(monthly, ["facility_id"], [desc("admissions")], sizes, busiest_month_rank="rank")
+    ranked = peer_ranks(ranked, ["facility_id"], [desc("avg_los")], sizes, highest_los_rank="rank")
     names = {i: f"rank_{i}_admissions" for i in (1, 2, 3)}
     keys = ["facility_id", "month", "avg_los", "highest_los_rank"]
     return pivot_sum(ranked, keys, "busiest_month_rank", names, F.col("admissions"))
@@ -317,9 +318,10 @@ def metric_profile(df: DataFrame, key: str, metrics: list[str], ties: list[str])
     """Metrics in long form with percentile, decile, mean and deviation within each metric."""
     long = unpivot(df, [key, *ties], metrics, "metric_name", "metric_value")
     order = [asc("metric_value"), asc(key), *[asc(t) for t in ties]]
-    tiled = ordered_window(long, ["metric_name"], order, decile=ntile(10))
-    ranked = peer_ranks(tiled, ["metric_name"], [asc("metric_value")], percentile_rank="percent_rank")
-    means = group_totals(ranked, ["metric_name"], population_avg=F.avg("metric_value"))
+    sizes = group_sizes(long, ["metric_name"])
+    tiled = ordered_window(long, ["metric_name"], order, sizes, decile=ntile(10))
+    ranked = peer_ranks(tiled, ["metric_name"], [asc("metric_value")], sizes, percentile_rank="percent_rank")
+    means = group_totals(ranked, ["metric_name"], sizes, population_avg=F.avg("metric_value"))
     return means.select(
         key, "metric_name", "metric_value", "percentile_rank", "decile", "population_avg",
         (F.col("metric_value") - F.col("population_avg")).alias("deviation_from_avg"),

@@ -21,9 +21,11 @@ from wardflow.functions import (
 from wardflow.operators.aggregates import collect_parts, grouped, grouping_sets, histogram, joined_set, sorted_set
 from wardflow.operators.features import rate_card, rule_points, unify_alerts, watchlist_overlap
 from wardflow.operators.ordered import (
+    Sizes,
     asc,
     desc,
     first_of,
+    group_sizes,
     group_totals,
     lag,
     last_before,
@@ -33,6 +35,7 @@ from wardflow.operators.ordered import (
     peer_ranks,
     row_number,
     running,
+    sizes_within,
     total,
 )
 from wardflow.operators.pairs import cooccurrence_pairs, pair_rule_counts
@@ -77,8 +80,9 @@ def int_acuity_scoring(stg_patients: DataFrame, params: Params) -> DataFrame:
         "length_of_stay", points.alias("acuity_score"), "_ingested_at",
     )
     order = [desc("acuity_score"), asc("patient_id"), asc("_ingested_at")]
-    tiled = ordered_window(scored, [], order, acuity_quintile=ntile(5))
-    ranked = peer_ranks(tiled, [], [desc("acuity_score")], acuity_percentile="percent_rank")
+    sizes = group_sizes(scored, [])
+    tiled = ordered_window(scored, [], order, sizes, acuity_quintile=ntile(5))
+    ranked = peer_ranks(tiled, [], [desc("acuity_score")], sizes, acuity_percentile="percent_rank")
     labels = {1: "CRITICAL", 2: "HIGH", 3: "MODERATE", 4: "LOW"}
     named = ranked.withColumn("acuity_category", lookup(F.col("acuity_quintile"), labels, "MINIMAL"))
     return latest_by(named, ["patient_id"], [desc("acuity_score"), asc("_ingested_at")]).drop("_ingested_at")
@@ -95,8 +99,9 @@ def int_claims_revenue(stg_claims: DataFrame, params: Params) -> DataFrame:
         "total_paid", "total_denied", "outstanding_amount", "payment_ratio", "days_to_submit", "days_to_payment",
         "is_denied", "service_date",
     ).filter(F.col("payer_name").isNotNull())
+    sizes = group_sizes(base, ["payer_name"])
     totals = group_totals(
-        base, ["payer_name"],
+        base, ["payer_name"], sizes,
         payer_claim_volume=F.count(F.lit(1)),
         payer_avg_ratio=F.avg("payment_ratio"),
         payer_denied_count=F.count_if("is_denied"),
@@ -104,9 +109,9 @@ def int_claims_revenue(stg_claims: DataFrame, params: Params) -> DataFrame:
         payer_avg_charge=F.avg("total_charges"),
         payer_stddev_charge=F.stddev_samp("total_charges"),
     )
-    ranked = peer_ranks(totals, ["payer_name"], [desc("total_charges")], charge_rank_in_payer="rank")
+    ranked = peer_ranks(totals, ["payer_name"], [desc("total_charges")], sizes, charge_rank_in_payer="rank")
     summed = ordered_window(
-        ranked, ["payer_name"], [asc("service_date"), asc("claim_id")],
+        ranked, ["payer_name"], [asc("service_date"), asc("claim_id")], sizes,
         running_paid_by_payer=running("sum", F.col("total_paid")),
     )
     limit = F.col("payer_avg_charge") + F.coalesce("payer_stddev_charge", F.lit(0.0)) * 2
@@ -221,8 +226,10 @@ def int_discharge_planning(stg_encounters: DataFrame, params: Params) -> DataFra
         "patient_id", "encounter_id", "encounter_type", "admit_datetime", "discharge_datetime",
         stay.alias("length_of_stay_days"), "discharge_disposition",
     )
-    typed = group_totals(base, ["encounter_type"], type_avg_los=F.avg("length_of_stay_days"))
-    tiled = ordered_window(typed, [], [desc("length_of_stay_days"), asc("encounter_id")], los_quartile=ntile(4))
+    sizes = group_sizes(base, ["encounter_type"])
+    everything = Sizes(sizes.rows, 1, sizes.rows)
+    typed = group_totals(base, ["encounter_type"], sizes, type_avg_los=F.avg("length_of_stay_days"))
+    tiled = ordered_window(typed, [], [desc("length_of_stay_days"), asc("encounter_id")], everything, los_quartile=ntile(4))
     visits = ordered_window(
         tiled, ["patient_id"], [asc("admit_datetime"), asc("encounter_id")],
         __prev=lag(F.col("discharge_datetime")),
@@ -300,17 +307,18 @@ def int_event_response_analysis(stg_facility_events: DataFrame, params: Params)
         "room_number", "patient_id", "staff_id",
     )
     order = [asc(at), asc(key)]
+    sizes = sizes_within(events, ["facility_id"])
     floor = ordered_window(
-        events, ["facility_id", "wing", "floor_number"], order,
+        events, ["facility_id", "wing", "floor_number"], order, sizes,
         __prev=lag(F.col(at)), first_responder=first_of(F.col("staff_id")),
     )
     wing = ordered_window(
-        floor, ["facility_id", "wing"], order,
+        floor, ["facility_id", "wing"], order, sizes,
         last_resolved_event_id=last_before(F.when(F.col("is_resolved"), F.col(key))),
     )
-    hour = count_within(wing, ["facility_id"], at, 3600, ~F.col("is_resolved"), "unresolved_last_hour")
+    hour = count_within(wing, ["facility_id"], at, 3600, ~F.col("is_resolved"), "unresolved_last_hour", sizes)
     typed = ordered_window(
-        hour, ["facility_id", "event_type"], order,
+        hour, ["facility_id", "event_type"], order, sizes,
         avg_response_last_5=moving("avg", F.col("resolution_minutes"), 5),
     )
     measured = typed.select(
@@ -537,10 +545,11 @@ def int_patient_risk_score(stg_patients: DataFrame, params: Params) -> DataFrame
         "_ingested_at",
     )
     ties = [asc("patient_id"), asc("_ingested_at")]
-    tiled = ordered_window(base, [], [asc("__load"), *ties], risk_quartile=ntile(4))
-    ranked = ordered_window(tiled, [], [desc("__rank_load"), *ties], risk_rank=row_number())
-    spread = peer_ranks(ranked, [], [asc("length_of_stay")], los_percentile="percent_rank")
-    spread = peer_ranks(spread, [], [asc("diagnosis_count")], dx_cumulative_dist="cume_dist")
+    sizes = group_sizes(base, [])
+    tiled = ordered_window(base, [], [asc("__load"), *ties], sizes, risk_quartile=ntile(4))
+    ranked = ordered_window(tiled, [], [desc("__rank_load"), *ties], sizes, risk_rank=row_number())
+    spread = peer_ranks(ranked, [], [asc("length_of_stay")], sizes, los_percentile="percent_rank")
+    spread = peer_ranks(spread, [], [asc("diagnosis_count")], sizes, dx_cumulative_dist="cume_dist")
     return spread.select(
         "patient_id", "age", "diagnosis_count", "medication_count", "length_of_stay", "raw_risk_score",
         "risk_quartile", "los_percentile", "dx_cumulative_dist", "risk_rank",
@@ -579,8 +588,9 @@ def int_payer_performance(stg_claims: DataFrame, params: Params) -> DataFrame:
             "outlier_high_threshold": high,
         }
     )
-    ranked = peer_ranks(rated, [], [desc("sum_charges")], charge_rank="rank")
-    ranked = peer_ranks(ranked, [], [asc("denial_rate")], denial_rank="rank")
+    sizes = group_sizes(rated, [])
+    ranked = peer_ranks(rated, [], [desc("sum_charges")], sizes, charge_rank="rank")
+    ranked = peer_ranks(ranked, [], [asc("denial_rate")], sizes, denial_rank="rank")
     rate = F.col("denial_rate")
     return ranked.withColumn(
         "payer_grade", band([(rate > 0.20, "Poor"), (rate > 0.10, "Below Average"), (rate > 0.05, "Average")], "Excellent")
