@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from wardflow.operators.ordered import asc, group_sizes, ordered_window, row_number, running, total
 from wardflow.operators.relational import left_null_safe
-from wardflow.session import max_group_rows
+from wardflow.session import max_group_rows, settle
 
 
 def grouped(
@@ -70,8 +70,17 @@ def grouping_sets(
     """Several levels of totals in one result, with `is_total_<column>` flags and `level` (grouping id).
 
     Measures are ("count", None), ("sum", c), ("avg", c) or ("count_if", predicate). Rows are first
-    aggregated once to the finest level; only that small result is multiplied by the sets.
+    aggregated once to the finest level; only that small result is multiplied by the sets. So are
+    the value counts that percentiles of large inputs are read from.
     """
+    percentiles = percentiles or {}
+    flags = [F.grouping(c).cast("int").alias(f"is_total_{c}") for c in columns]
+    level = F.grouping_id(*columns).alias("level")
+    levels = [list(s) for s in sets]
+    if percentiles and df.count() <= max_group_rows(df.sparkSession):
+        plain = [_measure(kind, column).alias(name) for name, (kind, column) in measures.items()]
+        exact = [F.percentile(c, F.lit(p)).alias(n) for n, (c, p) in percentiles.items()]
+        return df.groupingSets(levels, *columns).agg(*plain, *exact, *flags, level)
     partial, final = [], []
     for name, (kind, column) in measures.items():
         if kind == "count":
@@ -87,23 +96,34 @@ def grouping_sets(
                 final.append(F.try_divide(F.sum(f"__s_{name}"), F.sum(f"__c_{name}").cast("double")).alias(name))
             else:
                 final.append(F.sum(f"__s_{name}").alias(name))
-    flags = [F.grouping(c).cast("int").alias(f"is_total_{c}") for c in columns]
-    level = F.grouping_id(*columns).alias("level")
     finest = df.groupBy(*columns).agg(*partial)
-    out = finest.groupingSets([list(s) for s in sets], *columns).agg(*final, *flags, level)
-    for column in dict.fromkeys(c for c, _ in (percentiles or {}).values()):
-        counts = df.filter(F.col(column).isNotNull()).groupBy(*columns, column).agg(F.count(F.lit(1)).alias("__n"))
-        counts = counts.groupingSets([[*s, column] for s in sets], *columns, column).agg(
-            F.sum("__n").alias("__n"), F.grouping_id(*columns, column).alias("__id")
-        )
-        counts = counts.withColumn("level", F.shiftright("__id", 1)).drop("__id")
+    out = finest.groupingSets(levels, *columns).agg(*final, *flags, level)
+    if not percentiles:
+        return out
+    names = list(dict.fromkeys(c for c, _ in percentiles.values()))
+    # All values in one column, so that the input is read once more and not once per column.
+    pairs = F.array(*[F.struct(F.lit(c).alias("__c"), F.col(c).cast("double").alias("__v")) for c in names])
+    values = df.select(*columns, F.explode(pairs).alias("p")).select(*columns, "p.*").filter(F.col("__v").isNotNull())
+    counts = settle(values.groupBy(*columns, "__c", "__v").agg(F.count(F.lit(1)).alias("__n")))
+    counts = counts.groupingSets([[*s, "__c", "__v"] for s in levels], *columns, "__c", "__v").agg(
+        F.sum("__n").alias("__n"), F.grouping_id(*columns, "__c", "__v").alias("__id")
+    )
+    counts = counts.withColumn("level", F.shiftright("__id", 2)).drop("__id")
+    for column in names:
         wanted = {n: p for n, (c, p) in percentiles.items() if c == column}
+        mine = counts.filter(F.col("__c") == column).drop("__c")
         out = left_null_safe(
-            out, percentiles_from_counts(counts, [*columns, "level"], column, wanted), [*columns, "level"]
+            out, percentiles_from_counts(mine, [*columns, "level"], "__v", wanted), [*columns, "level"]
         )
     return out
 
 
+def _measure(kind: str, column: Column | None) -> Column:
+    if kind == "count":
+        return F.count(F.lit(1))
+    return {"sum": F.sum, "avg": F.avg, "count_if": F.count_if}[kind](column)
+
+
 def pivot_sum(df: DataFrame, keys: list[str], column: str, names: dict[str, str], value: Column) -> DataFrame:
     """Literal values of `column` become output columns; NULL where a group has no such row.
 

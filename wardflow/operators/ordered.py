@@ -2,7 +2,7 @@
 
 A plain window puts each group into one task. `ordered_window` looks at the largest group first.
 Up to `wardflow.maxGroupRows` rows the plain window is planned. Beyond it the rows are range
-partitioned by (partition, order) into shards of equal size, written to the checkpoint folder, and
+partitioned by (partition, order) into shards of equal size, written to the shared folder, and
 each function is computed per shard and completed with what the earlier (or later) shards of the
 same group hand over. Fewer than two hand-over rows per shard exist for groups that span shards,
 so that table is broadcast whatever the data size. Both ways give the same rows.
@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wardflow.session import max_broadcast_rows, max_group_rows, shared_dir
+from wardflow.session import max_broadcast_rows, max_group_rows, settle
 
 
 # Keeps the number of shuffle blocks and of hand-over rows bounded however large the input is.
@@ -176,13 +176,12 @@ def null_safe(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -
 def _sharded(
     df: DataFrame, partition: list[str], order: list[By], calcs: dict[str, Calc], shards: int
 ) -> DataFrame:
-    shared_dir(df.sparkSession)
     values = {f"__v_{name}": c.value for name, c in calcs.items() if c.value is not None}
-    placed = (
+    # Written out, because partition numbers must not change between the two uses below.
+    placed = settle(
         df.withColumns(values)
         .repartitionByRange(shards, *[F.col(p) for p in partition], *[by.column for by in order])
         .withColumn("__shard", F.spark_partition_id())
-        .checkpoint()
     )
     here = Window.partitionBy(*partition, "__shard")
     local = here.orderBy(*[by.column for by in order])

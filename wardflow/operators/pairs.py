@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from wardflow.operators.aggregates import collect_parts
 from wardflow.operators.ordered import asc, group_sizes, group_totals, ordered_window, running
 from wardflow.operators.relational import share_of_total
-from wardflow.session import shared_dir
+from wardflow.session import settle
 
 BLOCK_ITEMS = 1000
 
@@ -22,14 +22,8 @@ def cooccurrence_pairs(
     dropped before pairing. The items of a large entity are cut into blocks of about 1000, so its
     pairs are made by many tasks.
     """
-    shared_dir(df.sparkSession)
-    # Everything below works on these few columns; the checkpoint keeps their source from being read again.
-    things = (
-        df.select(entity, item, label)
-        .filter(F.col(item).isNotNull() & F.col(entity).isNotNull())
-        .distinct()
-        .checkpoint()
-    )
+    known = F.col(item).isNotNull() & F.col(entity).isNotNull()
+    things = settle(df.select(entity, item, label).filter(known).distinct())
     by_item = group_sizes(things, [item, label])
     support = group_totals(things, [item, label], by_item, __support=F.count(F.lit(1)))
     frequent = support.filter(F.col("__support") >= min_support).drop("__support")
@@ -51,10 +45,10 @@ def cooccurrence_pairs(
         # No pair has more entities than its rarer item, so every list fits one cell.
         counted = pairs.groupBy(*keys).agg(support, F.array_sort(F.collect_list(entity)).alias("entities"))
         kept = counted.filter(F.col("support") >= min_support).withColumn("list_part", F.lit(0))
-        joined = share_of_total(kept.checkpoint(), prevalence="support")
+        joined = share_of_total(settle(kept), prevalence="support")
     else:
         counted = pairs.groupBy(*keys).agg(support).filter(F.col("support") >= min_support)
-        shared = share_of_total(counted.checkpoint(), prevalence="support")
+        shared = share_of_total(settle(counted), prevalence="support")
         lists = collect_parts(pairs.select(*keys, entity), keys, [entity], F.col(entity), "entities", max_items)
         same_pair = [shared[k].eqNullSafe(lists[k]) for k in keys]
         joined = shared.join(lists, same_pair, "inner").select(shared["*"], lists["list_part"], lists["entities"])

@@ -13,12 +13,18 @@ from wardflow.functions import iff
 def flatten(df: DataFrame, array: str, value: str = "item", index: str = "pos") -> DataFrame:
     """One row per element with its 0-based index; a NULL or empty array gives no row."""
     others = [c for c in df.columns if c != array]
-    return df.select(*others, F.posexplode(array).alias(index, value))
+    return _opened(df, others, F.col(array), value, index)
 
 
 def flatten_keep(df: DataFrame, array: str, value: str = "item", index: str = "pos") -> DataFrame:
     """As `flatten`, keeping the array column as well."""
-    return df.select("*", F.posexplode(array).alias(index, value))
+    return _opened(df, ["*"], F.col(array), value, index)
+
+
+def _opened(df: DataFrame, others: list[str], array: Column, value: str, index: str) -> DataFrame:
+    # Before a plain posexplode the planner puts a filter on the array, and moves it below the
+    # parsing of the document: each document would be parsed three times.
+    return df.select(*others, F.posexplode_outer(array).alias(index, value)).filter(F.col(index).isNotNull())
 
 
 def flatten_product(
@@ -37,7 +43,7 @@ def flatten_product(
         source = F.col(f"__{array}")
         if limit is not None and array != lead:
             source = F.slice(source, 1, limit)
-        out = out.select("*", F.posexplode(source).alias(f"{array}_pos", array)).drop(f"__{array}")
+        out = _opened(out, ["*"], source, array, f"{array}_pos").drop(f"__{array}")
         if array == lead:
             out = out.filter(keep)
     return out

@@ -51,6 +51,7 @@ from wardflow.operators.timeseries import (
     trend_states,
 )
 from wardflow.params import Params
+from wardflow.session import settle
 
 # Watch lists and daily rates the models are defined by.
 BLOOD_THINNERS = ["Warfarin", "Aspirin", "Heparin", "Enoxaparin"]
@@ -99,6 +100,7 @@ def int_claims_revenue(stg_claims: DataFrame, params: Params) -> DataFrame:
         "total_paid", "total_denied", "outstanding_amount", "payment_ratio", "days_to_submit", "days_to_payment",
         "is_denied", "service_date",
     ).filter(F.col("payer_name").isNotNull())
+    base = settle(base)
     sizes = group_sizes(base, ["payer_name"])
     totals = group_totals(
         base, ["payer_name"], sizes,
@@ -174,7 +176,7 @@ def clinical_alert_feeds(
 def int_clinical_alerts(
     stg_vitals: DataFrame, stg_lab_results: DataFrame, stg_facility_events: DataFrame, params: Params
 ) -> DataFrame:
-    alerts = union_all(*clinical_alert_feeds(stg_vitals, stg_lab_results, stg_facility_events))
+    alerts = settle(union_all(*clinical_alert_feeds(stg_vitals, stg_lab_results, stg_facility_events)))
     ties = ["alert_type", "alert_message"]
     ranked = unify_alerts(alerts, "patient_id", "priority", "alert_timestamp", "alert_message", ties)
     return ranked.select(*alerts.columns, "alert_rank", "total_patient_alerts", "most_critical_alert")
@@ -226,6 +228,7 @@ def int_discharge_planning(stg_encounters: DataFrame, params: Params) -> DataFra
         "patient_id", "encounter_id", "encounter_type", "admit_datetime", "discharge_datetime",
         stay.alias("length_of_stay_days"), "discharge_disposition",
     )
+    base = settle(base)
     sizes = group_sizes(base, ["encounter_type"])
     everything = Sizes(sizes.rows, 1, sizes.rows)
     typed = group_totals(base, ["encounter_type"], sizes, type_avg_los=F.avg("length_of_stay_days"))

@@ -7,6 +7,8 @@ rules are settled by further columns, so results are repeatable.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -69,6 +71,12 @@ def _flag(condition: Column) -> Column:
     return iff(condition, True, False)
 
 
+def _charges(array: str, keep: Callable[[Column], Column] = lambda charge: charge.isNotNull()) -> Column:
+    """Sum of the charges in a document's array; NULL when there is none. Saves a shuffle of its items."""
+    charges = F.filter(F.transform(F.col(array), lambda x: x["charge"].cast("double")), keep)
+    return F.when(F.size(charges) > 0, F.aggregate(charges, F.lit(0.0), lambda a, x: a + x))
+
+
 # ---- patients -----------------------------------------------------------------------------------
 
 
@@ -489,8 +497,11 @@ def stg_procedures(raw_encounters: DataFrame, params: Params) -> DataFrame:
         "encounter_id string, patient_id string, charges struct<total:string>, procedures array<struct<code:string,"
         "description:string,units:string,charge:string,performed_by:string,service_date:string>>",
     )
+    docs = group_totals(
+        doc.withColumn("__charges", _charges("procedures")), ["encounter_id"], __sum=F.sum("__charges")
+    )
     code = F.col("item.code")
-    rows = flatten(doc, "procedures").select(
+    rows = flatten(docs, "procedures").select(
         "encounter_id", "patient_id",
         code.alias("procedure_code"),
         F.col("item.description").alias("procedure_description"),
@@ -509,10 +520,10 @@ def stg_procedures(raw_encounters: DataFrame, params: Params) -> DataFrame:
             "Other",
         ).alias("procedure_category"),
         _num("charges.total").alias("encounter_total_charges"),
+        share(_num("item.charge"), F.col("__sum")).alias("charge_pct_of_encounter"),
         "_ingested_at",
     )
-    totals = group_totals(rows, ["encounter_id"], __sum=F.sum("charge_amount"))
-    return totals.withColumn("charge_pct_of_encounter", share(F.col("charge_amount"), F.col("__sum"))).drop("__sum")
+    return rows
 
 
 def stg_encounter_diagnoses(raw_encounters: DataFrame, params: Params) -> DataFrame:
@@ -616,17 +627,21 @@ def stg_order_history(raw_encounters: DataFrame, params: Params) -> DataFrame:
         raw_encounters,
         "patient_id string, encounter_id string, orders array<struct<order_type:string,description:string,charge:string>>",
     )
-    rows = flatten(doc, "orders").select(
+    docs = group_totals(
+        doc.withColumn("__charges", _charges("orders", lambda charge: charge > 0)), ["encounter_id"],
+        __sum=F.sum("__charges"),
+    )
+    rows = flatten(docs, "orders").select(
         "patient_id", "encounter_id",
         F.col("item.order_type"),
         F.col("item.description").alias("order_description"),
         _num("item.charge").alias("order_charge"),
         (F.col("pos") + 1).alias("order_sequence"),
+        share(_num("item.charge"), F.col("__sum")).alias("charge_pct_of_encounter"),
+        F.col("__sum").alias("encounter_total_charges"),
         "_ingested_at",
     )
-    charged = rows.filter(F.col("order_charge") > 0)
-    totals = group_totals(charged, ["encounter_id"], encounter_total_charges=F.sum("order_charge"))
-    return totals.withColumn("charge_pct_of_encounter", share(F.col("order_charge"), F.col("encounter_total_charges")))
+    return rows.filter(F.col("order_charge") > 0)
 
 
 def stg_referrals(raw_encounters: DataFrame, params: Params) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 GROUP_ROWS_CONF = "wardflow.maxGroupRows"
 GROUP_ROWS_DEFAULT = 2_000_000
@@ -45,3 +45,14 @@ def shared_dir(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """The relation written to the shared folder and read back.
+
+    For results that several jobs or branches go on with: what lies before runs once, survives lost
+    executors, and later reads take only the columns they need.
+    """
+    path = fresh_path(df.sparkSession, "settled")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
