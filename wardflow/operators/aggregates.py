@@ -7,13 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardflow.operators.ordered import asc, group_sizes, ordered_window, row_number, running, total
+from wardflow.operators.ordered import Sizes, asc, group_sizes, ordered_window, row_number, running, total
 from wardflow.operators.relational import left_null_safe
 from wardflow.session import max_group_rows, settle
 
 
 def grouped(
-    df: DataFrame, keys: list[str], aggs: dict[str, Column], percentiles: dict[str, tuple[str, float]] | None = None
+    df: DataFrame,
+    keys: list[str],
+    aggs: dict[str, Column],
+    percentiles: dict[str, tuple[str, float]] | None = None,
+    sizes: Sizes | None = None,
 ) -> DataFrame:
     """groupBy with exact interpolated percentiles: `percentiles` maps a name to (column, fraction).
 
@@ -24,13 +28,14 @@ def grouped(
     plain = [c.alias(n) for n, c in aggs.items()]
     if not percentiles:
         return df.groupBy(*keys).agg(*plain)
-    if group_sizes(df, keys).largest <= max_group_rows(df.sparkSession):
+    sizes = sizes or group_sizes(df, keys)
+    if sizes.largest <= max_group_rows(df.sparkSession):
         exact = [F.percentile(c, F.lit(p)).alias(n) for n, (c, p) in percentiles.items()]
         return df.groupBy(*keys).agg(*plain, *exact)
     out = df.groupBy(*keys).agg(*plain) if plain else df.select(*keys).distinct()
     for column in dict.fromkeys(c for c, _ in percentiles.values()):
         counts = df.filter(F.col(column).isNotNull()).groupBy(*keys, column).agg(F.count(F.lit(1)).alias("__n"))
-        wanted = {n: p for n, (c, p) in percentiles.items() if c == column}
+        counts, wanted = settle(counts), {n: p for n, (c, p) in percentiles.items() if c == column}
         out = left_null_safe(out, percentiles_from_counts(counts, keys, column, wanted), keys)
     return out.select(*keys, *aggs, *percentiles)
 

@@ -352,7 +352,7 @@ def peer_ranks(
         w = Window.partitionBy(*partition).orderBy(*[by.column for by in order])
         return df.withColumns({name: getattr(F, kind)().over(w) for name, kind in kinds.items()})
     keys = [*partition, *[by.name for by in order]]
-    peers = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__peers"))
+    peers = settle(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__peers")))
     ranked = ordered_window(
         peers, partition, order,
         __seq=row_number(),

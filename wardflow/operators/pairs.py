@@ -83,7 +83,7 @@ def pair_rule_counts(
         *[F.count_if(F.col("__r") == s).alias(f"__r{s}") for s in range(n)],
     )
     before = ordered_window(
-        counts, [entity], [asc(item)],
+        settle(counts), [entity], [asc(item)],
         __upto=running("sum", F.col("__n")),
         **{f"__u{s}": running("sum", F.col(f"__l{s}")) for s in range(n)},
     )

@@ -24,7 +24,7 @@ from wardflow.operators.ordered import (
     total,
 )
 from wardflow.operators.relational import densify
-from wardflow.session import max_group_rows
+from wardflow.session import max_group_rows, settle
 from wardflow.sources.generators import time_points
 
 
@@ -32,6 +32,7 @@ def densify_forecast(
     counts: DataFrame, entity: str, day: str, count: str, today: Column, back: int = 90, forward: int = 30
 ) -> DataFrame:
     """Daily counts per entity on a gapless spine, with 7- and 30-day means as forecast."""
+    counts = settle(counts)
     entities = counts.select(entity).distinct().filter(F.col(entity).isNotNull())
     spine = densify(entities, time_points(F.date_sub(today, back), back + forward, "day"), "forecast_date")
     facts = counts.select(entity, F.col(day).alias("forecast_date"), F.col(count).alias("__n"))
@@ -65,6 +66,7 @@ def detect_gaps(
     hourly = recent.groupBy(entity, floor_hour(F.col(ts)).alias("expected_time")).agg(
         F.count(F.lit(1)).alias("reading_count"), F.avg(value).alias("avg_hr")
     )
+    hourly = settle(hourly)
     start = floor_hour(now) - F.make_dt_interval(F.lit(days))
     spine = densify(hourly.select(entity).distinct(), time_points(start, days * 24, "hour"), "expected_time")
     slots = spine.join(hourly, [entity, "expected_time"], "left").withColumn(
@@ -99,6 +101,7 @@ def rolling_daily(events: DataFrame, entity: str, ts: str, critical: Column, val
         F.count_if(critical).alias("daily_critical"),
         F.avg(value).alias("avg_resolution"),
     )
+    daily = settle(daily)
     n = F.col("daily_event_count")
     sizes = group_sizes(daily, [entity])
     rolled = ordered_window(
@@ -135,7 +138,8 @@ def count_within(
         F.lit(0).cast("bigint").alias("__n"),
     )
     order = [asc("__at"), asc("__end"), asc(ts)]
-    summed = ordered_window(ends.unionByName(starts), keys, order, __run=running("sum", F.col("__n")))
+    marks = settle(ends.unionByName(starts))
+    summed = ordered_window(marks, keys, order, __run=running("sum", F.col("__n")))
     per_time = summed.groupBy(*keys, ts).agg(
         # Rows without a time form a range of their own.
         F.when(F.col(ts).isNull(), F.sum("__n"))

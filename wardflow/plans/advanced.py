@@ -19,6 +19,7 @@ from wardflow.operators.ordered import asc, desc, group_sizes, group_totals, mov
 from wardflow.operators.relational import top_k_per_group
 from wardflow.operators.semi import build_document, completeness, flatten_product, is_array
 from wardflow.params import Params
+from wardflow.session import settle
 from wardflow.sources.generators import calendar, recursive_series
 from wardflow.sources.landing import parse
 
@@ -145,6 +146,7 @@ def adv_dynamic_pivot(stg_patients: DataFrame, params: Params) -> DataFrame:
         .groupBy("facility_id", floor_month(F.col("admit_date")).alias("month"))
         .agg(F.count(F.lit(1)).alias("admissions"), F.avg("length_of_stay").alias("avg_los"))
     )
+    monthly = settle(monthly)
     sizes = group_sizes(monthly, ["facility_id"])
     ranked = peer_ranks(monthly, ["facility_id"], [desc("admissions")], sizes, busiest_month_rank="rank")
     ranked = peer_ranks(ranked, ["facility_id"], [desc("avg_los")], sizes, highest_los_rank="rank")
@@ -294,7 +296,7 @@ def adv_recursive_cte(stg_facility_events: DataFrame, params: Params) -> DataFra
     )
     joined = days.join(daily, "day_date", "left").filter(F.col("facility_id").isNotNull())
     rolled = ordered_window(
-        joined, ["facility_id"], [asc("day_date")], rolling_7d_avg=moving("avg", F.col("event_count"), 6)
+        settle(joined), ["facility_id"], [asc("day_date")], rolling_7d_avg=moving("avg", F.col("event_count"), 6)
     )
     return rolled.select(
         "day_date", F.col("day_num").alias("days_ago"), "facility_id", "event_count", "critical_count",

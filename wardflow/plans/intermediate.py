@@ -363,7 +363,7 @@ def int_facility_census(stg_patients: DataFrame, params: Params) -> DataFrame:
         {"median_los": (stay, 0.5), "p75_los": (stay, 0.75), "p90_los": (stay, 0.9)},
     )
     n = F.col("total_patients")
-    seen = ordered_window(daily, ["facility_id"], [asc("admit_date")], prev_day_total=lag(n))
+    seen = ordered_window(settle(daily), ["facility_id"], [asc("admit_date")], prev_day_total=lag(n))
     return seen.select(
         "facility_id", "admit_date", "total_patients", "active_count", "discharged_count",
         F.round("median_los", 1).alias("median_los"),
@@ -413,7 +413,7 @@ def int_los_distribution(stg_patients: DataFrame, params: Params) -> DataFrame:
         avg_dx_count=F.avg("diagnosis_count"),
         still_active=F.count_if("is_current_resident"),
     )
-    sums = group_totals(bars, ["facility_id"], __all=F.sum("patient_count"))
+    sums = group_totals(settle(bars), ["facility_id"], __all=F.sum("patient_count"))
     return sums.withColumn("pct_of_facility", share(F.col("patient_count"), F.col("__all"))).drop("__all")
 
 
@@ -562,6 +562,7 @@ def int_patient_risk_score(stg_patients: DataFrame, params: Params) -> DataFrame
 
 def int_payer_performance(stg_claims: DataFrame, params: Params) -> DataFrame:
     charge = "total_charges"
+    sizes = group_sizes(stg_claims, ["payer_name", "claim_type"])
     metrics = grouped(
         stg_claims, ["payer_name", "claim_type"],
         {
@@ -581,6 +582,7 @@ def int_payer_performance(stg_claims: DataFrame, params: Params) -> DataFrame:
             "median_days_to_pay": ("days_to_payment", 0.5),
             **{f"p{p}_charge": (charge, p / 100) for p in (25, 50, 75, 95)},
         },
+        sizes,
     )
     spread, low, high = iqr_fences(F.col("p25_charge"), F.col("p75_charge"))
     rated = metrics.withColumns(
@@ -591,9 +593,9 @@ def int_payer_performance(stg_claims: DataFrame, params: Params) -> DataFrame:
             "outlier_high_threshold": high,
         }
     )
-    sizes = group_sizes(rated, [])
-    ranked = peer_ranks(rated, [], [desc("sum_charges")], sizes, charge_rank="rank")
-    ranked = peer_ranks(ranked, [], [asc("denial_rate")], sizes, denial_rank="rank")
+    few = Sizes(sizes.groups, 1, sizes.groups)
+    ranked = peer_ranks(rated, [], [desc("sum_charges")], few, charge_rank="rank")
+    ranked = peer_ranks(ranked, [], [asc("denial_rate")], few, denial_rank="rank")
     rate = F.col("denial_rate")
     return ranked.withColumn(
         "payer_grade", band([(rate > 0.20, "Poor"), (rate > 0.10, "Below Average"), (rate > 0.05, "Average")], "Excellent")
@@ -619,7 +621,7 @@ def int_provider_panels(stg_encounters: DataFrame, params: Params) -> DataFrame:
         F.min("admit_datetime").alias("first_encounter"),
         F.max("admit_datetime").alias("last_encounter"),
     ).filter(F.col("panel_size") >= 1)
-    people = seen.filter(F.col("patient_id").isNotNull()).select("provider_id", "patient_id").distinct()
+    people = settle(seen.filter(F.col("patient_id").isNotNull()).select("provider_id", "patient_id").distinct())
     lists = collect_parts(
         people, ["provider_id"], ["patient_id"], F.col("patient_id"), "patient_list", params.max_list_items
     )

@@ -36,6 +36,7 @@ from wardflow.operators.incremental import (
 from wardflow.operators.ordered import asc, desc, group_totals
 from wardflow.operators.relational import latest_by
 from wardflow.params import Params
+from wardflow.session import settle
 from wardflow.sources.landing import parse
 from wardflow.sources.tables import KeyedTable
 
@@ -182,7 +183,7 @@ def fct_provider_performance(stg_encounters: DataFrame, params: Params) -> DataF
         monthly, ["facility_id", "encounter_type", "month"], ["encounter_count", "avg_los"], "metric_name",
         "metric_value",
     )
-    sums = group_totals(long, ["facility_id", "metric_name"], facility_total=F.sum("metric_value"))
+    sums = group_totals(settle(long), ["facility_id", "metric_name"], facility_total=F.sum("metric_value"))
     return sums.withColumn("pct_of_facility", share(F.col("metric_value"), F.col("facility_total")))
 
 
