@@ -12,6 +12,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wardflow.operators.aggregates import collect_parts
 from wardflow.params import Params
 from wardflow.plans.catalog import build
 from wardflow.session import fresh_path
@@ -116,10 +117,15 @@ def raw_patients(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _envelope(copies, document, ingested)
 
 
+LINE = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_returnflag", "l_shipdate"]
+# A document has room for this many line items; an order with more is landed in several documents.
+DOCUMENT_ITEMS = 100_000
+
+
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with their line items as an ordered array."""
-    line = """struct(l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity, l_returnflag, l_shipdate)"""
-    items = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.expr(f"array_sort(collect_list({line}))").alias("l"))
+    lines = table(spark, sf_dir, "lineitem")
+    items = collect_parts(lines, ["l_orderkey"], LINE, F.struct(*LINE), "l", DOCUMENT_ITEMS)
     return (
         table(spark, sf_dir, "orders")
         .join(items, F.col("o_orderkey") == F.col("l_orderkey"), "left")

@@ -11,7 +11,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.bindings.landing import table
+from wardflow.bindings.landing import DOCUMENT_ITEMS, table
 from wardflow.bindings.portable import portable
 from wardflow.functions import (
     band,
@@ -112,7 +112,7 @@ from wardflow.operators.timeseries import (
     trend_states,
 )
 from wardflow.plans.advanced import metric_profile
-from wardflow.session import fresh_path
+from wardflow.session import fresh_path, settle
 from wardflow.sources.generators import calendar, recursive_series, row_generator, time_points, time_spine
 from wardflow.sources.landing import parse, read_landing, read_seed
 from wardflow.sources.tables import KeyedTable, publish_table, publish_view
@@ -210,14 +210,13 @@ def flatten_array(spark, sf):
 
 def _customer_docs(spark, sf):
     """Customers with an array of orders, each with an array of line items."""
-    lines = _lines(spark, sf).groupBy("l_orderkey").agg(
-        F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", "cents"))).alias("lines")
-    )
+    line = ["l_linenumber", "l_partkey", "l_suppkey", "cents"]
+    lines = collect_parts(_lines(spark, sf), ["l_orderkey"], line, F.struct(*line), "lines", DOCUMENT_ITEMS)
+    lines = lines.withColumnRenamed("list_part", "part")
     orders = _orders(spark, sf).join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
-    whole_orders = orders.groupBy("o_custkey").agg(
-        F.array_sort(F.collect_list(F.struct("o_orderkey", "o_orderstatus", "lines"))).alias("orders")
-    )
-    return whole_orders.select(F.to_json(F.struct("o_custkey", "orders")).alias("raw_data"))
+    order = F.struct("o_orderkey", "o_orderstatus", "part", "lines")
+    parts = collect_parts(orders, ["o_custkey"], ["o_orderkey", "part"], order, "orders", 1000)
+    return parts.select(F.to_json(F.struct("o_custkey", "orders")).alias("raw_data"))
 
 
 @query(
@@ -226,12 +225,13 @@ def _customer_docs(spark, sf):
 )
 def flatten_nested(spark, sf):
     schema = (
-        "o_custkey bigint, orders array<struct<o_orderkey:bigint,o_orderstatus:string,"
+        "o_custkey bigint, orders array<struct<o_orderkey:bigint,o_orderstatus:string,part:int,"
         "lines:array<struct<l_linenumber:int,l_partkey:bigint,cents:bigint>>>>"
     )
     orders = flatten(parse(_customer_docs(spark, sf), schema), "orders").select("o_custkey", "item.*")
     return flatten(orders, "lines").select(
-        "o_custkey", "o_orderkey", "o_orderstatus", "item.*", (F.col("pos") + 1).alias("line_seq")
+        "o_custkey", "o_orderkey", "o_orderstatus", "item.*",
+        (F.col("part") * DOCUMENT_ITEMS + F.col("pos") + 1).alias("line_seq"),
     )
 
 
@@ -602,10 +602,14 @@ def approx_functions(spark, sf):
     """SELECT l_orderkey, string_agg(DISTINCT l_returnflag, ',' ORDER BY l_returnflag) AS flags, string_agg(DISTINCT l_suppkey, ',' ORDER BY l_suppkey) AS suppliers, count(DISTINCT l_suppkey) AS n FROM lineitem GROUP BY 1"""
 )
 def array_agg_sorted(spark, sf):
-    return table(spark, sf, "lineitem").groupBy("l_orderkey").agg(
-        sorted_set("l_returnflag").alias("flags"), sorted_set("l_suppkey").alias("suppliers"),
-        F.count_distinct("l_suppkey").alias("n"),
-    )
+    """The flags are three at most; suppliers have no such bound, so their lists may go on in parts."""
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_returnflag", "l_suppkey")
+    flags = lines.groupBy("l_orderkey").agg(
+        sorted_set("l_returnflag").alias("flags"), F.count_distinct("l_suppkey").alias("n")
+    )
+    pairs = settle(lines.select("l_orderkey", "l_suppkey").distinct())
+    lists = collect_parts(pairs, ["l_orderkey"], ["l_suppkey"], F.col("l_suppkey"), "suppliers", 100_000)
+    return flags.join(lists, "l_orderkey").select("l_orderkey", "flags", "suppliers", "n")
 
 
 @query("SELECT o_custkey, string_agg(DISTINCT o_orderpriority, ' | ' ORDER BY o_orderpriority) AS priorities, count(*) AS n FROM orders GROUP BY 1")
