@@ -268,3 +268,11 @@ def test_publish_stores_layers_and_reads_them_back(spark, relations):
 def test_seeds(spark, tmp_path):
     (tmp_path / "icd.csv").write_text("icd10_code,description,category,drg_weight\nI10,Hypertension,Cardiology,0.75\n")
     assert tuple(read_seed(spark, str(tmp_path / "icd.csv"), ICD10_SCHEMA).first()) == ("I10", "Hypertension", "Cardiology", 0.75)
+
+
+def test_seeds_that_come_with_the_library(spark, relations):
+    own = {name: relations[name] for name in TABLES}
+    rows = {r.facility_id: r for r in build("dim_facility", spark, own, PARAMS).collect()}
+    assert len(rows) == 6 and (rows["FAC01"].bed_count, rows["FAC01"].current_census) == (120, 1)
+    codes = build("icd10_reference", spark, {}, PARAMS)
+    assert codes.count() == 15 and codes.filter("icd10_code = 'I10'").first().drg_weight == 0.75

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wardflow.params import Params
 from wardflow.plans import advanced, intermediate, marts, staging
+from wardflow.sources import seeds
 from wardflow.sources.tables import LAYERS, publish_table, publish_view
 
 _PREFIXES = {"staging": "stg_", "intermediate": "int_", "advanced": "adv_", "marts": ("dim_", "fct_", "snp_")}
@@ -29,6 +30,8 @@ def _models() -> dict[str, tuple[str, Callable]]:
 
 MODELS = _models()
 
+SEEDS = {"facility_reference": seeds.facility_reference, "icd10_reference": seeds.icd10_reference}
+
 
 def inputs_of(name: str) -> list[str]:
     """Relations a model reads; optional arguments left aside."""
@@ -37,7 +40,12 @@ def inputs_of(name: str) -> list[str]:
 
 
 def build(name: str, spark: SparkSession, relations: dict[str, DataFrame], params: Params) -> DataFrame:
-    """The model's DataFrame. `relations` holds landing tables and seeds and collects built models."""
+    """The model's DataFrame. `relations` holds landing tables and collects built models.
+
+    A seed found in `relations` takes the place of the one that comes with the library.
+    """
+    if name not in relations and name in SEEDS:
+        relations[name] = SEEDS[name](spark)
     if name not in relations:
         function = MODELS[name][1]
         arguments = {i: build(i, spark, relations, params) for i in inputs_of(name)}
@@ -54,7 +62,7 @@ def publish(name: str, spark: SparkSession, relations: dict[str, DataFrame], par
     rather than computing it again.
     """
     for needed in inputs_of(name):
-        if needed not in relations:
+        if needed not in relations and needed not in SEEDS:
             publish(needed, spark, relations, params, root)
     df = build(name, spark, relations, params)
     folder = MODELS[name][0]
