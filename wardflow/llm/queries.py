@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from wardflow.llm import weak_quality
+from wardflow.llm import simhash_trees, weak_quality
 from wardflow.llm.common import table
 
 
@@ -16,5 +17,13 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op5_quality_rules": op5_quality_rules}
+def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and linked group of every document: four-word shingles, four bits."""
+    found = simhash_trees.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, radius=4)
+    return found.select(
+        "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
+QUERIES = {"op5_quality_rules": op5_quality_rules, "op10_simhash_near_dedup": op10_simhash_near_dedup}
 ORACLES: dict[str, str] = {}
