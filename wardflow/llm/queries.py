@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.llm import simhash_trees, weak_quality
+from wardflow.llm import bpe_transducer, simhash_trees, weak_quality
 from wardflow.llm.common import table
 
 
@@ -17,6 +18,18 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def vocabulary(name: str) -> bytes:
+    """A vocabulary file, read once by the driver; a few megabytes at most."""
+    with open(public_tokenizers.path(name), "rb") as file:
+        return file.read()
+
+
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document and their way back: counts and digests."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe_transducer.digests(docs, vocabulary("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and linked group of every document: four-word shingles, four bits."""
     found = simhash_trees.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, radius=4)
@@ -25,5 +38,5 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op5_quality_rules": op5_quality_rules, "op10_simhash_near_dedup": op10_simhash_near_dedup}
+QUERIES = {"op8_byte_bpe": op8_byte_bpe, "op5_quality_rules": op5_quality_rules, "op10_simhash_near_dedup": op10_simhash_near_dedup}
 ORACLES: dict[str, str] = {}
