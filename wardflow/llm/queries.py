@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.llm import bpe_transducer, simhash_trees, weak_quality
+from wardflow.llm import bpe_transducer, simhash_trees, weak_quality, zstd_tokens
 from wardflow.llm.common import table
+from wardflow.session import fresh_path
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,6 +25,13 @@ def vocabulary(name: str) -> bytes:
         return file.read()
 
 
+def op6_token_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document written to files of zstandard frames, and what the files then hold."""
+    path = fresh_path(spark, "tokens")
+    zstd_tokens.write_tokens(table(spark, sf_dir, "documents"), path, vocabulary("byte_bpe_50k.json"), end_id=2)
+    return zstd_tokens.summarise(spark, path)
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document and their way back: counts and digests."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -38,5 +46,5 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op8_byte_bpe": op8_byte_bpe, "op5_quality_rules": op5_quality_rules, "op10_simhash_near_dedup": op10_simhash_near_dedup}
+QUERIES = {"op6_token_frames": op6_token_frames, "op8_byte_bpe": op8_byte_bpe, "op5_quality_rules": op5_quality_rules, "op10_simhash_near_dedup": op10_simhash_near_dedup}
 ORACLES: dict[str, str] = {}
