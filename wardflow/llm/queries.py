@@ -6,11 +6,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.llm import bpe_transducer, simhash_trees, weak_quality, zstd_tokens
+from wardflow.llm import bpe_transducer, simhash_trees, spaced_seeds, weak_quality, zstd_tokens
 from wardflow.llm.common import table
 from wardflow.session import fresh_path
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that overlap a benchmark item, with two of twelve tokens free to differ."""
+    return spaced_seeds.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures and the weakly supervised verdict of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -46,5 +51,5 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op6_token_frames": op6_token_frames, "op8_byte_bpe": op8_byte_bpe, "op5_quality_rules": op5_quality_rules, "op10_simhash_near_dedup": op10_simhash_near_dedup}
+QUERIES = {"op4_decontamination": op4_decontamination, "op6_token_frames": op6_token_frames, "op8_byte_bpe": op8_byte_bpe, "op5_quality_rules": op5_quality_rules, "op10_simhash_near_dedup": op10_simhash_near_dedup}
 ORACLES: dict[str, str] = {}
