@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.llm import bpe_transducer, simhash_trees, spaced_seeds, weak_quality, zstd_tokens
+from wardflow.llm import bpe_transducer, line_dedup, simhash_trees, spaced_seeds, weak_quality, zstd_tokens
 from wardflow.llm.common import table
 from wardflow.session import fresh_path
 
@@ -43,6 +43,11 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_transducer.digests(docs, vocabulary("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that repeat an earlier line of any document."""
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and linked group of every document: four-word shingles, four bits."""
     found = simhash_trees.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, radius=4)
@@ -51,5 +56,5 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op4_decontamination": op4_decontamination, "op6_token_frames": op6_token_frames, "op8_byte_bpe": op8_byte_bpe, "op5_quality_rules": op5_quality_rules, "op10_simhash_near_dedup": op10_simhash_near_dedup}
+QUERIES = {"op9_line_dedup": op9_line_dedup, "op4_decontamination": op4_decontamination, "op6_token_frames": op6_token_frames, "op8_byte_bpe": op8_byte_bpe, "op5_quality_rules": op5_quality_rules, "op10_simhash_near_dedup": op10_simhash_near_dedup}
 ORACLES: dict[str, str] = {}
