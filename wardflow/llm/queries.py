@@ -6,11 +6,35 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.llm import bpe_transducer, line_dedup, simhash_trees, spaced_seeds, weak_quality, zstd_tokens
+from wardflow.llm import (
+    bpe_transducer,
+    license_rules,
+    line_dedup,
+    simhash_trees,
+    spaced_seeds,
+    url_rules,
+    weak_quality,
+    zstd_tokens,
+)
 from wardflow.llm.common import table
 from wardflow.session import fresh_path
 
 
+#: What the URL filter is given: fixed values.
+URL_RULES = [
+    ("allow", "com/"),
+    ("block", "example.com/en/"),
+    ("allow", "www.example.com/en/"),
+    ("block", "net/es/"),
+    ("block", "net/fr/"),
+]
+
+
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence rules that the documents meet."""
+    return license_rules.scan(table(spark, sf_dir, "documents"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that overlap a benchmark item, with two of twelve tokens free to differ."""
     return spaced_seeds.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -37,6 +61,11 @@ def op6_token_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zstd_tokens.summarise(spark, path)
 
 
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every page."""
+    return url_rules.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"), URL_RULES)
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document and their way back: counts and digests."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -56,5 +85,5 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op9_line_dedup": op9_line_dedup, "op4_decontamination": op4_decontamination, "op6_token_frames": op6_token_frames, "op8_byte_bpe": op8_byte_bpe, "op5_quality_rules": op5_quality_rules, "op10_simhash_near_dedup": op10_simhash_near_dedup}
-ORACLES: dict[str, str] = {}
+QUERIES = {"op2_license_scan": op2_license_scan, "op7_url_filter": op7_url_filter, "op9_line_dedup": op9_line_dedup, "op4_decontamination": op4_decontamination, "op6_token_frames": op6_token_frames, "op8_byte_bpe": op8_byte_bpe, "op5_quality_rules": op5_quality_rules, "op10_simhash_near_dedup": op10_simhash_near_dedup}
+ORACLES: dict[str, str] = {"op2_license_scan": license_rules.scan_sql()}
