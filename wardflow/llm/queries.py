@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 
 from wardflow.llm import (
     bpe_transducer,
+    html_difference,
     license_rules,
     line_dedup,
+    pii_bootstrap,
     simhash_trees,
     spaced_seeds,
     url_rules,
@@ -30,11 +32,21 @@ URL_RULES = [
 ]
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_difference.extract(table(spark, sf_dir, "pages"))
+
+
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence rules that the documents meet."""
     return license_rules.scan(table(spark, sf_dir, "documents"))
 
 
+def op3_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document: base matches and what trusted contexts add."""
+    return pii_bootstrap.digests(table(spark, sf_dir, "documents"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that overlap a benchmark item, with two of twelve tokens free to differ."""
     return spaced_seeds.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -85,5 +97,19 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op2_license_scan": op2_license_scan, "op7_url_filter": op7_url_filter, "op9_line_dedup": op9_line_dedup, "op4_decontamination": op4_decontamination, "op6_token_frames": op6_token_frames, "op8_byte_bpe": op8_byte_bpe, "op5_quality_rules": op5_quality_rules, "op10_simhash_near_dedup": op10_simhash_near_dedup}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_html_extraction,
+        op2_license_scan,
+        op3_pii_bootstrap,
+        op4_decontamination,
+        op5_quality_rules,
+        op6_token_frames,
+        op7_url_filter,
+        op8_byte_bpe,
+        op9_line_dedup,
+        op10_simhash_near_dedup,
+    )
+}
 ORACLES: dict[str, str] = {"op2_license_scan": license_rules.scan_sql()}

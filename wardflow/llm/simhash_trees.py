@@ -294,24 +294,24 @@ def near_duplicates(
 
 
 def keep_first(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFrame:
-    """One row of `docs` for each group, the one with the smallest doc_id, with the columns of `docs`.
+    """One row of `docs` for each group, one with the smallest doc_id, with the columns of `docs`.
 
-    Rows that repeat this doc_id are cut to one. A group of NULL ids only keeps one of its rows.
+    A group of NULL ids only keeps one of its rows. Where an id is repeated, its rows are told apart by
+    their fingerprints.
     """
-    found = settle(near_duplicates(docs, shingle, radius).select("doc_id", "component_id", "root"))
-    first = found.filter("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("__n"))
-    first = settle(first)
-    kept = docs.join(first.select("doc_id"), "doc_id", "left_semi")
-    if not first.filter("__n > 1").isEmpty():
-        repeated = first.filter("__n > 1").select("doc_id")
-        kept = kept.join(repeated, "doc_id", "left_anti").unionByName(
-            kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-        )
-    nameless = found.filter("doc_id IS NULL AND component_id IS NULL")
-    if nameless.isEmpty():
-        return kept.select(docs.columns)
-    held = docs.filter("doc_id IS NULL").select("text", F.struct(*docs.columns).alias("__row"), F.lit(None).alias("doc_id"))
-    printed = fingerprints(held.select("__row", "text"), "text", shingle)
-    roots = near_duplicates(docs, shingle, radius).filter("component_id IS NULL").select("fingerprint", "root").distinct()
-    one = printed.join(roots, "fingerprint").dropDuplicates(["root"]).select("__row.*")
-    return kept.select(docs.columns).unionByName(one.select(docs.columns))
+    found = settle(near_duplicates(docs, shingle, radius))
+    per_id = settle(
+        found.filter("doc_id IS NOT NULL")
+        .groupBy("doc_id")
+        .agg(F.count(F.lit(1)).alias("n"), F.min(F.col("doc_id") == F.col("component_id")).alias("first"))
+    )
+    kept = docs.join(per_id.filter("n = 1 AND first").select("doc_id"), "doc_id", "left_semi").select(docs.columns)
+    repeated = per_id.filter("n > 1").select("doc_id")
+    odd = [docs.filter("doc_id IS NULL")] if not found.filter("doc_id IS NULL").isEmpty() else []
+    odd += [docs.join(repeated, "doc_id", "left_semi").select(docs.columns)] if not repeated.isEmpty() else []
+    for rows in odd:
+        printed = fingerprints(rows.select(F.struct(*docs.columns).alias("row"), "text"), "text", shingle)
+        named = found.select("fingerprint", "root", "component_id").distinct()
+        first = printed.join(named, "fingerprint").filter(F.col("row.doc_id").eqNullSafe(F.col("component_id")))
+        kept = kept.unionByName(first.dropDuplicates(["root"]).select("row.*"))
+    return kept
