@@ -44,10 +44,17 @@ def test_junk_goes_and_prose_stays(spark):
 
 def test_fit_finds_the_better_rule():
     good, bad, abstain = weak_quality.GOOD, weak_quality.BAD, weak_quality.ABSTAIN
-    counts = {(good, abstain, abstain): 90, (abstain, bad, bad): 18, (good, abstain, bad): 9, (abstain, bad, abstain): 2}
+    counts = {
+        (good, abstain, abstain, abstain): 900,
+        (abstain, bad, bad, bad): 90,
+        (good, abstain, bad, abstain): 45,  # the third rule alone against a good vote
+        (abstain, bad, abstain, bad): 9,
+    }
     share, accuracy = weak_quality.fit(counts)
-    assert share > 0.7 and accuracy[1] > accuracy[2]
-    assert weak_quality.fit({}) == (0.8, []) or weak_quality.fit({})[1] == []
+    assert share > 0.7 and accuracy[1] > accuracy[2] and accuracy[3] > accuracy[2]
+    assert weak_quality.posterior((abstain, bad, bad, bad), share, accuracy) < 0.5
+    assert weak_quality.posterior((good, abstain, bad, abstain), share, accuracy) > 0.5
+    assert weak_quality.fit({})[1] == []
 
 
 def test_quality_of_awkward_rows(spark):
