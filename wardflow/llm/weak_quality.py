@@ -18,6 +18,8 @@ MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 
 GOOD, BAD, ABSTAIN = 1, 0, 2
+#: Weight of what is assumed beforehand, against the votes.
+PRIOR = 0.25
 
 
 def _repeat_words(words: Column) -> Column:
@@ -121,15 +123,18 @@ def votes() -> dict[str, Column]:
 def fit(counts: dict[tuple[int, ...], int], rounds: int = 60) -> tuple[float, list[float]]:
     """Share of good texts and the accuracy of each rule, by expectation-maximisation.
 
-    `counts` holds how many texts show each vote pattern, at most 2 to the number of rules. Rules start
-    out right four times in five, and five such votes are added to each so that rules which hardly
-    vote keep that. Accuracies stay between 0.55 and 0.99: a rule is better than chance and never sure.
+    `counts` holds how many texts show each vote pattern, at most 2 to the number of rules. Four texts in
+    five are taken to be good and rules to be right four times in five; this counts PRIOR times as much
+    as the votes, and five votes more, so that rules cannot drift off together. Accuracies stay between
+    0.55 and 0.99, the share between 0.1 and 0.9: neither rules nor classes may come out as certain.
     """
     rules = len(next(iter(counts), ()))
     share, accuracy = 0.8, [0.8] * rules
+    said = [sum(n for p, n in counts.items() if p[r] != ABSTAIN) * PRIOR + 5 for r in range(rules)]
+    texts = sum(counts.values()) * PRIOR + 5
     for _ in range(rounds):
-        good, total = 1.0, 2.0
-        right, cast = [4.0] * rules, [5.0] * rules
+        good, total = 0.8 * texts, texts
+        right, cast = [0.8 * n for n in said], list(said)
         for pattern, n in counts.items():
             p = posterior(pattern, share, accuracy)
             good, total = good + p * n, total + n
@@ -137,7 +142,7 @@ def fit(counts: dict[tuple[int, ...], int], rounds: int = 60) -> tuple[float, li
                 if vote != ABSTAIN:
                     cast[r] += n
                     right[r] += n * (p if vote == GOOD else 1 - p)
-        share = min(0.99, max(0.01, good / total))
+        share = min(0.9, max(0.1, good / total))
         accuracy = [min(0.99, max(0.55, a / b)) for a, b in zip(right, cast, strict=True)]
     return share, accuracy
 
