@@ -45,15 +45,11 @@ def test_grouping_sets_flags_and_levels(spark, readings):
     assert rows.filter("level = 0").agg(F.sum("n")).first()[0] == 3000
 
 
-@pytest.mark.parametrize("limited", [False, True])
-def test_long_lists_go_on_in_parts(spark, readings, limited, request):
-    if limited:
-        request.getfixturevalue("tight")
-    parts = A.collect_parts(readings, ["key"], ["id"], F.col("id"), "ids", 64).collect()
-    assert max(len(p.ids) for p in parts) <= 64
-    hot = [i for p in sorted((p for p in parts if p.key == "hot"), key=lambda p: p.list_part) for i in p.ids]
-    assert hot == list(range(0, 3000, 3))
-    assert sum(len(p.ids) for p in parts) == 3000
+def test_lists_are_whole_and_one_row_per_group(spark, readings):
+    rows = A.ordered_list(readings, ["key"], ["id"], F.col("id"), "ids").collect()
+    assert len({r.key for r in rows}) == len(rows)
+    assert next(r.ids for r in rows if r.key == "hot") == list(range(0, 3000, 3))
+    assert sum(len(r.ids) for r in rows) == 3000
 
 
 def test_unpivot_drops_nulls_and_pivot_keeps_missing_as_null(spark):

@@ -94,7 +94,7 @@ GRAIN = {
     "stg_allergies": ["patient_id", "allergen"], "stg_diagnoses": ["patient_id", "icd10_code"], "stg_primary_diagnosis": ["patient_id"],
     "int_acuity_scoring": ["patient_id"], "int_census_forecast": ["facility_id", "forecast_date"], "int_cost_allocation": ["claim_type", "payer_name"],
     "int_drug_interactions": ["patient_id"], "int_encounter_summary": ["encounter_id"], "int_facility_census": ["facility_id", "admit_date"],
-    "int_medication_interactions": ["patient_id"], "int_payer_performance": ["payer_name", "claim_type"], "int_provider_panels": ["provider_id", "list_part"],
+    "int_medication_interactions": ["patient_id"], "int_payer_performance": ["payer_name", "claim_type"], "int_provider_panels": ["provider_id"],
     "int_sliding_window": ["facility_id", "event_date"], "int_time_series_gaps": ["patient_id", "expected_time"], "adv_array_operations": ["patient_id"],
     "adv_date_spine": ["date_day"], "adv_hash_clustering": ["patient_id", "full_name", "admit_date"], "adv_object_agg": ["patient_id"],
     "adv_pivot_census": ["facility_id", "event_date"], "dim_facility": ["facility_id"], "dim_providers": ["provider_key"],

@@ -12,7 +12,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.operators.aggregates import collect_parts
+from wardflow.operators.aggregates import ordered_list
 from wardflow.params import Params
 from wardflow.plans.catalog import build
 from wardflow.session import fresh_path
@@ -118,14 +118,12 @@ def raw_patients(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LINE = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_returnflag", "l_shipdate"]
-# A document has room for this many line items; an order with more is landed in several documents.
-DOCUMENT_ITEMS = 100_000
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders with their line items as an ordered array."""
+    """Orders with all their line items as an ordered array; the data model bounds the lines of an order."""
     lines = table(spark, sf_dir, "lineitem")
-    items = collect_parts(lines, ["l_orderkey"], LINE, F.struct(*LINE), "l", DOCUMENT_ITEMS)
+    items = ordered_list(lines, ["l_orderkey"], LINE, F.struct(*LINE), "l")
     return (
         table(spark, sf_dir, "orders")
         .join(items, F.col("o_orderkey") == F.col("l_orderkey"), "left")

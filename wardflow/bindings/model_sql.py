@@ -185,7 +185,7 @@ RELATIONS: dict[str, str] = {
         SELECT 'P' || o_custkey AS patient_id, 'E' || k AS encounter_id, 'Goal' || ((k + i) % 5) AS care_goal, 'Do' || ((k * 3 + i) % 8) AS intervention, 'open' AS goal_status,
           (k + i) % 4 AS priority_rank, CASE WHEN i = 0 THEN DATE '2001-09-01' END AS target_date, i + 1 AS goal_sequence,
           string_agg('Do' || ((k * 3 + i) % 8), '; ' ORDER BY (k + i) % 4, 'E' || k, i) OVER (PARTITION BY o_custkey) AS all_interventions,
-          CAST(day + 2 AS TIMESTAMP) AS _ingested_at, 0 AS list_part
+          CAST(day + 2 AS TIMESTAMP) AS _ingested_at
         FROM ord, unnest(range(k % 3)) t(i) WHERE (k + i) % 6 <> 0""",
     "stg_clinical_documents": """
         SELECT 'P' || o_custkey AS patient_id, 'E' || k AS encounter_id, 'Type' || i AS document_type, 'Title' || (k % 10) AS title, 'Sec' || j AS section_name,

@@ -11,7 +11,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.bindings.landing import DOCUMENT_ITEMS, table
+from wardflow.bindings.landing import table
 from wardflow.bindings.portable import portable
 from wardflow.functions import (
     band,
@@ -46,11 +46,11 @@ from wardflow.functions import (
     zero_if_null,
 )
 from wardflow.operators.aggregates import (
-    collect_parts,
     grouped,
     grouping_sets,
     histogram,
     joined_set,
+    ordered_list,
     pivot_sum,
     sorted_set,
     unpivot,
@@ -112,7 +112,7 @@ from wardflow.operators.timeseries import (
     trend_states,
 )
 from wardflow.plans.advanced import metric_profile
-from wardflow.session import fresh_path, settle
+from wardflow.session import fresh_path
 from wardflow.sources.generators import calendar, recursive_series, row_generator, time_points, time_spine
 from wardflow.sources.landing import parse, read_landing, read_seed
 from wardflow.sources.tables import KeyedTable, publish_table, publish_view
@@ -209,14 +209,13 @@ def flatten_array(spark, sf):
 
 
 def _customer_docs(spark, sf):
-    """Customers with an array of orders, each with an array of line items."""
+    """Per customer and day an array of orders, each with an array of line items."""
     line = ["l_linenumber", "l_partkey", "l_suppkey", "cents"]
-    lines = collect_parts(_lines(spark, sf), ["l_orderkey"], line, F.struct(*line), "lines", DOCUMENT_ITEMS)
-    lines = lines.withColumnRenamed("list_part", "part")
+    lines = ordered_list(_lines(spark, sf), ["l_orderkey"], line, F.struct(*line), "lines")
     orders = _orders(spark, sf).join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
-    order = F.struct("o_orderkey", "o_orderstatus", "part", "lines")
-    parts = collect_parts(orders, ["o_custkey"], ["o_orderkey", "part"], order, "orders", 1000)
-    return parts.select(F.to_json(F.struct("o_custkey", "orders")).alias("raw_data"))
+    order = F.struct("o_orderkey", "o_orderstatus", "lines")
+    days = ordered_list(orders, ["o_custkey", "o_orderdate"], ["o_orderkey"], order, "orders")
+    return days.select(F.to_json(F.struct("o_custkey", "orders")).alias("raw_data"))
 
 
 @query(
@@ -225,13 +224,13 @@ def _customer_docs(spark, sf):
 )
 def flatten_nested(spark, sf):
     schema = (
-        "o_custkey bigint, orders array<struct<o_orderkey:bigint,o_orderstatus:string,part:int,"
+        "o_custkey bigint, orders array<struct<o_orderkey:bigint,o_orderstatus:string,"
         "lines:array<struct<l_linenumber:int,l_partkey:bigint,cents:bigint>>>>"
     )
     orders = flatten(parse(_customer_docs(spark, sf), schema), "orders").select("o_custkey", "item.*")
     return flatten(orders, "lines").select(
         "o_custkey", "o_orderkey", "o_orderstatus", "item.*",
-        (F.col("part") * DOCUMENT_ITEMS + F.col("pos") + 1).alias("line_seq"),
+        (F.col("pos") + 1).alias("line_seq"),
     )
 
 
@@ -256,9 +255,8 @@ def flatten_product_all(spark, sf):
 )
 def build_document_orders(spark, sf):
     item = F.struct(F.col("l_partkey").alias("part"), F.col("cents").alias("charge"))
-    lists = collect_parts(
-        _lines(spark, sf), ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey", "cents"], item, "lines", 100_000
-    )
+    order = ["l_linenumber", "l_partkey", "l_suppkey", "cents"]
+    lists = ordered_list(_lines(spark, sf), ["l_orderkey"], order, item, "lines")
     docs = _orders(spark, sf).join(lists, F.col("l_orderkey") == F.col("o_orderkey"), "left").select(
         "o_orderkey",
         build_document(
@@ -458,11 +456,14 @@ def join_inner_back(spark, sf):
 
 
 @query(
-    """SELECT CAST(DATE '2024-01-29' - CAST(i AS INTEGER) AS VARCHAR) AS day_date, i + 1 AS day_num, count(event_id) AS n FROM range(30) t(i) LEFT JOIN events ON CAST(ts AS DATE) = DATE '2024-01-29' - CAST(i AS INTEGER) GROUP BY i"""
+    """SELECT CAST(hi - CAST(i AS INTEGER) AS VARCHAR) AS day_date, i + 1 AS day_num, count(event_id) AS n FROM (SELECT max(CAST(ts AS DATE)) AS hi, unnest(range(datediff('day', min(ts), max(ts)) + 1)) AS i FROM events)
+       LEFT JOIN events ON CAST(ts AS DATE) = hi - CAST(i AS INTEGER) GROUP BY hi, i"""
 )
 def join_expr_day(spark, sf):
-    days = recursive_series(spark, F.lit("2024-01-29").cast("date"), -1, 30)
-    counts = table(spark, sf, "events").groupBy(F.to_date("ts").alias("day_date")).agg(F.count("event_id").alias("n"))
+    events = table(spark, sf, "events").select("event_id", F.to_date("ts").alias("day_date"))
+    first, last = events.agg(F.min("day_date"), F.max("day_date")).first()
+    days = recursive_series(spark, F.lit(last), -1, (last - first).days + 1)
+    counts = events.groupBy("day_date").agg(F.count("event_id").alias("n"))
     return days.join(counts, "day_date", "left").select("day_date", "day_num", zero_if_null(F.col("n")).alias("n"))
 
 
@@ -602,13 +603,12 @@ def approx_functions(spark, sf):
     """SELECT l_orderkey, string_agg(DISTINCT l_returnflag, ',' ORDER BY l_returnflag) AS flags, string_agg(DISTINCT l_suppkey, ',' ORDER BY l_suppkey) AS suppliers, count(DISTINCT l_suppkey) AS n FROM lineitem GROUP BY 1"""
 )
 def array_agg_sorted(spark, sf):
-    """The flags are three at most; suppliers have no such bound, so their lists may go on in parts."""
     lines = table(spark, sf, "lineitem").select("l_orderkey", "l_returnflag", "l_suppkey")
     flags = lines.groupBy("l_orderkey").agg(
         sorted_set("l_returnflag").alias("flags"), F.count_distinct("l_suppkey").alias("n")
     )
-    pairs = settle(lines.select("l_orderkey", "l_suppkey").distinct())
-    lists = collect_parts(pairs, ["l_orderkey"], ["l_suppkey"], F.col("l_suppkey"), "suppliers", 100_000)
+    pairs = lines.select("l_orderkey", "l_suppkey").distinct()
+    lists = ordered_list(pairs, ["l_orderkey"], ["l_suppkey"], F.col("l_suppkey"), "suppliers")
     return flags.join(lists, "l_orderkey").select("l_orderkey", "flags", "suppliers", "n")
 
 
@@ -619,10 +619,10 @@ def listagg_distinct(spark, sf):
     )
 
 
-@query("SELECT o_custkey, string_agg(o_orderkey, ',' ORDER BY o_orderdate, o_orderkey) AS keys, 0 AS list_part FROM orders GROUP BY 1")
+@query("SELECT o_custkey, string_agg(o_orderkey, ',' ORDER BY o_orderdate, o_orderkey) AS keys FROM orders GROUP BY 1")
 def listagg_ordered(spark, sf):
-    return collect_parts(
-        table(spark, sf, "orders"), ["o_custkey"], ["o_orderdate", "o_orderkey"], F.col("o_orderkey"), "keys", 100_000
+    return ordered_list(
+        table(spark, sf, "orders"), ["o_custkey"], ["o_orderdate", "o_orderkey"], F.col("o_orderkey"), "keys"
     )
 
 
@@ -907,28 +907,35 @@ def watchlist(spark, sf):
     """SELECT o_orderkey, CAST(d AS VARCHAR) AS date_day, year(d) AS year_num, quarter(d) AS quarter_num, month(d) AS month_num, left(monthname(d), 3) AS month_name, weekofyear(d) AS week_num, dayofweek(d) AS day_of_week,
        left(dayname(d), 3) AS day_name, day(d) AS day_of_month, dayofyear(d) AS day_of_year, dayofweek(d) IN (0, 6) AS is_weekend, d = last_day(d) AS is_month_end, CAST(CAST(date_trunc('month', d) AS DATE) AS VARCHAR) AS first_of_month,
        CAST(last_day(d) AS VARCHAR) AS last_of_month, day(d) AS day_of_month_seq, 'Q' || ((month(d) + 5) % 12 // 3 + 1) AS fiscal_quarter, 'FY' || (year(d) + (month(d) > 6)::INT) AS fiscal_year
-       FROM (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d FROM orders) WHERE d < DATE '1995-01-01' + 2000"""
+       FROM (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d FROM orders)"""
 )
 def calendar_orders(spark, sf):
-    days = calendar(spark, "1995-01-01", 2000)
     orders = table(spark, sf, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("date_day"))
-    return orders.join(days, "date_day")
+    first, last = orders.agg(F.min("date_day"), F.max("date_day")).first()
+    return orders.join(calendar(spark, first.isoformat(), (last - first).days + 1), "date_day")
 
 
 @query(
-    """SELECT CAST(d AS VARCHAR) AS date_day, (SELECT count(*) FROM orders WHERE CAST(o_orderdate AS DATE) = d) AS n FROM (SELECT CAST(unnest(generate_series(DATE '1999-12-20', DATE '2000-03-05', INTERVAL 1 DAY)) AS DATE) AS d)"""
+    """SELECT CAST(d AS VARCHAR) AS date_day, (SELECT count(*) FROM orders WHERE CAST(o_orderdate AS DATE) = d) AS n FROM (SELECT CAST(unnest(generate_series(min(o_orderdate), max(o_orderdate), INTERVAL 1 DAY)) AS DATE) AS d FROM orders)"""
 )
 def spine_orders(spark, sf):
-    days = time_spine(spark, "1999-12-20", "2000-03-05")
-    counts = table(spark, sf, "orders").groupBy(F.to_date("o_orderdate").alias("date_day")).agg(F.count(F.lit(1)).alias("n"))
+    orders = table(spark, sf, "orders").select(F.to_date("o_orderdate").alias("date_day"))
+    first, last = orders.agg(F.min("date_day"), F.max("date_day")).first()
+    days = time_spine(spark, first.isoformat(), last.isoformat())
+    counts = orders.groupBy("date_day").agg(F.count(F.lit(1)).alias("n"))
     return days.join(counts, "date_day", "left").select("date_day", zero_if_null(F.col("n")).alias("n"))
 
 
-@query("SELECT i AS seq, i * 7 AS low, i * 7 + 7 AS high, count(event_id) AS n FROM range(15) t(i) LEFT JOIN events ON value >= i * 7 AND value < i * 7 + 7 GROUP BY i")
+@query(
+    """SELECT i AS seq, i * 7 AS low, i * 7 + 7 AS high, count(event_id) AS n FROM (SELECT unnest(range(CAST(floor(max(value) / 7) AS BIGINT) + 1)) AS i FROM events)
+       LEFT JOIN events ON greatest(value, 0) >= i * 7 AND greatest(value, 0) < i * 7 + 7 GROUP BY i"""
+)
 def generated_buckets(spark, sf):
-    bucket = F.floor(F.col("value") / 7)
-    counts = table(spark, sf, "events").groupBy(bucket.alias("seq")).agg(F.count(F.lit(1)).alias("n"))
-    rows = row_generator(spark, 15).select("seq", (F.col("seq") * 7).alias("low"), (F.col("seq") * 7 + 7).alias("high"))
+    """As many buckets as the largest value needs; what is below zero counts in the first."""
+    events = table(spark, sf, "events").select(F.floor(F.greatest("value", F.lit(0)) / 7).alias("seq"))
+    counts = events.groupBy("seq").agg(F.count(F.lit(1)).alias("n"))
+    last = events.agg(F.max("seq")).first()[0] or 0
+    rows = row_generator(spark, int(last) + 1).select("seq", (F.col("seq") * 7).alias("low"), (F.col("seq") * 7 + 7).alias("high"))
     return rows.join(counts, "seq", "left").withColumn("n", zero_if_null(F.col("n")))
 
 
@@ -1160,15 +1167,15 @@ def newer_than_mark(spark, sf):
 
 
 @query(
-    f"""SELECT o_custkey, o_orderkey, o_orderstatus, cents, CAST(o_orderdate AS VARCHAR) AS o_orderdate FROM {ORD} WHERE o_orderdate < DATE '2001-01-01'
+    f"""SELECT o_custkey, o_orderkey, o_orderstatus, cents, CAST(o_orderdate AS VARCHAR) AS o_orderdate FROM {ORD}
         QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey) = 1"""
 )
 def merge_upsert_orders(spark, sf):
-    """Three incremental runs that keep each customer's newest order, then a compaction."""
+    """Four incremental runs that keep each customer's newest order, the last of them with all orders, then a compaction."""
     orders = _orders(spark, sf).select("o_custkey", "o_orderkey", "o_orderstatus", "cents", "o_orderdate")
     target = KeyedTable(spark, fresh_path(spark, "upsert"), "o_custkey")
     order = [desc("o_orderdate"), asc("o_orderkey")]
-    for end in ("1997-01-01", "1999-06-15", "2001-01-01"):
+    for end in ("1997-01-01", "1999-06-15", "2001-01-01", "9999-01-01"):
         arrived = orders.filter(F.col("o_orderdate") < F.lit(end).cast("date"))
         merge_upsert(target, arrived, "o_orderdate", order, lambda rows: rows)
     target.compact()
@@ -1199,17 +1206,17 @@ def _plan(year: str):
 
 
 @query(
-    f"""WITH a AS {_plan('1998')}, b AS {_plan('2000')}
-        SELECT id, plan, ref, '1998-01-01 00:00:00' AS valid_from, CASE WHEN b.plan <> a.plan THEN '2000-01-01 00:00:00' END AS valid_to FROM a JOIN (SELECT id, plan FROM b) b USING (id)
-        UNION ALL SELECT id, b.plan, b.ref, '2000-01-01 00:00:00', NULL FROM b LEFT JOIN (SELECT id, plan AS p FROM a) a USING (id) WHERE p IS NULL OR p <> b.plan""".replace(
+    f"""WITH a AS {_plan('1998')}, b AS {_plan('9999')}
+        SELECT id, plan, ref, '1998-01-01 00:00:00' AS valid_from, CASE WHEN b.plan <> a.plan THEN '9999-01-01 00:00:00' END AS valid_to FROM a JOIN (SELECT id, plan FROM b) b USING (id)
+        UNION ALL SELECT id, b.plan, b.ref, '9999-01-01 00:00:00', NULL FROM b LEFT JOIN (SELECT id, plan AS p FROM a) a USING (id) WHERE p IS NULL OR p <> b.plan""".replace(
         "SELECT id, plan, ref, '1998", "SELECT id, a.plan, ref, '1998"
     )
 )
 def scd2_snapshot_plans(spark, sf):
-    """Two snapshots of each customer's current priority."""
+    """Two snapshots of each customer's current priority, the second after all orders."""
     orders = table(spark, sf, "orders")
     history = None
-    for year in ("1998", "2000"):
+    for year in ("1998", "9999"):
         before = orders.filter(F.col("o_orderdate") < F.lit(f"{year}-01-01").cast("date"))
         now = latest_by(before, ["o_custkey"], [desc("o_orderdate"), asc("o_orderkey")]).select(
             F.col("o_custkey").alias("id"), F.col("o_orderpriority").alias("plan"), F.col("o_orderkey").alias("ref")

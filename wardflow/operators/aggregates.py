@@ -159,19 +159,13 @@ def joined_set(column: Column | str, separator: str) -> Column:
     return F.array_join(sorted_set(column), separator)
 
 
-def collect_parts(df: DataFrame, keys: list[str], order: list[str], item: Column, name: str, max_items: int) -> DataFrame:
-    """Ordered list per group, as `name`, in cells of at most `max_items`; `list_part` counts the cells.
+def ordered_list(df: DataFrame, keys: list[str], order: list[str], item: Column, name: str) -> DataFrame:
+    """One row per group with all its items, ordered, as `name`; NULLs in the order come last.
 
-    A group within the limit has the one part 0. A longer list goes on in parts 1, 2, ...: nothing
-    is left out and no task holds more than one part.
+    A group always has one row, so totals joined to it are never repeated. The list is a cell: keep the
+    member relation itself where groups have no bound.
     """
-    sizes = group_sizes(df, keys)
     sort = [c for o in order for c in (F.col(o).isNull(), F.col(o))]
-    packed = df.select(*keys, *order, F.struct(*[c.alias(f"s{i}") for i, c in enumerate(sort)], item.alias("item")).alias("__e"))
-    if sizes.largest <= max_items:
-        parted = packed.withColumn("list_part", F.lit(0))
-    else:
-        numbered = ordered_window(packed, keys, [asc(o) for o in order], sizes, __rn=row_number())
-        parted = numbered.withColumn("list_part", F.floor((F.col("__rn") - 1) / max_items).cast("int"))
-    cells = parted.groupBy(*keys, "list_part").agg(F.array_sort(F.collect_list("__e")).alias("__l"))
-    return cells.select(*keys, "list_part", F.col("__l")["item"].alias(name))
+    packed = df.select(*keys, F.struct(*[c.alias(f"s{i}") for i, c in enumerate(sort)], item.alias("item")).alias("__e"))
+    lists = packed.groupBy(*keys).agg(F.array_sort(F.collect_list("__e")).alias("__l"))
+    return lists.select(*keys, F.col("__l")["item"].alias(name))

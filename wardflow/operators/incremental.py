@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from wardflow.functions import surrogate_key, text_of
 from wardflow.operators.ordered import By, asc, lead, ordered_window
-from wardflow.operators.relational import latest_by, newer_than
+from wardflow.operators.relational import arrived_since, latest_by, newer_than
+from wardflow.session import settle
 from wardflow.sources.tables import KeyedTable
 
 
@@ -19,31 +20,49 @@ def high_mark(df: DataFrame, column: str):
 
 
 def merge_upsert(
-    table: KeyedTable, source: DataFrame, watermark: str, order: list[By], build: Callable[[DataFrame], DataFrame]
+    table: KeyedTable,
+    source: DataFrame,
+    watermark: str,
+    order: list[By],
+    build: Callable[[DataFrame], DataFrame],
+    late: int = 0,
 ) -> DataFrame:
     """Take the source rows past the table's mark, build target rows, keep one per key, upsert.
 
     The mark is the highest *source* value consumed. Comparing source times with the load time of
-    the target would lose every row that arrives late.
+    the target would lose every row that arrives late. Rows at the mark, and up to `late` behind it, are
+    looked at again: those whose key the table does not hold yet are inserted, so a run repeats safely.
     """
-    fresh = newer_than(source, watermark, table.watermark())
-    mark = high_mark(fresh, watermark)
-    if mark is None and table.exists():
+    old = table.watermark()
+    if not table.exists() or old is None:
+        table.merge(latest_by(build(source), [table.key], order), high_mark(source, watermark))
         return table.read()
-    rows = latest_by(build(fresh), [table.key], order)
-    table.merge(rows, mark)
+    fresh = newer_than(source, watermark, old)
+    new = latest_by(build(fresh), [table.key], order)
+    again = arrived_since(source, watermark, old, late).exceptAll(fresh)
+    known = table.read().select(table.key).unionByName(new.select(table.key))
+    missed = latest_by(build(again), [table.key], order).join(known, table.key, "left_anti")
+    rows = settle(new.unionByName(missed.select(new.columns)))
+    if not rows.isEmpty():
+        table.merge(rows, high_mark(fresh, watermark))
     return table.read()
 
 
 def merge_aggregate(
-    table: KeyedTable, source: DataFrame, watermark: str, groups: list[str], build: Callable[[DataFrame], DataFrame]
+    table: KeyedTable,
+    source: DataFrame,
+    watermark: str,
+    groups: list[str],
+    build: Callable[[DataFrame], DataFrame],
+    late: int = 0,
 ) -> DataFrame:
     """Upsert aggregates: groups touched by new rows are aggregated again from all their rows.
 
-    Aggregating only the new rows would overwrite a group's total with a part of it.
+    Aggregating only the new rows would overwrite a group's total with a part of it. Groups with rows at
+    the mark, or up to `late` behind it, count as touched.
     """
     old = table.watermark()
-    fresh = newer_than(source, watermark, old)
+    fresh = arrived_since(source, watermark, old, late)
     mark = high_mark(fresh, watermark)
     if mark is None and table.exists():
         return table.read()

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardflow.operators.aggregates import collect_parts
-from wardflow.operators.ordered import asc, group_sizes, group_totals, ordered_window, running
+from wardflow.operators.ordered import asc, group_totals, ordered_window, running
 from wardflow.operators.relational import share_of_total
 from wardflow.session import settle
 
@@ -14,7 +13,7 @@ BLOCK_ITEMS = 1000
 
 
 def cooccurrence_pairs(
-    df: DataFrame, entity: str, item: str, label: str, min_support: int = 2, max_items: int = 100_000
+    df: DataFrame, entity: str, item: str, label: str, min_support: int = 2
 ) -> DataFrame:
     """Unordered item pairs with the number, share and list of entities that have both.
 
@@ -24,10 +23,10 @@ def cooccurrence_pairs(
     """
     known = F.col(item).isNotNull() & F.col(entity).isNotNull()
     things = settle(df.select(entity, item, label).filter(known).distinct())
-    by_item = group_sizes(things, [item, label])
-    support = group_totals(things, [item, label], by_item, __support=F.count(F.lit(1)))
+    support = group_totals(things, [item, label], __support=F.count(F.lit(1)))
     frequent = support.filter(F.col("__support") >= min_support).drop("__support")
-    sized = group_totals(frequent, [entity], __items=F.count(F.lit(1)))
+    # Both sides of the join below read this.
+    sized = settle(group_totals(frequent, [entity], __items=F.count(F.lit(1))))
     blocks = F.ceil(F.col("__items") / BLOCK_ITEMS).cast("int")
     left = sized.select(
         F.col(entity).alias("__e"), F.col(item).alias("item_1"), F.col(label).alias("label_1"),
@@ -41,17 +40,8 @@ def cooccurrence_pairs(
     pairs = left.join(right, same & (F.col("item_1") < F.col("item_2")))
     keys = ["item_1", "item_2", "label_1", "label_2"]
     support = F.count(F.lit(1)).alias("support")
-    if by_item.largest <= max_items:
-        # No pair has more entities than its rarer item, so every list fits one cell.
-        counted = pairs.groupBy(*keys).agg(support, F.array_sort(F.collect_list(entity)).alias("entities"))
-        kept = counted.filter(F.col("support") >= min_support).withColumn("list_part", F.lit(0))
-        joined = share_of_total(settle(kept), prevalence="support")
-    else:
-        counted = pairs.groupBy(*keys).agg(support).filter(F.col("support") >= min_support)
-        shared = share_of_total(settle(counted), prevalence="support")
-        lists = collect_parts(pairs.select(*keys, entity), keys, [entity], F.col(entity), "entities", max_items)
-        same_pair = [shared[k].eqNullSafe(lists[k]) for k in keys]
-        joined = shared.join(lists, same_pair, "inner").select(shared["*"], lists["list_part"], lists["entities"])
+    counted = pairs.groupBy(*keys).agg(support, F.array_sort(F.collect_list(entity)).alias("entities"))
+    joined = share_of_total(settle(counted.filter(F.col("support") >= min_support)), prevalence="support")
     return joined.withColumn("pair_hash", F.xxhash64("item_1", "item_2"))
 
 

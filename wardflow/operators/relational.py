@@ -63,3 +63,19 @@ def newer_than(df: DataFrame, column: str, watermark) -> DataFrame:
         return df
     mark = F.lit(str(watermark)).cast(df.schema[column].dataType)
     return df.filter(F.col(column) > mark)
+
+
+def arrived_since(df: DataFrame, column: str, watermark, late: int = 0) -> DataFrame:
+    """Rows at or past the high-water mark less `late` (days of a date or time, else plain units).
+
+    Rows at the mark may have come after it was taken; what may come later still is for `late` to say.
+    """
+    if watermark is None:
+        return df
+    kind = df.schema[column].dataType
+    mark = F.lit(str(watermark)).cast(kind)
+    if kind.typeName() in ("date", "timestamp", "timestamp_ntz"):
+        since = mark - F.make_dt_interval(F.lit(late))
+    else:
+        since = mark - F.lit(late) if late else mark
+    return df.filter(F.col(column) >= since)

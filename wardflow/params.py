@@ -19,8 +19,8 @@ class Params:
     los_long_stay: int = 60
     scd_valid_to: str = "9999-12-31"
     fiscal_start_month: int = 7
-    # Longest list kept in one cell; longer ones go on in further rows.
-    max_list_items: int = 100_000
+    # How many days behind the newest row seen others may still arrive, for incremental loads.
+    late_days: int = 0
 
     def now(self) -> Column:
         if self.as_of is None:

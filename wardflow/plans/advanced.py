@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from wardflow.functions import band, floor_day, floor_month, iff, mask_pii, md5_key, since, zero_if_null
 from wardflow.operators.aggregates import (
-    collect_parts,
     grouping_sets,
     joined_set,
+    ordered_list,
     pivot_sum,
     sorted_set,
     unpivot,
@@ -172,14 +172,14 @@ def adv_hash_clustering(stg_patients: DataFrame, params: Params) -> DataFrame:
 def adv_json_reconstruction(
     stg_patients: DataFrame, stg_diagnoses: DataFrame, stg_medications: DataFrame, params: Params
 ) -> DataFrame:
-    """One bundle per patient; lists longer than one cell may hold go on in bundles with `list_part` > 0."""
+    """One bundle per patient, with all diagnoses and medications and their counts."""
     people = stg_patients.select(
         "patient_id", "full_name", "age", "gender", "facility_id", "diagnosis_count", "medication_count"
     )
 
     def listed(df: DataFrame, order: list[str], fields: dict[str, str], name: str) -> DataFrame:
         item = F.struct(*[F.col(c).alias(n) for n, c in fields.items()])
-        return collect_parts(df, ["patient_id"], order, item, name, params.max_list_items)
+        return ordered_list(df, ["patient_id"], order, item, name)
 
     dx_fields = {"code": "icd10_code", "description": "diagnosis_description", "is_primary": "is_primary", "severity": "severity"}
     med_fields = {
@@ -188,7 +188,7 @@ def adv_json_reconstruction(
     }
     dx = listed(stg_diagnoses, ["diagnosis_sequence", "icd10_code"], dx_fields, "dx")
     meds = listed(stg_medications, ["medication_sequence", "_ingested_at"], med_fields, "meds")
-    lists = dx.join(meds, ["patient_id", "list_part"], "full_outer")
+    lists = dx.join(meds, "patient_id", "full_outer")
     joined = people.join(lists, "patient_id", "left")
     dx_list, med_list = F.coalesce("dx", F.array()), F.coalesce("meds", F.array())
     bundle = build_document(
@@ -208,7 +208,6 @@ def adv_json_reconstruction(
         bundle.alias("patient_fhir_bundle"),
         F.array_size(dx_list).alias("actual_dx_count"),
         F.array_size(med_list).alias("actual_med_count"),
-        zero_if_null(F.col("list_part")).alias("list_part"),
     )
 
 

@@ -18,7 +18,7 @@ from wardflow.functions import (
     share,
     zero_if_null,
 )
-from wardflow.operators.aggregates import collect_parts, grouped, grouping_sets, histogram, joined_set, sorted_set
+from wardflow.operators.aggregates import grouped, grouping_sets, histogram, joined_set, ordered_list, sorted_set
 from wardflow.operators.features import rate_card, rule_points, unify_alerts, watchlist_overlap
 from wardflow.operators.ordered import (
     Sizes,
@@ -207,10 +207,7 @@ def int_cost_allocation(stg_claims: DataFrame, params: Params) -> DataFrame:
 
 
 def int_diagnosis_pairs(stg_diagnoses: DataFrame, params: Params) -> DataFrame:
-    """`list_part` is 0 unless a pair has more patients than one cell may hold."""
-    pairs = cooccurrence_pairs(
-        stg_diagnoses, "patient_id", "icd10_code", "diagnosis_description", 2, params.max_list_items
-    )
+    pairs = cooccurrence_pairs(stg_diagnoses, "patient_id", "icd10_code", "diagnosis_description", 2)
     return pairs.select(
         F.col("item_1").alias("dx_1"), F.col("item_2").alias("dx_2"),
         F.col("label_1").alias("desc_1"), F.col("label_2").alias("desc_2"),
@@ -218,7 +215,6 @@ def int_diagnosis_pairs(stg_diagnoses: DataFrame, params: Params) -> DataFrame:
         F.col("support").alias("patient_count"),
         F.col("prevalence").alias("prevalence_pct"),
         F.col("entities").alias("patient_ids"),
-        "list_part",
     )
 
 
@@ -608,7 +604,6 @@ def int_pdpm_revenue(stg_mds_assessments: DataFrame, params: Params) -> DataFram
 
 
 def int_provider_panels(stg_encounters: DataFrame, params: Params) -> DataFrame:
-    """`list_part` is 0 unless a provider has more patients than one cell may hold."""
     stay = boundary_diff("day", F.col("admit_datetime"), F.coalesce(F.col("discharge_datetime"), params.now()))
     seen = stg_encounters.filter(F.col("provider_npi").isNotNull()).withColumnRenamed("provider_npi", "provider_id")
     panels = seen.groupBy("provider_id").agg(
@@ -621,13 +616,11 @@ def int_provider_panels(stg_encounters: DataFrame, params: Params) -> DataFrame:
         F.min("admit_datetime").alias("first_encounter"),
         F.max("admit_datetime").alias("last_encounter"),
     ).filter(F.col("panel_size") >= 1)
-    people = settle(seen.filter(F.col("patient_id").isNotNull()).select("provider_id", "patient_id").distinct())
-    lists = collect_parts(
-        people, ["provider_id"], ["patient_id"], F.col("patient_id"), "patient_list", params.max_list_items
-    )
+    people = seen.filter(F.col("patient_id").isNotNull()).select("provider_id", "patient_id").distinct()
+    lists = ordered_list(people, ["provider_id"], ["patient_id"], F.col("patient_id"), "patient_list")
     return panels.join(lists, "provider_id").select(
         "provider_id", "panel_size", "patient_list", "total_encounters", "avg_los", "emergency_visits", "readmissions",
-        "readmission_rate", "first_encounter", "last_encounter", "list_part",
+        "readmission_rate", "first_encounter", "last_encounter",
     )
 
 

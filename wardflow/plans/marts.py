@@ -117,7 +117,7 @@ def fct_clinical_events(int_clinical_alerts: DataFrame, params: Params, table: K
     if table is None:
         return build(int_clinical_alerts)
     order = [asc("severity_level"), asc("event_description")]
-    return merge_upsert(table, int_clinical_alerts, "alert_timestamp", order, build)
+    return merge_upsert(table, int_clinical_alerts, "alert_timestamp", order, build, params.late_days)
 
 
 def fct_daily_census(stg_patients: DataFrame, params: Params, table: KeyedTable | None = None) -> DataFrame:
@@ -144,7 +144,7 @@ def fct_daily_census(stg_patients: DataFrame, params: Params, table: KeyedTable
 
     if table is None:
         return build(stg_patients)
-    return merge_aggregate(table, stg_patients, "_ingested_at", ["facility_id", "admit_date"], build)
+    return merge_aggregate(table, stg_patients, "_ingested_at", ["facility_id", "admit_date"], build, params.late_days)
 
 
 def fct_payer_summary(stg_claims: DataFrame, params: Params) -> DataFrame:
@@ -208,13 +208,15 @@ def fct_quality_dashboard(stg_encounters: DataFrame, params: Params, table: Keye
 
     if table is None:
         return build(weekly)
-    return merge_aggregate(table, weekly, "_ingested_at", ["facility_id", "week_start"], build)
+    return merge_aggregate(table, weekly, "_ingested_at", ["facility_id", "week_start"], build, params.late_days)
 
 
 def fct_revenue(
     stg_claims: DataFrame, stg_patients: DataFrame, params: Params, table: KeyedTable | None = None
 ) -> DataFrame:
-    people = stg_patients.select(
+    """Claims with their patient as last known; earlier copies of a patient would count a claim twice."""
+    newest = latest_by(stg_patients, ["patient_id"], [desc("_ingested_at"), asc("facility_id")])
+    people = newest.select(
         "patient_id", "facility_id", F.col("age").alias("patient_age"), F.col("gender").alias("patient_gender")
     )
 
@@ -233,7 +235,7 @@ def fct_revenue(
     if table is None:
         return build(stg_claims)
     order = [desc("service_date"), asc("facility_id"), asc("total_charges")]
-    return merge_upsert(table, stg_claims, "_ingested_at", order, build)
+    return merge_upsert(table, stg_claims, "_ingested_at", order, build, params.late_days)
 
 
 def fct_staffing_metrics(stg_facility_events: DataFrame, params: Params) -> DataFrame:

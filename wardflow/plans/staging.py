@@ -544,7 +544,7 @@ def stg_encounter_diagnoses(raw_encounters: DataFrame, params: Params) -> DataFr
 
 
 def stg_care_plans(raw_encounters: DataFrame, params: Params) -> DataFrame:
-    """`list_part` is 0 unless a patient has more interventions than one cell may hold."""
+    """Goals with, on each row, all interventions of the patient as one text."""
     doc = parse(
         raw_encounters,
         "patient_id string, encounter_id string, care_plan array<struct<goal:string,intervention:string,"
@@ -563,18 +563,14 @@ def stg_care_plans(raw_encounters: DataFrame, params: Params) -> DataFrame:
     )
     order = ["priority_rank", "encounter_id", "goal_sequence", "_ingested_at", "intervention"]
     numbered = ordered_window(rows, ["patient_id"], [asc(o) for o in order], __rn=row_number())
-    numbered = numbered.withColumn("list_part", F.floor((F.col("__rn") - 1) / params.max_list_items).cast("int"))
     packed = F.struct(F.col("__rn"), F.col("intervention"))
-    lists = numbered.groupBy("patient_id", "list_part").agg(
+    lists = numbered.groupBy("patient_id").agg(
         F.array_sort(F.collect_list(F.when(F.col("intervention").isNotNull(), packed))).alias("__l")
     )
     joined = F.array_join(F.col("__l")["intervention"], "; ")
-    lists = lists.select(
-        F.col("patient_id").alias("__p"), F.col("list_part").alias("__part"), joined.alias("all_interventions")
-    )
-    same = numbered["patient_id"].eqNullSafe(lists["__p"]) & (numbered["list_part"] == lists["__part"])
-    return numbered.join(lists, same).select(
-        *[c for c in rows.columns if c != "_ingested_at"], "all_interventions", "_ingested_at", "list_part"
+    lists = lists.select(F.col("patient_id").alias("__p"), joined.alias("all_interventions"))
+    return numbered.join(lists, numbered["patient_id"].eqNullSafe(lists["__p"])).select(
+        *[c for c in rows.columns if c != "_ingested_at"], "all_interventions", "_ingested_at"
     )
 
 
