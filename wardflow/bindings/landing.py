@@ -23,6 +23,7 @@ EVENTS_AS_OF = datetime(2024, 1, 29, 12, 30)
 PARAMS = Params(as_of=AS_OF)
 EVENT_PARAMS = Params(as_of=EVENTS_AS_OF)
 
+# Medication names the models look for, and others.
 MEDS = [
     "Warfarin", "Aspirin", "Heparin", "Enoxaparin", "Metformin", "Insulin", "Glipizide", "Lisinopril", "Losartan",
     "Metoprolol", "Atorvastatin", "Fenofibrate", "Carvedilol", "Zosyn",
@@ -206,6 +207,7 @@ def raw_facility_ops(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").selectExpr(
         "*", "event_id AS k", "cast(ts as timestamp_ntz) AS t", "floor(value) AS v"
     )
+    # The event types the models know.
     kinds = _list(
         ["bed_sensor", "nurse_call", "fall_alert", "med_dispense", "door_access", "temp_alarm", "elopement_risk", "equipment_check"]
     )
@@ -246,8 +248,8 @@ def raw_facility_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def facility_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Facilities 1 to 9 with beds, from nation; facilities 0 is missing, 8 and 9 have no patient."""
-    return table(spark, sf_dir, "nation").filter("n_nationkey between 1 and 9").selectExpr(
+    """A facility with beds for each nation; the first has none, those from 8 on have no patient."""
+    return table(spark, sf_dir, "nation").selectExpr(
         "concat('FAC0', n_nationkey) AS facility_id", "n_name AS facility_name", "'SNF' AS facility_type",
         "concat('S', n_regionkey) AS state", "cast(n_nationkey * 10 as int) AS bed_count", "cast(n_regionkey as int) AS cms_rating",
     )

@@ -36,6 +36,7 @@ from wardflow.functions import (
     md5_key,
     plus,
     safe_divide,
+    safe_variant_cast,
     score,
     share,
     since,
@@ -202,6 +203,18 @@ def json_path_extract(spark, sf):
     )
 
 
+@query(
+    """SELECT event_id AS id, coalesce(TRY_CAST(props ->> 'k' AS BIGINT), -1) AS k, 0.5::DOUBLE AS kind_number, coalesce(TRY_CAST(CASE WHEN event_id % 4 = 0 THEN 'x' ELSE CAST(user_id AS VARCHAR) END AS INTEGER), 0) AS who FROM events"""
+)
+def safe_cast_default(spark, sf):
+    events = table(spark, sf, "events")
+    who = F.when(F.col("event_id") % 4 == 0, F.lit("x")).otherwise(F.col("user_id").cast("string"))
+    return events.select(
+        F.col("event_id").alias("id"), safe_variant_cast(F.get_json_object("props", "$.k"), "bigint", -1).alias("k"),
+        safe_variant_cast(F.col("event_type"), "double", 0.5).alias("kind_number"), safe_variant_cast(who, "int", 0).alias("who"),
+    )
+
+
 @query("SELECT event_id AS id, [ 'a', 'b', 'c'][i + 1] AS tag, i + 1 AS tag_number FROM events, unnest(range(event_id % 4)) t(i)")
 def flatten_array(spark, sf):
     doc = parse(_event_docs(spark, sf), "id bigint, tags array<string>")

@@ -34,6 +34,11 @@ def whole(text: Column, safe: bool = False) -> Column:
     return number.cast("bigint")
 
 
+def safe_variant_cast(text: Column, kind: str, default) -> Column:
+    """The text as `kind`, or the default where it is NULL or cannot be read so."""
+    return F.coalesce(text.try_cast(kind), F.lit(default).cast(kind))
+
+
 def iqr_fences(p25: Column, p75: Column, k: float = 1.5) -> tuple[Column, Column, Column]:
     """Interquartile range and the fences k ranges outside it."""
     spread = p75 - p25

@@ -132,7 +132,8 @@ def ordered_window(
     """`df` with one column per entry of `calcs`."""
     sizes = sizes or group_sizes(df, partition)
     limit = max_group_rows(df.sparkSession)
-    if sizes.largest <= limit:
+    # Without keys all rows would meet in one task, so these are always sharded.
+    if partition and sizes.largest <= limit:
         return _plain(df, partition, order, calcs)
     workers = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     shards = max(workers, min(ceil(2 * sizes.rows / limit), MAX_SHARDS))
@@ -348,7 +349,7 @@ def peer_ranks(
     per distinct sort value, those few rows are ranked, and the ranks are joined back.
     """
     sizes = sizes or group_sizes(df, partition)
-    if sizes.largest <= max_group_rows(df.sparkSession):
+    if partition and sizes.largest <= max_group_rows(df.sparkSession):
         w = Window.partitionBy(*partition).orderBy(*[by.column for by in order])
         return df.withColumns({name: getattr(F, kind)().over(w) for name, kind in kinds.items()})
     keys = [*partition, *[by.name for by in order]]
@@ -413,7 +414,8 @@ def join_facts(
         return side.join(F.broadcast(hot), same, "left").drop(*[f"__h_{k}" for k in keys])
 
     left = marked(df, keys)
-    spread = F.pmod(F.xxhash64(*df.columns), F.col("__salts")).cast("int")
+    # By place, not by value: equal rows of a hot key must part too.
+    spread = F.pmod(F.monotonically_increasing_id(), F.col("__salts")).cast("int")
     left = left.withColumn("__salt", F.coalesce(spread, F.lit(0))).drop("__salts")
     copies = F.sequence(F.lit(0), F.coalesce(F.col("__salts"), F.lit(1)) - 1)
     right = marked(renamed, [f"__k_{k}" for k in keys]).withColumn("__k_salt", F.explode(copies)).drop("__salts")

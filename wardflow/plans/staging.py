@@ -43,6 +43,7 @@ from wardflow.operators.semi import flatten, flatten_keep, object_keys
 from wardflow.params import Params
 from wardflow.sources.landing import parse
 
+# Routes of medication.
 ROUTES = {
     "PO": "Oral",
     "IV": "Intravenous",
