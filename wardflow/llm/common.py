@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wardflow.session import fresh_path
+
 #: The white space between words: blank, tab, line feed, vertical tab, form feed, carriage return.
 SPACE = r"[\x20\x09-\x0D]+"
 
@@ -22,6 +24,29 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+class Scratch:
+    """Relations written to the shared folder, as by `settle`, that are removed when nothing reads them any more."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def settle(self, df: DataFrame) -> DataFrame:
+        """The relation written and read back."""
+        path = fresh_path(self.spark, "scratch")
+        self.paths.append(path)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def clear(self) -> None:
+        """Removes what was written."""
+        context = self.spark.sparkContext
+        for name in self.paths:
+            path = context._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+        self.paths.clear()
+
+
 def words_of(text: Column) -> Column:
     """The words of a text, between white space; none for NULL."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE), "")

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardflow.llm.common import join_by_key, let, words_of
+from wardflow.llm.common import Scratch, join_by_key, let, words_of
 from wardflow.session import settle
 
 SHINGLE = 5
@@ -22,34 +22,31 @@ UNIT_ROWS = 500
 LINE = ["doc_id", "version", "pos"]
 
 
-def _shingles(words: Column, size: int) -> Column:
-    """64-bit hashes of `size` words in a row; a shorter line is one shingle."""
+def _tokens(words: Column, size: int) -> Column:
+    """Distinct 32-bit hashes of `size` words in a row; a shorter line is one shingle."""
     steps = [words, *[F.slice(words, k, F.size(words)) for k in range(2, size + 1)]]
     count = F.greatest(F.size(words) - (size - 1), F.least(F.size(words), F.lit(1)))
-    return F.transform(F.slice(F.arrays_zip(*steps), F.lit(1), count), lambda s: F.xxhash64(s))
+    shingles = F.slice(F.arrays_zip(*steps), F.lit(1), count)
+    return F.array_distinct(F.transform(shingles, lambda s: F.shiftright(F.xxhash64(s), 32).cast("int")))
 
 
 def line_sets(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """One settled row per line of `docs` (doc_id, text): its place, token set and the set's 128-bit name.
+    """One row per line of `docs` (doc_id, text): its place, its token set and a 128-bit name of its words.
 
-    Tokens are shingles of words. A set is named by hashes of its 64-bit tokens; the set itself keeps
-    32 bits of each. Lines without words have an empty set.
+    Tokens are hashes of word shingles. Lines without words have an empty set.
     """
     lines = docs.select(
         "doc_id",
         F.xxhash64("text").alias("version"),
         F.posexplode_outer(F.split(F.coalesce("text", F.lit("")), "\n")).alias("pos", "line"),
     )
-    tokens = let(words_of(F.col("line")), lambda w: F.sort_array(F.array_distinct(_shingles(w, shingle))))
     made = let(
-        tokens,
-        lambda t: F.struct(
-            F.array_distinct(F.transform(t, lambda x: F.shiftright(x, 32).cast("int"))).alias("tokens"),
-            F.xxhash64(t).alias("h1"),
-            F.xxhash64(F.lit(1), t).alias("h2"),
+        words_of(F.col("line")),
+        lambda w: F.struct(
+            _tokens(w, shingle).alias("tokens"), F.xxhash64(w).alias("h1"), F.xxhash64(F.lit(1), w).alias("h2")
         ),
     )
-    return settle(lines.select(*LINE, made.alias("set")).select(*LINE, "set.*"))
+    return lines.select(*LINE, made.alias("set")).select(*LINE, "set.*")
 
 
 def _levels(lines: DataFrame) -> Column:
@@ -76,33 +73,34 @@ def _prefix(tokens: Column, levels: Column, similarity: float) -> Column:
         )
     )
     size = F.size(tokens)
-    return F.slice(ordered, F.lit(1), size - _ceil(F.lit(similarity) * size) + 1)
+    first = F.slice(ordered, F.lit(1), size - _ceil(F.lit(similarity) * size) + 1)
+    return F.transform(first, lambda x: (x.bitwiseAND(F.lit((1 << 32) - 1)) - F.lit(1 << 31)).cast("int"))
 
 
-def _bitmap(tokens: Column, half: int) -> Column:
-    """One of the two halves of a bitmap over 128 token classes."""
+def _bitmap(tokens: Column) -> Column:
+    """Which of 64 classes of tokens a set holds."""
+    one = F.lit(1).cast("bigint")
     return F.aggregate(
         tokens,
         F.lit(0).cast("bigint"),
-        lambda bits, t: bits.bitwiseOR(
-            F.when(
-                F.shiftright(t, 22).bitwiseAND(F.lit(1)) == half,
-                F.call_function("shiftleft", F.lit(1).cast("bigint"), F.shiftright(t, 16).bitwiseAND(F.lit(63))),
-            ).otherwise(F.lit(0).cast("bigint"))
-        ),
+        lambda bits, t: bits.bitwiseOR(F.call_function("shiftleft", one, F.shiftright(t, 16).bitwiseAND(F.lit(63)))),
     )
 
 
 def distinct_sets(lines: DataFrame, similarity: float) -> DataFrame:
-    """One settled row per distinct set: id, first (its earliest line), m (its size) and its prefix."""
-    prefix = _prefix(F.col("tokens"), _levels(lines), similarity)
+    """One row per distinct line: first (its earliest place), m (the size of its set), the set's prefix and bitmap."""
+    tokens = F.col("tokens")
     named = lines.filter(F.size("tokens") > 0).select(
-        "h1", "h2", F.struct(*LINE).alias("line"), F.size("tokens").alias("m"), prefix.alias("prefix")
-    )
-    sets = named.groupBy("h1", "h2").agg(
-        F.min("line").alias("first"), F.first("m").alias("m"), F.first("prefix").alias("prefix")
+        "h1",
+        "h2",
+        F.struct(*LINE).alias("line"),
+        F.size("tokens").alias("m"),
+        _bitmap(tokens).alias("bits"),
+        _prefix(tokens, _levels(lines), similarity).alias("prefix"),
     )
-    return settle(sets.select(F.monotonically_increasing_id().alias("id"), "first", "m", "prefix"))
+    same = [F.first(c).alias(c) for c in ("m", "bits", "prefix")]
+    sets = named.groupBy("h1", "h2").agg(F.min("line").alias("first"), *same)
+    return sets.drop("h1", "h2").withColumn("id", F.monotonically_increasing_id())
 
 
 def _small(df: DataFrame) -> DataFrame:
@@ -119,9 +117,7 @@ def _may_match(similarity: float) -> Column:
     sizes = F.col("a.m") + F.col("b.m")
     need = _ceil(F.lit(similarity / (1 + similarity)) * sizes)
     rest = F.least(F.col("a.m") - F.col("a.i"), F.col("b.m") - F.col("b.i"))
-    apart = F.bit_count(F.col("a.bits0").bitwiseXOR(F.col("b.bits0"))) + F.bit_count(
-        F.col("a.bits1").bitwiseXOR(F.col("b.bits1"))
-    )
+    apart = F.bit_count(F.col("a.bits").bitwiseXOR(F.col("b.bits")))
     return (
         (F.least("a.m", "b.m") >= F.lit(similarity) * F.greatest("a.m", "b.m") - 1e-9)
         & (rest >= need)
@@ -129,20 +125,27 @@ def _may_match(similarity: float) -> Column:
     )
 
 
-def _verified(pairs: DataFrame, tokens: DataFrame, similarity: float) -> DataFrame:
-    """Ids of sets x for which a pair (x, y) has the similarity."""
+def _verified(pairs: DataFrame, sets: DataFrame, lines: DataFrame, similarity: float, scratch: Scratch) -> DataFrame:
+    """Ids x of the pairs (x, y) of sets that have the similarity."""
+    pairs = scratch.settle(pairs.distinct())
+    ids = pairs.select(F.col("x").alias("id")).union(pairs.select("y")).distinct()
+    wanted = scratch.settle(ids.join(sets, "id").select("id", *[F.col(f"first.{c}").alias(c) for c in LINE]))
+    near = _small(wanted)
+    same = lines["doc_id"].eqNullSafe(near["doc_id"]) & (lines["version"] == near["version"])
+    tokens = lines.join(near, same & (lines["pos"] == near["pos"])).select("id", "tokens")
+    # A row of the table that is repeated has its lines repeated.
+    tokens = scratch.settle(tokens.dropDuplicates(["id"]))
     x = tokens.select(F.col("id").alias("x"), F.col("tokens").alias("tx"))
     y = tokens.select(F.col("id").alias("y"), F.col("tokens").alias("ty"))
     shared = F.size(F.array_intersect("tx", "ty"))
     both = F.size("tx") + F.size("ty") - shared
-    return (
-        pairs.distinct().join(x, "x").join(y, "y").filter(shared >= F.lit(similarity) * both - 1e-9).select("x").distinct()
-    )
+    found = pairs.join(x, "x").join(y, "y").filter(shared >= F.lit(similarity) * both - 1e-9)
+    return scratch.settle(found.select(F.col("x").alias("id")).distinct())
 
 
-def later_matches(lines: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """Ids of the sets that are similar to a set which occurs earlier."""
-    spark = lines.sparkSession
+def later_matches(lines: DataFrame, sets: DataFrame, similarity: float, scratch: Scratch) -> DataFrame:
+    """Ids of the settled `sets` that are similar to one which occurs earlier."""
+    settle = scratch.settle
     places = sets.select("id", F.posexplode("prefix").alias("i", "token"))
     counts = settle(places.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
     # Tokens of one set only, by far the most, need no comparison.
@@ -151,40 +154,22 @@ def later_matches(lines: DataFrame, sets: DataFrame, similarity: float) -> DataF
     else:
         flagged = counts.withColumn("size", F.col("n"))
         shared = join_by_key(places, flagged, "token", "n").filter("size IS NOT NULL").withColumnRenamed("size", "n")
-    shared = settle(shared)
-    members = settle(shared.select("id").distinct().join(sets.select("id", "first", "m"), "id"))
-    if members.isEmpty():
-        return spark.createDataFrame([], "id bigint")
-    wanted = _small(members.select("id", *[F.col(f"first.{c}").alias(c) for c in LINE]))
-    same = lines["doc_id"].eqNullSafe(wanted["doc_id"]) & (lines["version"] == wanted["version"])
-    tokens = settle(
-        lines.join(wanted, same & (lines["pos"] == wanted["pos"]))
-        .select("id", "tokens")
-        .dropDuplicates(["id"])
-    )
-    described = tokens.select("id", _bitmap(F.col("tokens"), 0).alias("bits0"), _bitmap(F.col("tokens"), 1).alias("bits1"))
-    postings = settle(shared.join(members, "id").join(described, "id"))
+    whole = F.struct("first", "id", "m", "i", "bits").alias("a")
+    postings = settle(settle(shared).join(sets.drop("prefix"), "id").select("token", "n", whole))
 
     # Near copies mostly match the earliest set that has a token in common; those need no other partner.
-    whole = F.struct("first", "id", "m", "i", "bits0", "bits1")
-    heads = settle(postings.groupBy("token").agg(F.min(whole).alias("b"), F.count(F.lit(1)).alias("k")))
-    to_head = join_by_key(postings.withColumn("a", whole), heads, "token", "k")
-    pairs = to_head.filter("a.id <> b.id").filter(_may_match(similarity)).select(
-        F.col("a.id").alias("x"), F.col("b.id").alias("y")
-    )
-    settled_ids = settle(_verified(pairs, tokens, similarity))
+    heads = settle(postings.groupBy("token").agg(F.min("a").alias("b"), F.count(F.lit(1)).alias("k")))
+    to_head = join_by_key(postings.drop("n"), heads, "token", "k").filter("a.id <> b.id").filter(_may_match(similarity))
+    matched = _verified(to_head.select(F.col("a.id").alias("x"), F.col("b.id").alias("y")), sets, lines, similarity, scratch)
 
     # The others meet all earlier sets of their tokens, in units of bounded size.
     units = F.ceil(F.col("n") / UNIT_ROWS).cast("int")
-    earlier = postings.select("token", F.explode(F.sequence(F.lit(0), units - 1)).alias("unit"), whole.alias("b"))
-    left = postings.join(settled_ids.withColumnRenamed("x", "id"), "id", "left_anti")
-    probes = left.select("token", F.pmod(F.xxhash64("id"), units).cast("int").alias("unit"), whole.alias("a"))
-    pairs = (
-        probes.join(earlier, ["token", "unit"])
-        .filter((F.col("b.first") < F.col("a.first")) & _may_match(similarity))
-        .select(F.col("a.id").alias("x"), F.col("b.id").alias("y"))
-    )
-    return settle(settled_ids.unionByName(_verified(pairs, tokens, similarity)).withColumnRenamed("x", "id"))
+    earlier = postings.select("token", F.explode(F.sequence(F.lit(0), units - 1)).alias("unit"), F.col("a").alias("b"))
+    left = postings.withColumn("id", F.col("a.id")).join(_small(matched), "id", "left_anti")
+    probes = left.select("token", F.pmod(F.xxhash64("id"), units).cast("int").alias("unit"), "a")
+    meet = probes.join(earlier, ["token", "unit"]).filter((F.col("b.first") < F.col("a.first")) & _may_match(similarity))
+    rest = _verified(meet.select(F.col("a.id").alias("x"), F.col("b.id").alias("y")), sets, lines, similarity, scratch)
+    return matched.union(rest)
 
 
 def _kept_text(text: Column, kept: Column) -> Column:
@@ -217,12 +202,14 @@ def dedup_lines(
     doc_id and text are one document and end up alike; equal ids with different texts are told apart.
     An empty table gives an empty result. Columns of `docs` stay; n_lines and n_removed are replaced.
     """
-    lines = line_sets(docs.select("doc_id", F.col(text).alias("text")), shingle)
-    sets = distinct_sets(lines, similarity)
-    gone = later_matches(lines, sets, similarity)
+    scratch = Scratch(docs.sparkSession)
+    lines = scratch.settle(line_sets(docs.select("doc_id", F.col(text).alias("text")), shingle))
+    sets = scratch.settle(distinct_sets(lines, similarity))
+    gone = later_matches(lines, sets, similarity, scratch)
     firsts = sets.join(gone, "id", "left_anti").select("first.*")
     kept = firsts.groupBy("doc_id", "version").agg(F.sort_array(F.collect_list("pos")).alias("__kept"))
-    kept = kept.select(F.col("doc_id").alias("__doc"), F.col("version").alias("__same"), "__kept")
+    kept = settle(kept.select(F.col("doc_id").alias("__doc"), F.col("version").alias("__same"), "__kept"))
+    scratch.clear()
     own = docs.drop("n_lines", "n_removed").withColumn("__version", F.xxhash64(text))
     joined = own.join(kept, own["doc_id"].eqNullSafe(kept["__doc"]) & (own["__version"] == kept["__same"]), "left")
     cut = joined.withColumn("__lines", _kept_text(F.col(text), F.coalesce("__kept", F.array().cast("array<int>"))))
