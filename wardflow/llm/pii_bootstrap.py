@@ -19,9 +19,10 @@ KINDS = {
     "card": r"[0-9]++(?:[\x20-][0-9]++)*+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-_PART = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
-_PART_ZERO = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
-IP_VALUE = rf"^{_PART_ZERO}(?:\.{_PART_ZERO}){{3}}$"
+#: What a text must hold for a kind to match at all, cheaper to look for.
+NEEDS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": "[0-9]", "phone": r"\+[0-9]"}
+_PART = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
+IP_VALUE = rf"^{_PART}(?:\.{_PART}){{3}}$"
 
 #: A run of words with digits or an at sign, one blank apart.
 _GAP = r"\x20\x09-\x0D"
@@ -72,9 +73,9 @@ def _running(lengths: Column) -> Column:
     return let(lengths, lambda values: let(blocks(values), whole))
 
 
-def matches(text: Column, pattern: str) -> Column:
+def matches(text: Column, pattern: str, needs: str) -> Column:
     """array of (value, start, end, before, after): what the pattern matches, its place in code points, and the
-    text between it and the neighbouring matches."""
+    text between it and the neighbouring matches. Texts without a match of `needs` have none."""
     found = F.struct(
         F.regexp_extract_all(text, F.lit(pattern), 0).alias("values"), F.split(text, pattern, -1).alias("gaps")
     )
@@ -98,7 +99,8 @@ def matches(text: Column, pattern: str) -> Column:
         )
 
     none = F.array().cast("array<struct<value:string,start:int,end:int,before:string,after:string>>")
-    return let(found, lambda m: F.when(F.size(m["values"]) == 0, none).otherwise(placed(m)))
+    some = let(found, lambda m: F.when(F.size(m["values"]) == 0, none).otherwise(placed(m)))
+    return F.when(text.rlike(needs), some).otherwise(none)
 
 
 def _digits(value: Column) -> Column:
@@ -130,7 +132,7 @@ def _valid(kind: str, value: Column) -> Column:
 def base_spans(text: Column) -> Column:
     """(kind, start, end) of every base match, by kind as listed, then start."""
     def of_kind(kind: str) -> Column:
-        valid = F.filter(matches(text, KINDS[kind]), lambda m: _valid(kind, m["value"]))
+        valid = F.filter(matches(text, KINDS[kind], NEEDS[kind]), lambda m: _valid(kind, m["value"]))
         return F.transform(valid, lambda m: F.struct(F.lit(kind).alias("kind"), m["start"], m["end"]))
 
     return F.concat(*[of_kind(kind) for kind in KINDS]).cast(SPAN)
@@ -168,7 +170,7 @@ def candidates(text: Column) -> Column:
     A candidate has five digits at least, or an at sign. Punctuation that clings to its ends is cut off.
     """
     found = F.filter(
-        matches(text, CANDIDATE), lambda m: (F.length(_digits(m["value"])) >= 5) | F.contains(m["value"], F.lit("@"))
+        matches(text, CANDIDATE, "[0-9@]"), lambda m: (F.length(_digits(m["value"])) >= 5) | F.contains(m["value"], F.lit("@"))
     )
 
     def described(m: Column) -> Column:
