@@ -5,18 +5,18 @@ from __future__ import annotations
 import base64
 import hashlib
 import struct
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-#: Determinised states, and encoded pieces, that one worker keeps; past that it starts over.
+from wardflow.llm.pieces import BYTE_LEVEL, PieceEncoder
+
+#: Determinised states that one worker keeps; past that it starts over.
 MAX_STATES = 200_000
-MAX_PIECES = 400_000
 #: Bytes read before tokens of a long piece are output.
 LOOKAHEAD = 4096
 #: Tokens decoded at once.
@@ -41,7 +41,10 @@ class Transducer:
 
     def __init__(self, ranks: dict[bytes, int]) -> None:
         self.ranks = ranks
-        self.bytes_of = {i: t for t, i in ranks.items()}
+        self.bytes_of = [b""] * (max(ranks.values()) + 1)
+        for token, rank in ranks.items():
+            self.bytes_of[rank] = token
+        self.length = [len(t) for t in self.bytes_of]
         self.standing: dict[tuple[int, int], bool] = {}
         self.split: dict[int, tuple[int, int] | None] = {}
         self.next: list[dict[int, int]] = [{}]
@@ -149,20 +152,22 @@ class Transducer:
         ids: list[int] = []
         state, moves = 0, self.moves
         ends: list[int] = []
-        for b in piece:
-            step = moves[state].get(b)
-            state, token = step if step is not None else self._move(state, b)
-            ends.append(token)
-            if len(ends) >= LOOKAHEAD:
+        for at in range(0, len(piece), LOOKAHEAD):
+            if at:
                 ends = self._settle(state, ends, ids)
+            for b in piece[at : at + LOOKAHEAD]:
+                step = moves[state].get(b)
+                state, token = step if step is not None else self._move(state, b)
+                ends.append(token)
         return ids + self._back(ends, len(ends))
 
     def _back(self, ends: list[int], at: int) -> list[int]:
         """The tokens that lead to place `at`, by the token that ends at each place."""
         ids = []
         while at > 0:
-            ids.append(ends[at - 1])
-            at -= len(self.bytes_of[ids[-1]])
+            token = ends[at - 1]
+            ids.append(token)
+            at -= self.length[token]
         return ids[::-1]
 
     def _settle(self, state: int, ends: list[int], ids: list[int]) -> list[int]:
@@ -172,7 +177,7 @@ class Transducer:
             at = len(ends) - self.depth[node]
             places = {at}
             while at > 0:
-                at -= len(self.bytes_of[ends[at - 1]])
+                at -= self.length[ends[at - 1]]
                 places.add(at)
             shared = places if shared is None else shared & places
         cut = max(shared or {0})
@@ -180,21 +185,20 @@ class Transducer:
         return ends[cut:]
 
 
-class Pieces(dict):
-    """Encoded ids, as little-endian 32-bit integers, by piece of text; computed on first use."""
+class Encoder:
+    """Ids of whole texts as little-endian 32-bit integers."""
 
-    def __init__(self, machine: Transducer) -> None:
-        super().__init__()
+    def __init__(self, machine: Transducer, split: str) -> None:
         self.machine = machine
+        self.pieces = PieceEncoder(split, lambda found: [self._piece(piece) for piece in found])
 
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) > MAX_PIECES:
-            self.clear()
+    def _piece(self, piece: str) -> bytes:
         ids = self.machine.encode(piece.encode("utf-8"))
-        packed = struct.pack(f"<{len(ids)}I", *ids)
-        if len(piece) < 64:
-            self[piece] = packed
-        return packed
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def ids(self, text: str | None) -> bytes:
+        """All ids of a text; none for NULL."""
+        return self.pieces.ids(text or "")
 
 
 class Utf8Stream:
@@ -228,25 +232,21 @@ class Utf8Stream:
         return rest.decode("utf-8", "replace")
 
 
-def decode(ids: Iterable[int], bytes_of: dict[int, bytes]) -> Iterator[str]:
+def decode(ids: Sequence[int], bytes_of: list[bytes]) -> Iterator[str]:
     """The text of token ids, in parts, as it becomes complete."""
-    stream, chunk = Utf8Stream(), []
-    for i in ids:
-        chunk.append(bytes_of[i])
-        if len(chunk) == DECODE_TOKENS:
-            yield stream.feed(b"".join(chunk))
-            chunk.clear()
-    yield stream.feed(b"".join(chunk))
+    stream = Utf8Stream()
+    for at in range(0, len(ids), DECODE_TOKENS):
+        yield stream.feed(b"".join(map(bytes_of.__getitem__, ids[at : at + DECODE_TOKENS])))
     yield stream.end()
 
 
 @lru_cache(maxsize=2)
-def _worker(vocabulary: bytes) -> tuple[Transducer, Pieces]:
+def _worker(vocabulary: bytes, split: str) -> tuple[Transducer, Encoder]:
     machine = Transducer(read_ranks(vocabulary))
-    return machine, Pieces(machine)
+    return machine, Encoder(machine, split)
 
 
-def _mapped(docs: DataFrame, text: str, vocabulary: bytes, add: list[T.StructField], work) -> DataFrame:
+def _mapped(docs: DataFrame, text: str, vocabulary: bytes, split: str, add: list[T.StructField], work) -> DataFrame:
     """`docs` without its text and with the columns that `work` makes of the text, batch by batch."""
     added = {f.name for f in add}
     rest = [c for c in docs.columns if c != text and c not in added]
@@ -255,9 +255,9 @@ def _mapped(docs: DataFrame, text: str, vocabulary: bytes, add: list[T.StructFie
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine, pieces = _worker(shared.value)
+        machine, encoder = _worker(shared.value, split)
         for batch in batches:
-            made = [work(t.as_py(), machine, pieces) for t in batch.column(text)]
+            made = [work(t.as_py(), machine, encoder) for t in batch.column(text)]
             columns = [batch.column(c) for c in rest]
             new = [pa.array([m[i] for m in made], type=t) for i, t in enumerate(_ARROW[f.dataType] for f in add)]
             yield pa.RecordBatch.from_arrays([*columns, *new], [*rest, *[f.name for f in add]])
@@ -272,11 +272,6 @@ _ARROW = {
 }
 
 
-def encode_ids(text: str | None, pattern: regex.Pattern, pieces: Pieces) -> bytes:
-    """All ids of a text as little-endian 32-bit integers; none for NULL."""
-    return b"".join(map(pieces.__getitem__, pattern.findall(text or "")))
-
-
 def encoded(docs: DataFrame, vocabulary: bytes, split: str, text: str = "text") -> DataFrame:
     """`docs` with the column `ids`, the token ids of the whole text, in place of the text.
 
@@ -285,19 +280,19 @@ def encoded(docs: DataFrame, vocabulary: bytes, split: str, text: str = "text")
     stay; one named ids is replaced.
     """
 
-    def work(value, machine, pieces):
-        return (np.frombuffer(encode_ids(value, regex.compile(split), pieces), dtype="<u4").astype(np.int32),)
+    def work(value, machine, encoder):
+        return (np.frombuffer(encoder.ids(value), dtype="<u4").astype(np.int32),)
 
-    return _mapped(docs, text, vocabulary, [T.StructField("ids", T.ArrayType(T.IntegerType()))], work)
+    return _mapped(docs, text, vocabulary, split, [T.StructField("ids", T.ArrayType(T.IntegerType()))], work)
 
 
 def decoded(tokens: DataFrame, vocabulary: bytes, ids: str = "ids") -> DataFrame:
     """`tokens` with the column `text` in place of the ids. NULL ids give an empty text."""
 
-    def work(value, machine, pieces):
+    def work(value, machine, encoder):
         return ("".join(decode(value or [], machine.bytes_of)),)
 
-    return _mapped(tokens, ids, vocabulary, [T.StructField("text", T.StringType())], work)
+    return _mapped(tokens, ids, vocabulary, BYTE_LEVEL, [T.StructField("text", T.StringType())], work)
 
 
 def digests(docs: DataFrame, vocabulary: bytes, split: str, text: str = "text") -> DataFrame:
@@ -311,11 +306,11 @@ def digests(docs: DataFrame, vocabulary: bytes, split: str, text: str = "text")
         T.StructField("decoded_sha256", T.StringType()),
     ]
 
-    def work(value, machine, pieces):
-        ids = encode_ids(value, regex.compile(split), pieces)
+    def work(value, machine, encoder):
+        ids = encoder.ids(value)
         back = hashlib.sha256()
         for part in decode(np.frombuffer(ids, dtype="<u4").tolist(), machine.bytes_of):
             back.update(part.encode("utf-8"))
         return len(ids) // 4, hashlib.sha256(ids).hexdigest(), back.hexdigest()
 
-    return _mapped(docs, text, vocabulary, add, work)
+    return _mapped(docs, text, vocabulary, split, add, work)

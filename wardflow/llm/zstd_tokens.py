@@ -22,12 +22,12 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from wardflow.llm.pieces import BYTE_LEVEL, PieceEncoder
 from wardflow.session import settle
 
 #: Numbers of the zstandard formats; fixed values.
@@ -36,21 +36,17 @@ SKIPPABLE_INDEX = 0x184D2A50
 SEEKABLE = 0x8F92EAB1
 CHECKSUMS = 0x80
 
-#: The split of byte-level BPE, which tokenizer files of that kind use; fixed value.
-BYTE_LEVEL = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-
 LEVEL = 3
 #: A file is closed once its frames reach this size.
 FILE_BYTES = 16 << 20
-MAX_PIECES = 400_000
 
 
 class Encoder:
     """Ids of whole texts by the tokenizers library.
 
     Byte-level BPE encodes each match of its split pattern by itself. For such tokenizers matches are
-    encoded once and remembered, which gives the library's ids at a fraction of the time. Any other
-    tokenizer, and any text that holds the string of a special token, goes to the library whole.
+    encoded once and remembered, which gives the library's ids in less time. Any other tokenizer, and
+    any text with the string of a special token, goes to the library whole.
     """
 
     def __init__(self, definition: str) -> None:
@@ -71,8 +67,7 @@ class Encoder:
             and not parts.get("padding")
         )
         self.special = [t["content"] for t in parts.get("added_tokens", [])]
-        self.pattern = regex.compile(BYTE_LEVEL)
-        self.known: dict[str, bytes] = {}
+        self.pieces = PieceEncoder(BYTE_LEVEL, self._whole)
         self.width = 2 if self.library.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
 
     def _whole(self, texts: list[str]) -> list[bytes]:
@@ -83,13 +78,7 @@ class Encoder:
         """Packed ids of a text."""
         if not self.by_piece or any(s in text for s in self.special):
             return self._whole([text])[0]
-        pieces = self.pattern.findall(text)
-        if len(self.known) > MAX_PIECES:
-            self.known.clear()
-        new = list(set(pieces).difference(self.known))
-        if new:
-            self.known.update(zip(new, self._whole(new), strict=True))
-        return b"".join(map(self.known.__getitem__, pieces))
+        return self.pieces.ids(text)
 
 
 @lru_cache(maxsize=2)
