@@ -19,7 +19,7 @@ from wardflow.llm import (
     zstd_tokens,
 )
 from wardflow.llm.common import table
-from wardflow.session import fresh_path
+from wardflow.session import fresh_path, settle
 
 
 #: What the URL filter is given: fixed values.
@@ -55,7 +55,8 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures and the weakly supervised verdict of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return weak_quality.judge(weak_quality.settle(weak_quality.features(docs).drop("text"))).select(
+    measured = settle(weak_quality.features(docs).drop("text"))
+    return weak_quality.judge(measured, weak_quality.posteriors(measured)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality"
     )
 

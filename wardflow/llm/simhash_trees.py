@@ -305,7 +305,9 @@ def keep_first(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFrame:
         .groupBy("doc_id")
         .agg(F.count(F.lit(1)).alias("n"), F.min(F.col("doc_id") == F.col("component_id")).alias("first"))
     )
-    kept = docs.join(per_id.filter("n = 1 AND first").select("doc_id"), "doc_id", "left_semi").select(docs.columns)
+    # Ids kept grow with the table: one way at every size.
+    first = per_id.filter("n = 1 AND first").select("doc_id").hint("merge")
+    kept = docs.join(first, "doc_id", "left_semi").select(docs.columns)
     repeated = per_id.filter("n > 1").select("doc_id")
     odd = [docs.filter("doc_id IS NULL")] if not found.filter("doc_id IS NULL").isEmpty() else []
     odd += [docs.join(repeated, "doc_id", "left_semi").select(docs.columns)] if not repeated.isEmpty() else []

@@ -156,20 +156,26 @@ def posterior(pattern: tuple[int, ...], share: float, accuracy: list[float]) ->
     return 1 / (1 + math.exp(-odds))
 
 
-def judge(measured: DataFrame, keep_from: float = 0.5) -> DataFrame:
-    """`measured` (settled `features`) with base_failed, quality (the posterior) and kept.
+def posteriors(measured: DataFrame) -> DataFrame:
+    """quality, the posterior, of each vote pattern that `measured` (of `features`) shows.
 
-    Vote patterns are counted over all rows; only these counts, at most 2 to the number of rules, come
-    to the driver. The posterior of each pattern is joined back as a table of that size.
+    Patterns are counted over all rows; only these counts, at most 2 to the number of rules, come to the
+    driver, and the result has as many rows.
     """
-    spark = measured.sparkSession
     said = votes()
     names = list(said)
-    voted = measured.withColumns(said)
-    counts = {tuple(r[c] for c in names): r["count"] for r in voted.groupBy(*names).count().collect()}
+    counted = measured.select(*[c.alias(n) for n, c in said.items()]).groupBy(*names).count()
+    counts = {tuple(r[c] for c in names): r["count"] for r in counted.collect()}
     share, accuracy = fit(counts)
     schema = ", ".join(f"{c} tinyint" for c in names) + ", quality double"
-    verdicts = spark.createDataFrame([(*p, posterior(p, share, accuracy)) for p in counts], schema)
+    return measured.sparkSession.createDataFrame([(*p, posterior(p, share, accuracy)) for p in counts], schema)
+
+
+def judge(measured: DataFrame, verdicts: DataFrame, keep_from: float = 0.5) -> DataFrame:
+    """`measured` (of `features`) with base_failed, quality and kept, by `verdicts` (of `posteriors`)."""
+    said = votes()
+    names = list(said)
+    voted = measured.withColumns(said)
     failed = (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")
     )
@@ -177,7 +183,8 @@ def judge(measured: DataFrame, keep_from: float = 0.5) -> DataFrame:
         voted.drop("quality", "base_failed", "kept")
         .join(F.broadcast(verdicts), names, "left")
         .withColumn("base_failed", failed)
-        .withColumn("kept", ~failed & (F.col("quality") >= keep_from))
+        # One expression over both sides, so that a filter on it cannot make the measures be taken twice.
+        .withColumn("kept", F.when(F.col("base_failed"), F.lit(-1.0)).otherwise(F.col("quality")) >= keep_from)
         .drop(*names, "__lines", "__upper", "__exclaim", "__stops")
     )
 
@@ -189,10 +196,17 @@ def score(docs: DataFrame, text: str = "text", keep_from: float = 0.5) -> DataFr
     are judged alike, each for itself. An empty table gives an empty result. Columns of `docs` stay,
     but for those named like a result column, which are replaced.
     """
-    return judge(settle(features(docs, text)), keep_from)
+    measured = settle(features(docs, text))
+    return judge(measured, posteriors(measured), keep_from)
 
 
 def keep_good(docs: DataFrame, text: str = "text", keep_from: float = 0.5) -> DataFrame:
-    """The rows of `docs` whose text is kept, with the columns of `docs` as they were."""
-    held = docs.select(F.struct(*docs.columns).alias("__row"), F.col(text).alias("__text"))
-    return score(held, "__text", keep_from).filter("kept").select("__row.*")
+    """The rows of `docs` whose text is kept, with the columns of `docs` as they were.
+
+    Measures are taken twice, to count the votes and to filter: texts are neither shuffled nor stored.
+    """
+    rest = [c for c in docs.columns if c != text]
+    held = docs.select(F.struct(*rest).alias("__row"), F.col(text).alias("__text"))
+    verdicts = posteriors(features(held.select("__text"), "__text"))
+    kept = judge(features(held, "__text"), verdicts, keep_from).filter("kept")
+    return kept.select(*[F.col("__text").alias(c) if c == text else F.col(f"__row.{c}") for c in docs.columns])
