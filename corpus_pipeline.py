@@ -43,7 +43,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no passage of the table `benchmark`."""
-    return spaced_seeds.keep_clean(docs, table(spark, sf_dir, "benchmark"))
+    return spaced_seeds.keep_clean(docs, table(spark, sf_dir, "benchmark"), short_items=True)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -238,6 +238,27 @@ def test_overlaps_of_awkward_rows(spark):
     assert spaced_seeds.keep_clean(docs, items.limit(0)).count() == docs.count()
 
 
+def test_tokens_of_all_scripts():
+    def plain(text):
+        return [t.decode() for t in spaced_seeds.tokens(text)]
+
+    assert plain("Don’t “quote” a\u00a0b—c_d Straße naïve ２") == ["don", "t", "quote", "a", "b", "c", "d", "straße", "naïve", "２"]
+    assert plain("don't") == plain("don’t")
+    assert plain("中文、かなABC 한국어 हिन्दी ที่") == ["中", "文", "か", "な", "abc", "한국어", "हिन्दी", "ที่"]
+    gaps = "".join(map(chr, range(0x2010, 0x2030)))
+    assert plain(f"é{gaps}ö") == ["é", "ö"]
+
+
+def test_short_and_unspaced_items_contaminate(spark):
+    items = [(1, "Why don’t penguins fly?"), (2, "二つの数の和を求めなさい"), (3, "x" * 3 + " one two three four five six seven eight nine ten eleven")]
+    docs = [(1, "And so: why don't penguins fly? Nobody knows."), (2, "前の文です。二つの数の和を求めなさい。後の文です。"), (3, "Penguins fly, don't they? 二つの数")]
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    frame = documents(spark, docs)
+    rows = spaced_seeds.overlaps(frame, benchmark, short_items=True).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in rows if r["contaminated"]} == {(1, 1), (2, 2)}
+    assert [r["doc_id"] for r in spaced_seeds.keep_clean(frame, benchmark, short_items=True).collect()] == [3]
+
+
 def test_hosts_paths_and_fixed_rules(spark):
     urls = ["https://WWW.Example.com/en/1?x", "http://a.net/es/", "http://net/fr/x", "http://anet/es/", "http://x.com", "x.com/en/",
             "http://b.example.com/en/#f", "ftp://c.com?q=/a", None, "http://É.com/", "a\nhttp://y.com/z://"]

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import re
+import sys
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
+from functools import cache, reduce
 from itertools import combinations, repeat
 from math import ceil
 
@@ -21,13 +24,57 @@ MIN_OVERLAP = 8
 #: Benchmark text indexed at once; a larger benchmark is searched in several blocks, each a pass over the documents.
 BLOCK_CHARS = 1 << 20
 
-#: Characters between tokens: ASCII other than letters and digits.
+#: ASCII between tokens: all other than letters and digits.
 _GAPS = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
+#: Distinct further characters between tokens up to which they are replaced one by one.
+MAX_REPLACED = 16
+#: Scripts written without spaces, by the beginning of their characters' names; each letter is a token.
+UNSPACED = (
+    "CJK ", "HIRAGANA", "KATAKANA", "HALFWIDTH KATAKANA", "BOPOMOFO", "IDEOGRAPHIC", "KANGXI", "NUSHU", "TANGUT", "YI ",
+    "THAI", "LAO ", "KHMER", "MYANMAR", "TAI ", "NEW TAI", "JAVANESE", "BALINESE",
+)
+
+
+@cache
+def _kind(c: str) -> str:
+    """Whether a character is in a "spaced" or an "unspaced" script, one of the "marks", or a "gap"."""
+    kind = unicodedata.category(c)[0]
+    if kind not in "LN":
+        return "marks" if kind == "M" else "gap"
+    return "unspaced" if unicodedata.name(c, "").startswith(UNSPACED) else "spaced"
+
+
+def _ranges(codes: list[int]) -> str:
+    """The inside of a character class that holds `codes`, ascending."""
+    out: list[list[int]] = []
+    for c in codes:
+        if out and out[-1][1] == c - 1:
+            out[-1][1] = c
+        else:
+            out.append([c, c])
+    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in out)
+
+
+@cache
+def _token() -> re.Pattern[str]:
+    """A run of letters and digits, or one letter of an unspaced script, with the marks on them."""
+    kinds: dict[str, list[int]] = {"spaced": [], "unspaced": [], "marks": [], "gap": []}
+    for c in range(sys.maxunicode + 1):
+        kinds[_kind.__wrapped__(chr(c))].append(c)
+    spaced, unspaced, marks = (_ranges(kinds[k]) for k in ("spaced", "unspaced", "marks"))
+    return re.compile(f"[{spaced}][{spaced}{marks}]*|[{unspaced}][{marks}]*")
 
 
 def tokens(text: str | None) -> list[bytes]:
-    """Lower-cased runs without ASCII punctuation and white space."""
-    return (text or "").lower().encode("utf-8").translate(_GAPS).split()
+    """Lower-cased runs of letters and digits; in scripts without spaces each letter. Marks belong to their letter."""
+    lowered = (text or "").lower()
+    if not lowered.isascii():
+        special = {c: kind for c in set(lowered) if c > "\x7f" and (kind := _kind(c)) != "spaced"}
+        if len(special) > MAX_REPLACED or any(kind != "gap" for kind in special.values()):
+            return [t.encode("utf-8", "surrogatepass") for t in _token().findall(lowered)]
+        for c in special:
+            lowered = lowered.replace(c, " ")
+    return lowered.encode("utf-8").translate(_GAPS).split()
 
 
 def masks(window: int, substitutions: int) -> list[tuple[int, ...]]:
@@ -129,6 +176,11 @@ def search(text: str | None, index: Index) -> list[tuple[int, int, int]]:
     return [(item, len(places), pairs[item]) for item, places in covered.items()]
 
 
+def _limit(index: Index, item: int, short_items: bool) -> int:
+    """Covered tokens from which on the item contaminates a document."""
+    return min(MIN_OVERLAP, int(index.starts[item + 1] - index.starts[item])) if short_items else MIN_OVERLAP
+
+
 def _blocks(benchmark: DataFrame, block_chars: int) -> Iterator[Index]:
     """The benchmark, the stated query set, in blocks of a bounded size."""
     items = benchmark.select("item_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
@@ -139,11 +191,15 @@ def _blocks(benchmark: DataFrame, block_chars: int) -> Iterator[Index]:
         yield build([tuple(r) for r in items.filter(number == k).collect()])
 
 
-def overlaps(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
+def overlaps(
+    docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS, short_items: bool = False
+) -> DataFrame:
     """doc_id, item_id, covered, n_tokens, n_windows and contaminated for each document and item that overlap.
 
     Two windows of WINDOW tokens overlap if at most SUBSTITUTIONS tokens differ. `covered` counts the
     item's tokens in such windows, `n_windows` the pairs of windows, `n_tokens` all tokens of the item.
+    A document is contaminated from MIN_OVERLAP covered tokens on; with `short_items` from all tokens of an
+    item on that has fewer.
     Whole texts are read; documents are never shuffled. NULL and empty texts overlap nothing. Repeated
     documents or items give a row each; an empty table on either side gives an empty result; further
     columns are ignored.
@@ -163,21 +219,25 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHA
             index = shared.value
             for batch in batches:
                 out = [
-                    (doc_id.as_py(), index.item_ids[item], covered, int(index.starts[item + 1] - index.starts[item]), n)
+                    (
+                        doc_id.as_py(), index.item_ids[item], covered, int(index.starts[item + 1] - index.starts[item]),
+                        n, covered >= _limit(index, item, short_items),
+                    )
                     for doc_id, text in zip(batch.column("doc_id"), batch.column("text"), strict=True)
                     for item, covered, n in search(text.as_py(), index)
                 ]
                 if out:
                     columns = [pa.array(c) for c in zip(*out, strict=True)]
-                    flag = pa.array([row[2] >= MIN_OVERLAP for row in out])
-                    yield pa.RecordBatch.from_arrays([*columns, flag], names)
+                    yield pa.RecordBatch.from_arrays(columns, names)
 
         found.append(rows.mapInArrow(run, schema))
     return reduce(DataFrame.unionByName, found) if found else spark.createDataFrame([], schema)
 
 
-def keep_clean(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """The rows of `docs` that no benchmark item contaminates, in place, with all their columns."""
+def keep_clean(
+    docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS, short_items: bool = False
+) -> DataFrame:
+    """The rows of `docs` that no benchmark item contaminates, as in `overlaps`, in place, with all their columns."""
     for index in _blocks(benchmark, block_chars):
         shared = docs.sparkSession.sparkContext.broadcast(index)
 
@@ -185,7 +245,7 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_C
             index = shared.value
             for batch in batches:
                 keep = [
-                    all(covered < MIN_OVERLAP for _, covered, _ in search(text.as_py(), index))
+                    all(covered < _limit(index, item, short_items) for item, covered, _ in search(text.as_py(), index))
                     for text in batch.column("text")
                 ]
                 yield batch.filter(pa.array(keep, pa.bool_()))
