@@ -290,3 +290,12 @@ def test_mined_rules_decide_the_rest(spark):
     rules = url_rules.mine(url_rules.label_transactions(pages, labels)).collect()
     assert ("host=spam",) in {tuple(r["tokens"]) for r in rules if r["verdict"] == "block"}
     assert url_rules.judge(pages.limit(0), labels, URL_RULES).count() == 0
+
+
+def test_rules_below_the_share_are_mined(spark):
+    hosts = [("bad", 8, 0, "x"), ("mixed", 20, 0, "casino/sub"), ("mixed", 20, 1, "news/sub")]
+    rows = [(h, q, path) for h, n, q, path in hosts for _ in range(n)] + [(f"h{k % 50}", int(k % 40 > 0), "y") for k in range(4000)]
+    pages = spark.createDataFrame([(k, f"http://{h}.example.org/{path}/{k}") for k, (h, _, path) in enumerate(rows)], "page_id bigint, url string")
+    labels = spark.createDataFrame([(k, q, 0) for k, (_, q, _) in enumerate(rows)], "doc_id bigint, quality int, toxic int")
+    got = {r["page_id"]: r["verdict"] for r in url_rules.judge(pages, labels, URL_RULES).collect()}
+    assert [got[k] for k in range(len(rows))] == ["block"] * 28 + ["allow"] * 4020

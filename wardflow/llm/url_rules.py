@@ -9,11 +9,14 @@ from pyspark.sql import functions as F
 from wardflow.llm.common import join_by_key
 from wardflow.session import settle
 
-#: Share of labelled URLs that must show a combination, and what a rule must reach.
+#: Share of labelled URLs that must show a combination of three or more tokens, labelled URLs that must show a rule, and
+#: what a rule must reach.
 SUPPORT = 0.01
 MIN_ROWS = 5
 CONFIDENCE = 0.6
 LIFT = 1.1
+#: Standard deviations from chance that a rule in less than the share SUPPORT must reach.
+DEVIATIONS = 3
 #: Rules that may be broadcast; more are joined by shuffle.
 BROADCAST_RULES = 100_000
 #: Classes as items of a transaction.
@@ -88,23 +91,68 @@ def label_transactions(pages: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
+def _counted(
+    transactions: DataFrame, rows: int, support: float, confidence: float, lift: float
+) -> DataFrame:
+    """Rules on one token or two, and on the combinations in a share of the blocked URLs, by counts over all URLs."""
+    plain = F.array_sort(F.array_except("items", F.array(F.lit(BLOCK), F.lit(ALLOW))))
+    classes = transactions.select(plain.alias("have"), F.array_contains("items", BLOCK).cast("bigint").alias("bad"))
+    n_bad = classes.agg(F.sum("bad")).first()[0]
+    counts = F.count(F.lit(1)).alias("n"), F.sum("bad").alias("n_bad")
+    exploded = classes.select("have", "bad", F.explode("have").alias("token"))
+    single = settle(exploded.groupBy("token").agg(*counts).filter(F.col("n") >= MIN_ROWS))
+    pairs = F.flatten(
+        F.transform("have", lambda a, k: F.transform(F.slice("have", k + 2, F.size("have")), lambda b: F.array(a, b)))
+    )
+    double = classes.select("bad", F.explode(pairs).alias("tokens")).groupBy("tokens").agg(*counts)
+    found = single.select(F.array("token").alias("tokens"), "n", "n_bad").unionByName(double)
+    if n_bad >= MIN_ROWS:
+        growth = FPGrowth(itemsCol="have", minSupport=min(1.0, max(support, MIN_ROWS / n_bad)))
+        sets = growth.fit(classes.filter("bad = 1")).freqItemsets.filter(F.size("items") > 2)
+        sets = sets.select(F.array_sort("items").alias("tokens"))
+        rarest = sets.select("tokens", F.explode("tokens").alias("token")).join(single.select("token", "n"), "token")
+        index = rarest.groupBy("tokens").agg(F.min_by("token", "n").alias("token"))
+        held = exploded.join(F.broadcast(index), "token").filter(F.size(F.array_except("tokens", "have")) == 0)
+        found = found.unionByName(held.groupBy("tokens").agg(*counts))
+    good = F.col("n") - F.col("n_bad")
+    sides = [("block", F.col("n_bad"), n_bad / rows), ("allow", good, 1 - n_bad / rows)]
+    verdicts = F.array(
+        *[F.struct(F.lit(v).alias("verdict"), hits.alias("hits"), F.lit(part).alias("share")) for v, hits, part in sides]
+    )
+    rules = found.select("tokens", "n", F.inline(verdicts)).filter(F.col("hits") >= MIN_ROWS)
+    rules = rules.select("tokens", "verdict", "n", "hits", "share", (F.col("hits") / F.col("n")).alias("confidence"))
+    chance = F.sqrt(F.col("n") * F.col("share") * (1 - F.col("share")))
+    beyond = F.col("hits") - F.col("n") * F.col("share") >= DEVIATIONS * chance
+    return rules.filter(
+        (F.col("confidence") >= confidence)
+        & (F.col("confidence") >= lift * F.col("share"))
+        & ((F.col("hits") >= support * rows) | beyond)
+    ).select(
+        "tokens", "verdict", "confidence", (F.col("confidence") / F.col("share")).alias("lift"),
+        (F.col("hits") / rows).alias("support"),
+    )
+
+
 def mine(
     transactions: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE, lift: float = LIFT
 ) -> DataFrame:
     """Settled rules: tokens (sorted), verdict, confidence, lift and support.
 
-    Spark's FP-growth finds the combinations in at least MIN_ROWS URLs and the share `support`. Rules must reach the confidence and lift, and no rule on
-    part of the same tokens with the same verdict may be as confident.
+    Rules need MIN_ROWS URLs. Those on one token or two are counted, however large the table; longer
+    combinations are found by Spark's FP-growth, in the share `support` of all URLs or of the blocked ones.
+    Rules must reach the confidence and lift and, in less than the share `support` of all URLs, stand
+    DEVIATIONS off from what chance would give. No rule on part of the same tokens with the
+    same verdict may be as confident.
     """
     empty = "tokens array<string>, verdict string, confidence double, lift double, support double"
     rows = transactions.count()
     if rows < MIN_ROWS:
         return transactions.sparkSession.createDataFrame([], empty)
+    said = F.element_at("consequent", 1)
     share = min(1.0, max(support, MIN_ROWS / rows))
     model = FPGrowth(itemsCol="items", minSupport=share, minConfidence=confidence).fit(transactions)
-    said = F.element_at("consequent", 1)
-    rules = settle(
-        model.associationRules.filter(said.isin(BLOCK, ALLOW) & (F.col("lift") >= lift))
+    longer = (
+        model.associationRules.filter(said.isin(BLOCK, ALLOW) & (F.col("lift") >= lift) & (F.size("antecedent") > 2))
         .filter(~F.array_contains("antecedent", BLOCK) & ~F.array_contains("antecedent", ALLOW))
         .select(
             F.sort_array("antecedent").alias("tokens"),
@@ -114,6 +162,8 @@ def mine(
             "support",
         )
     )
+    counted = _counted(transactions, rows, support, confidence, lift)
+    rules = settle(counted.unionByName(longer).dropDuplicates(["tokens", "verdict"]))
     # A combination has at most as many parts as a URL has tokens; only rules are compared, by shared part.
     parts = F.aggregate(
         "tokens",
