@@ -47,9 +47,9 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id and the token ids of each document."""
+    """doc_id, the token ids of each document and the digest of the text they give back."""
     ranks = vocabulary("byte_bpe_multi_50k.tiktoken")
-    return bpe_transducer.encoded(docs.select("doc_id", "text"), ranks, public_tokenizers.PATTERN)
+    return bpe_transducer.encoded_and_decoded(docs.select("doc_id", "text"), ranks, public_tokenizers.PATTERN)
 
 
 STAGES = [

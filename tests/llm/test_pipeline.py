@@ -109,3 +109,12 @@ def test_lines_update_the_length(spark, corpus):
     out = {r["doc_id"]: r for r in corpus_pipeline.lines(spark, docs, corpus[0]).collect()}
     assert out[2]["text"] == "Other end." and out[2]["n_chars"] == 10
     assert out[1]["text"] == "One line of words here.\nMore words."
+
+
+def test_last_stage_decodes_its_ids(spark):
+    import hashlib
+
+    texts = ["Plain words, 中文 and 😀.", "", None]
+    rows = corpus_pipeline.token_ids(spark, documents(spark, list(enumerate(texts))), "").collect()
+    got = {r["doc_id"]: (bool(r["ids"]), r["decoded_sha256"]) for r in rows}
+    assert got == {k: (bool(t), hashlib.sha256((t or "").encode()).hexdigest()) for k, t in enumerate(texts)}

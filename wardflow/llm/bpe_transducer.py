@@ -286,6 +286,25 @@ def encoded(docs: DataFrame, vocabulary: bytes, split: str, text: str = "text")
     return _mapped(docs, text, vocabulary, split, [T.StructField("ids", T.ArrayType(T.IntegerType()))], work)
 
 
+def _decoded_sha256(ids: bytes, machine: Transducer) -> str:
+    """Digest of the text that encoded ids give back, without the whole text in memory."""
+    back = hashlib.sha256()
+    for part in decode(np.frombuffer(ids, dtype="<u4").tolist(), machine.bytes_of):
+        back.update(part.encode("utf-8"))
+    return back.hexdigest()
+
+
+def encoded_and_decoded(docs: DataFrame, vocabulary: bytes, split: str, text: str = "text") -> DataFrame:
+    """As `encoded`, with the digest decoded_sha256 of the text that the ids give back beside them."""
+    add = [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded_sha256", T.StringType())]
+
+    def work(value, machine, encoder):
+        ids = encoder.ids(value)
+        return np.frombuffer(ids, dtype="<u4").astype(np.int32), _decoded_sha256(ids, machine)
+
+    return _mapped(docs, text, vocabulary, split, add, work)
+
+
 def decoded(tokens: DataFrame, vocabulary: bytes, ids: str = "ids") -> DataFrame:
     """`tokens` with the column `text` in place of the ids. NULL ids give an empty text."""
 
@@ -308,9 +327,6 @@ def digests(docs: DataFrame, vocabulary: bytes, split: str, text: str = "text")
 
     def work(value, machine, encoder):
         ids = encoder.ids(value)
-        back = hashlib.sha256()
-        for part in decode(np.frombuffer(ids, dtype="<u4").tolist(), machine.bytes_of):
-            back.update(part.encode("utf-8"))
-        return len(ids) // 4, hashlib.sha256(ids).hexdigest(), back.hexdigest()
+        return len(ids) // 4, hashlib.sha256(ids).hexdigest(), _decoded_sha256(ids, machine)
 
     return _mapped(docs, text, vocabulary, split, add, work)
