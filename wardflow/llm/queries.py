@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from wardflow.llm import (
     bpe_transducer,
+    collision_search,
+    conversation_repair,
     html_difference,
     license_rules,
     line_dedup,
@@ -16,6 +18,7 @@ from wardflow.llm import (
     spaced_seeds,
     url_rules,
     weak_quality,
+    word_runs,
     zstd_tokens,
 )
 from wardflow.llm.common import table
@@ -99,6 +102,23 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every conversation, after damage that is planted by a checksum."""
+    return conversation_repair.repair(conversation_repair.damaged(table(spark, sf_dir, "conversations")))
+
+
+def op12_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 vectors nearest to every twentieth, by inner product."""
+    rows = table(spark, sf_dir, "embeddings")
+    return collision_search.nearest(rows, rows.filter(F.col("vec_id") % 20 == 0), k=20)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of words of every document, a tenth of which has periods planted."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return word_runs.word_runs(docs, spoil=word_runs.repeat_tail, key="doc_id")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -112,6 +132,9 @@ QUERIES = {
         op8_byte_bpe,
         op9_line_dedup,
         op10_simhash_near_dedup,
+        op11_conversation_repair,
+        op12_nearest_neighbours,
+        op13_periodic_runs,
     )
 }
 ORACLES: dict[str, str] = {"op2_license_scan": license_rules.scan_sql()}
