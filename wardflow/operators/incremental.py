@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardflow.functions import surrogate_key, text_of
-from wardflow.operators.ordered import By, asc, lead, ordered_window
-from wardflow.operators.relational import arrived_since, latest_by, newer_than
+from wardflow.operators.ordered import By, asc, lead, ordered_window, same_keys
+from wardflow.operators.relational import arrived_since, latest_by
 from wardflow.session import settle
 from wardflow.sources.tables import KeyedTable
 
@@ -31,20 +31,11 @@ def merge_upsert(
 
     The mark is the highest *source* value consumed. Comparing source times with the load time of
     the target would lose every row that arrives late. Rows at the mark, and up to `late` behind it, are
-    looked at again: those whose key the table does not hold yet are inserted, so a run repeats safely.
+    looked at again: those that differ from what the table holds take its place, equal ones cost no write.
+    Of the rows looked at, the first in `order` stands for its key.
     """
-    old = table.watermark()
-    if not table.exists() or old is None:
-        table.merge(latest_by(build(source), [table.key], order), high_mark(source, watermark))
-        return table.read()
-    fresh = newer_than(source, watermark, old)
-    new = latest_by(build(fresh), [table.key], order)
-    again = arrived_since(source, watermark, old, late).exceptAll(fresh)
-    known = table.read().select(table.key).unionByName(new.select(table.key))
-    missed = latest_by(build(again), [table.key], order).join(known, table.key, "left_anti")
-    rows = settle(new.unionByName(missed.select(new.columns)))
-    if not rows.isEmpty():
-        table.merge(rows, high_mark(fresh, watermark))
+    seen = arrived_since(source, watermark, table.watermark(), late)
+    table.merge(latest_by(build(seen), table.keys, order), high_mark(seen, watermark))
     return table.read()
 
 
@@ -56,22 +47,23 @@ def merge_aggregate(
     build: Callable[[DataFrame], DataFrame],
     late: int = 0,
 ) -> DataFrame:
-    """Upsert aggregates: groups touched by new rows are aggregated again from all their rows.
+    """Replace what is computed from whole groups: groups touched by new rows are built again from all their rows.
 
-    Aggregating only the new rows would overwrite a group's total with a part of it. Groups with rows at
-    the mark, or up to `late` behind it, count as touched.
+    Building from the new rows alone would overwrite a group's total, or its ranks, with those of a part of
+    it. Groups with rows at the mark, or up to `late` behind it, count as touched. If the table is keyed by
+    the groups, a group may have many rows; it is replaced as a whole, and rows that vanished go.
     """
     old = table.watermark()
     fresh = arrived_since(source, watermark, old, late)
     mark = high_mark(fresh, watermark)
     if mark is None and table.exists():
         return table.read()
-    affected = source
-    if old is not None:
-        touched = fresh.select(*groups).distinct()
-        same = [source[g].eqNullSafe(touched[g]) for g in groups]
-        affected = source.join(touched, same, "left_semi")
-    table.merge(build(affected), mark)
+    if old is None:
+        table.merge(build(source), mark)
+        return table.read()
+    touched = settle(fresh.select(*groups).distinct())
+    affected = source.join(touched, same_keys(source, touched, groups), "left_semi")
+    table.merge(build(affected), mark, touched if set(groups) == set(table.keys) else None)
     return table.read()
 
 

@@ -174,6 +174,11 @@ def null_safe(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -
     return reduce(lambda a, b: a & b, [left[a].eqNullSafe(right[b]) for a, b in pairs], F.lit(True))
 
 
+def same_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
+    """Equality on columns of the same names, NULL matching NULL."""
+    return null_safe(left, right, [(k, k) for k in keys])
+
+
 def _sharded(
     df: DataFrame, partition: list[str], order: list[By], calcs: dict[str, Calc], shards: int
 ) -> DataFrame:

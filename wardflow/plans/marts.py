@@ -29,7 +29,6 @@ from wardflow.operators.aggregates import grouping_sets, pivot_sum, unpivot
 from wardflow.operators.incremental import (
     current_dimension,
     merge_aggregate,
-    merge_upsert,
     scd2_from_log,
     scd2_snapshot,
 )
@@ -38,7 +37,7 @@ from wardflow.operators.relational import latest_by
 from wardflow.params import Params
 from wardflow.session import settle
 from wardflow.sources.landing import parse
-from wardflow.sources.tables import KeyedTable
+from wardflow.sources.tables import HistoryTable, KeyedTable
 
 
 def _stay(params: Params):
@@ -116,8 +115,8 @@ def fct_clinical_events(int_clinical_alerts: DataFrame, params: Params, table: K
 
     if table is None:
         return build(int_clinical_alerts)
-    order = [asc("severity_level"), asc("event_description")]
-    return merge_upsert(table, int_clinical_alerts, "alert_timestamp", order, build, params.late_days)
+    # A new alert moves the ranks and totals of all alerts of its patient: patients are replaced as a whole.
+    return merge_aggregate(table, int_clinical_alerts, "alert_timestamp", ["patient_id"], build, params.late_days)
 
 
 def fct_daily_census(stg_patients: DataFrame, params: Params, table: KeyedTable | None = None) -> DataFrame:
@@ -235,7 +234,11 @@ def fct_revenue(
     if table is None:
         return build(stg_claims)
     order = [desc("service_date"), asc("facility_id"), asc("total_charges")]
-    return merge_upsert(table, stg_claims, "_ingested_at", order, build, params.late_days)
+
+    def one_per_key(claims: DataFrame) -> DataFrame:
+        return latest_by(build(claims), table.keys, order)
+
+    return merge_aggregate(table, stg_claims, "_ingested_at", ["claim_id", "patient_id"], one_per_key, params.late_days)
 
 
 def fct_staffing_metrics(stg_facility_events: DataFrame, params: Params) -> DataFrame:
@@ -244,14 +247,24 @@ def fct_staffing_metrics(stg_facility_events: DataFrame, params: Params) -> Data
     return pivot_sum(daily, ["facility_id", "event_date"], "severity", names, F.lit(1))
 
 
-def snp_patient_insurance(stg_insurance: DataFrame, params: Params, history: DataFrame | None = None) -> DataFrame:
-    """History of each patient's primary insurance; the newest primary row counts as the current one."""
+#: Columns whose change makes a new version of a patient's insurance.
+INSURANCE_CHECK = ["payer_name", "plan_id", "coverage_type"]
+
+
+def snp_patient_insurance(
+    stg_insurance: DataFrame, params: Params, history: DataFrame | None = None, table: HistoryTable | None = None
+) -> DataFrame:
+    """History of each patient's primary insurance; the newest primary row counts as the current one.
+
+    With a `table` the history is kept there, and the run takes its state at `params.now()`.
+    """
     primary = stg_insurance.filter("is_primary")
     newest = latest_by(primary, ["patient_id"], [desc("_ingested_at"), asc("insurance_rank")])
     current = newest.select(
         "patient_id", "payer_name", "plan_id", "group_id", "coverage_type", "effective_date", "is_primary",
         "months_enrolled", F.col("_ingested_at").alias("updated_at"),
     )
-    return scd2_snapshot(
-        history, current, "patient_id", ["payer_name", "plan_id", "coverage_type"], params.now()
-    )
+    if table is not None:
+        table.snapshot(current, params.now())
+        return table.read()
+    return scd2_snapshot(history, current, "patient_id", INSURANCE_CHECK, params.now())

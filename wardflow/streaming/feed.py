@@ -18,9 +18,8 @@ def upsert_stream(stream: DataFrame, table: KeyedTable, order: list[By], progres
 
     def batch(rows: DataFrame, _: int) -> None:
         if table.exists():
-            keys = rows.select(table.key).distinct()
-            rows = rows.unionByName(table.read().join(keys, table.key, "left_semi"))
-        table.merge(latest_by(rows, [table.key], order))
+            rows = rows.unionByName(table.read_keys(rows))
+        table.merge(latest_by(rows, table.keys, order))
 
     query = (
         stream.writeStream.foreachBatch(batch)
