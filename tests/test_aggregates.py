@@ -25,6 +25,27 @@ def test_exact_percentiles(spark, readings, limited, request):
         assert row.s90 == pytest.approx(np.percentile(group.score, 90))
 
 
+def test_percentiles_have_the_same_bits_at_every_size(spark, readings):
+    """Same schema and same doubles below and above the limits, of whole numbers, decimals and doubles."""
+    df = readings.withColumns({"d": F.col("v") / 7, "m": (F.col("v") / 7).cast("decimal(12,3)")})
+    asked = {f"{c}{int(p * 100)}": (c, p) for c in ("v", "d", "m") for p in (0.1, 0.25, 0.5, 0.95)}
+    sets = [["key", "score"], ["key"], []]
+
+    def build():
+        plain = A.grouped(df, ["key"], {"n": F.count(F.lit(1))}, asked)
+        levels = A.grouping_sets(df, ["key", "score"], sets, {"n": ("count", None)}, asked)
+        return [(x.schema, sorted(map(repr, x.collect()))) for x in (plain, levels)]
+
+    below = build()
+    spark.conf.set("wardflow.maxGroupRows", "25")
+    spark.conf.set("wardflow.maxBroadcastRows", "40")
+    try:
+        assert build() == below
+    finally:
+        spark.conf.unset("wardflow.maxGroupRows")
+        spark.conf.unset("wardflow.maxBroadcastRows")
+
+
 def test_percentile_of_an_all_null_group_is_null(tight):
     df = tight.range(60).select((F.col("id") % 2).alias("g"), F.when(F.col("id") % 2 == 0, F.col("id")).alias("v"))
     got = {r.g: r.p for r in A.grouped(df, ["g"], {}, {"p": ("v", 0.5)}).collect()}

@@ -41,6 +41,33 @@ def test_row_order_functions(spark, readings, partition, order):
     assert plain == spread
 
 
+@pytest.mark.parametrize("kind", ["int", "decimal(9,2)", "decimal(38,4)", "double"])
+def test_types_and_values_at_every_size(spark, readings, kind):
+    """Sums and averages keep Spark's type, and decimals their digits, across shards."""
+    v = (F.col("v") / 7).cast(kind) if kind != "int" else F.col("v").cast("int")
+    df = readings.withColumn("x", v)
+    calcs = {
+        f"{way}_{agg}": make(agg)
+        for agg in ("sum", "avg", "count")
+        for way, make in {
+            "r": lambda a: O.running(a, F.col("x")), "m": lambda a: O.moving(a, F.col("x"), 40), "t": lambda a: O.total(a, F.col("x"))
+        }.items()
+    }
+    order = [O.asc("ts"), O.asc("id")]
+    plain = O.ordered_window(df, ["key"], order, **calcs)
+    spark.conf.set("wardflow.maxGroupRows", "25")
+    try:
+        spread = O.ordered_window(df, ["key"], order, **calcs)
+        assert [(f.name, f.dataType) for f in spread.schema] == [(f.name, f.dataType) for f in plain.schema]
+        got = {r["id"]: r for r in spread.collect()}
+    finally:
+        spark.conf.unset("wardflow.maxGroupRows")
+    for row in plain.collect():
+        for name in calcs:
+            a, b = row[name], got[row["id"]][name]
+            assert a == b if kind != "double" or a is None else b == pytest.approx(a, rel=1e-12), (name, a, b)
+
+
 @pytest.mark.parametrize("partition", [[], ["key"]])
 @pytest.mark.parametrize("order", [[O.asc("score")], [O.desc("v")], [O.asc("v"), O.desc("score")]])
 def test_peer_ranks(spark, readings, partition, order):

@@ -19,7 +19,8 @@ NAMES = [
     "array_agg_sorted", "rank_family", "lag_lead", "first_last_ignore_nulls", "moving_frames", "range_1h", "ratio_to_report", "global_rank",
     "union_alerts", "detect_gaps_filled", "return_intervals_orders", "trend_states_events", "entity_360", "stg_procedures", "stg_care_plans",
     "int_claims_revenue", "int_clinical_alerts", "int_encounter_summary", "int_event_response_analysis", "int_provider_panels",
-    "int_medication_interactions", "fct_payer_summary",
+    "int_medication_interactions", "fct_payer_summary", "iqr_outliers", "int_patient_journey", "fct_revenue", "int_payer_performance",
+    "stg_order_history", "fct_clinical_events_merged", "fct_revenue_loaded", "snp_patient_insurance_history",
 ]
 
 

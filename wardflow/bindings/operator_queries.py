@@ -80,6 +80,7 @@ from wardflow.operators.ordered import (
     desc,
     first_of,
     group_totals,
+    join_facts,
     lag,
     last_before,
     lead,
@@ -593,7 +594,7 @@ def iqr_outliers(spark, sf):
     quart = grouped(events, ["event_type"], {"n": F.count(F.lit(1))}, {"q1": ("value", 0.25), "q3": ("value", 0.75)})
     spread, low, high = iqr_fences(F.col("q1"), F.col("q3"))
     fences = quart.select("event_type", spread.alias("iqr"), low.alias("low"), high.alias("high"))
-    return events.join(fences, "event_type").groupBy("event_type", "iqr", "low", "high").agg(
+    return join_facts(events, fences, ["event_type"], own_keys=True).filter("event_type IS NOT NULL").groupBy("event_type", "iqr", "low", "high").agg(
         F.count_if(F.col("value") > F.col("high")).alias("outliers")
     )
 

@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardflow.operators.ordered import Sizes, asc, group_sizes, ordered_window, row_number, running, total
+from wardflow.operators.ordered import asc, ordered_window, running, total
 from wardflow.operators.relational import left_null_safe
-from wardflow.session import max_group_rows, settle
+from wardflow.session import settle
 
 
 def grouped(
@@ -17,45 +17,47 @@ def grouped(
     keys: list[str],
     aggs: dict[str, Column],
     percentiles: dict[str, tuple[str, float]] | None = None,
-    sizes: Sizes | None = None,
 ) -> DataFrame:
     """groupBy with exact interpolated percentiles: `percentiles` maps a name to (column, fraction).
 
-    Spark's exact percentile keeps all distinct values of a group in memory. Groups too large for
-    that get theirs from sorted value counts instead.
+    Percentiles are read from counted values, at every size, all columns and fractions in one go: no
+    task holds the distinct values of a group.
     """
     percentiles = percentiles or {}
     plain = [c.alias(n) for n, c in aggs.items()]
     if not percentiles:
         return df.groupBy(*keys).agg(*plain)
-    sizes = sizes or group_sizes(df, keys)
-    if sizes.largest <= max_group_rows(df.sparkSession):
-        exact = [F.percentile(c, F.lit(p)).alias(n) for n, (c, p) in percentiles.items()]
-        return df.groupBy(*keys).agg(*plain, *exact)
     out = df.groupBy(*keys).agg(*plain) if plain else df.select(*keys).distinct()
-    for column in dict.fromkeys(c for c, _ in percentiles.values()):
-        counts = df.filter(F.col(column).isNotNull()).groupBy(*keys, column).agg(F.count(F.lit(1)).alias("__n"))
-        counts, wanted = settle(counts), {n: p for n, (c, p) in percentiles.items() if c == column}
-        out = left_null_safe(out, percentiles_from_counts(counts, keys, column, wanted), keys)
+    counts = settle(_value_counts(df, keys, percentiles))
+    out = left_null_safe(out, percentiles_from_counts(counts, keys, percentiles), keys)
     return out.select(*keys, *aggs, *percentiles)
 
 
-def percentiles_from_counts(counts: DataFrame, keys: list[str], value: str, wanted: dict[str, float]) -> DataFrame:
-    """Interpolated percentiles from (keys, value, __n) rows: the two values around each position."""
+def _value_counts(df: DataFrame, keys: list[str], percentiles: dict[str, tuple[str, float]]) -> DataFrame:
+    """(keys, __c, __v, __n): how often each value stands in each column that percentiles are asked of."""
+    names = list(dict.fromkeys(c for c, _ in percentiles.values()))
+    # All values in one column, so that the input is read once more and not once per column.
+    pairs = F.array(*[F.struct(F.lit(c).alias("__c"), F.col(c).cast("double").alias("__v")) for c in names])
+    values = df.select(*keys, F.explode(pairs).alias("__p")).select(*keys, "__p.*").filter(F.col("__v").isNotNull())
+    return values.groupBy(*keys, "__c", "__v").agg(F.count(F.lit(1)).alias("__n"))
+
+
+def percentiles_from_counts(counts: DataFrame, keys: list[str], percentiles: dict[str, tuple[str, float]]) -> DataFrame:
+    """Interpolated percentiles from (keys, __c, __v, __n) rows: the two values around each position."""
     placed = ordered_window(
-        counts, keys, [asc(value)],
+        counts, [*keys, "__c"], [asc("__v")],
         __upto=running("sum", F.col("__n")),
         __all=total("sum", F.col("__n")),
     )
-    v = F.col(value).cast("double")
     picks, finals = [], []
-    for name, p in wanted.items():
-        position = F.lit(p) * (F.col("__all") - 1)
-        holds = lambda at: (F.col("__upto") > at) & (F.col("__upto") - F.col("__n") <= at)
+    for name, (column, p) in percentiles.items():
+        mine = F.col("__c") == column
+        position = F.lit(float(p)) * (F.col("__all") - 1)
+        holds = lambda at: mine & (F.col("__upto") > at) & (F.col("__upto") - F.col("__n") <= at)  # noqa: B023, E731
         picks += [
-            F.max(F.when(holds(F.floor(position)), v)).alias(f"__lo_{name}"),
-            F.max(F.when(holds(F.ceil(position)), v)).alias(f"__hi_{name}"),
-            F.max(position - F.floor(position)).alias(f"__w_{name}"),
+            F.max(F.when(holds(F.floor(position)), F.col("__v"))).alias(f"__lo_{name}"),
+            F.max(F.when(holds(F.ceil(position)), F.col("__v"))).alias(f"__hi_{name}"),
+            F.max(F.when(mine, position - F.floor(position))).alias(f"__w_{name}"),
         ]
         low, high, weight = F.col(f"__lo_{name}"), F.col(f"__hi_{name}"), F.col(f"__w_{name}")
         finals.append((low + (high - low) * weight).alias(name))
@@ -76,16 +78,12 @@ def grouping_sets(
 
     Measures are ("count", None), ("sum", c), ("avg", c) or ("count_if", predicate). Rows are first
     aggregated once to the finest level; only that small result is multiplied by the sets. So are
-    the value counts that percentiles of large inputs are read from.
+    the value counts that percentiles are read from.
     """
     percentiles = percentiles or {}
     flags = [F.grouping(c).cast("int").alias(f"is_total_{c}") for c in columns]
     level = F.grouping_id(*columns).alias("level")
     levels = [list(s) for s in sets]
-    if percentiles and df.count() <= max_group_rows(df.sparkSession):
-        plain = [_measure(kind, column).alias(name) for name, (kind, column) in measures.items()]
-        exact = [F.percentile(c, F.lit(p)).alias(n) for n, (c, p) in percentiles.items()]
-        return df.groupingSets(levels, *columns).agg(*plain, *exact, *flags, level)
     partial, final = [], []
     for name, (kind, column) in measures.items():
         if kind == "count":
@@ -105,28 +103,12 @@ def grouping_sets(
     out = finest.groupingSets(levels, *columns).agg(*final, *flags, level)
     if not percentiles:
         return out
-    names = list(dict.fromkeys(c for c, _ in percentiles.values()))
-    # All values in one column, so that the input is read once more and not once per column.
-    pairs = F.array(*[F.struct(F.lit(c).alias("__c"), F.col(c).cast("double").alias("__v")) for c in names])
-    values = df.select(*columns, F.explode(pairs).alias("p")).select(*columns, "p.*").filter(F.col("__v").isNotNull())
-    counts = settle(values.groupBy(*columns, "__c", "__v").agg(F.count(F.lit(1)).alias("__n")))
+    counts = settle(_value_counts(df, columns, percentiles))
     counts = counts.groupingSets([[*s, "__c", "__v"] for s in levels], *columns, "__c", "__v").agg(
         F.sum("__n").alias("__n"), F.grouping_id(*columns, "__c", "__v").alias("__id")
     )
-    counts = counts.withColumn("level", F.shiftright("__id", 2)).drop("__id")
-    for column in names:
-        wanted = {n: p for n, (c, p) in percentiles.items() if c == column}
-        mine = counts.filter(F.col("__c") == column).drop("__c")
-        out = left_null_safe(
-            out, percentiles_from_counts(mine, [*columns, "level"], "__v", wanted), [*columns, "level"]
-        )
-    return out
-
-
-def _measure(kind: str, column: Column | None) -> Column:
-    if kind == "count":
-        return F.count(F.lit(1))
-    return {"sum": F.sum, "avg": F.avg, "count_if": F.count_if}[kind](column)
+    counts = settle(counts.withColumn("level", F.shiftright("__id", 2)).drop("__id"))
+    return left_null_safe(out, percentiles_from_counts(counts, [*columns, "level"], percentiles), [*columns, "level"])
 
 
 def pivot_sum(df: DataFrame, keys: list[str], column: str, names: dict[str, str], value: Column) -> DataFrame:

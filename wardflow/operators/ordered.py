@@ -1,7 +1,7 @@
 """Ordered window functions that stay distributed when one group holds much of the data.
 
 A plain window puts each group into one task. `ordered_window` looks at the largest group first.
-Up to `wardflow.maxGroupRows` rows the plain window is planned. Beyond it the rows are range
+Up to `wardflow.maxGroupRows` rows (without keys: KEYLESS_ROWS) the plain window is planned. Beyond it the rows are range
 partitioned by (partition, order) into shards of equal size, written to the shared folder, and
 each function is computed per shard and completed with what the earlier (or later) shards of the
 same group hand over. Fewer than two hand-over rows per shard exist for groups that span shards,
@@ -26,6 +26,8 @@ from wardflow.session import max_broadcast_rows, max_group_rows, settle
 
 # Keeps the number of shuffle blocks and of hand-over rows bounded however large the input is.
 MAX_SHARDS = 20_000
+# Without keys all rows would meet in one task; up to so many it sorts them in about a second.
+KEYLESS_ROWS = 200_000
 
 
 @dataclass(frozen=True)
@@ -132,12 +134,10 @@ def ordered_window(
     """`df` with one column per entry of `calcs`."""
     sizes = sizes or group_sizes(df, partition)
     limit = max_group_rows(df.sparkSession)
-    # Without keys all rows would meet in one task, so these are always sharded.
-    if partition and sizes.largest <= limit:
+    if sizes.largest <= (limit if partition else min(limit, KEYLESS_ROWS)):
         return _plain(df, partition, order, calcs)
-    workers = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    shards = max(workers, min(ceil(2 * sizes.rows / limit), MAX_SHARDS))
-    return _sharded(df, partition, order, calcs, shards)
+    wanted = ceil(2 * sizes.rows / (limit if partition else min(limit, KEYLESS_ROWS)))
+    return _sharded(df, partition, order, calcs, min(wanted, MAX_SHARDS))
 
 
 _AGGREGATES = {"sum": F.sum, "count": F.count, "avg": F.avg, "min": F.min, "max": F.max}
@@ -294,29 +294,32 @@ def _complete(name: str, calc: Calc, placed: DataFrame, here, local) -> Column:
         counts = (
             F.count(v).over(frame) + F.coalesce(F.col(f"__c_{name}"), F.lit(0)) if calc.agg != "sum" else None
         )
-        return _result(calc.agg, sums, counts)
+        return _result(calc.agg, sums, counts, placed.schema[f"__v_{name}"].dataType)
     if calc.kind == "moving":
         frame = local.rowsBetween(-calc.n, 0)
         missing = (F.lit(calc.n + 1) - rn).cast("int")
         tail = F.col(f"__t_{name}")
         start = F.greatest(F.size(tail) - missing, F.lit(0)) + 1
         extra = F.when((rn <= calc.n) & tail.isNotNull(), F.slice(tail, start, missing))
-        integral = isinstance(placed.schema[f"__v_{name}"].dataType, T.IntegralType)
-        kind = "bigint" if integral else "double"
+        value_type = placed.schema[f"__v_{name}"].dataType
+        kind = _sum_type(value_type)
         known = F.filter(extra, lambda x: x.isNotNull())
         extra_sum = F.when(
             F.size(known) > 0,
-            F.aggregate(known, F.lit(0).cast(kind), lambda acc, x: acc + x.cast(kind)),
+            F.aggregate(known, F.lit(0).cast(kind), lambda acc, x: (acc + x).cast(kind)),
         )
-        sums = _plus(F.sum(v.cast(kind)).over(frame), extra_sum)
+        sums = _plus(F.sum(v).over(frame), extra_sum)
         counts = F.count(v).over(frame) + F.coalesce(F.size(known), F.lit(0))
-        return _result(calc.agg, sums, counts)
+        return _result(calc.agg, sums, counts, value_type)
     # total
     if calc.agg == "avg":
         sums = F.coalesce(F.col(f"__s_{name}"), F.sum(v).over(here))
         counts = F.coalesce(F.col(f"__c_{name}"), F.count(v).over(here))
-        return _result("avg", sums, counts)
-    handed = F.col({"sum": f"__s_{name}", "count": f"__c_{name}"}.get(calc.agg, f"__m_{name}"))
+        return _result("avg", sums, counts, placed.schema[f"__v_{name}"].dataType)
+    if calc.agg == "sum":
+        sums = F.when(spread.isNull(), F.sum(v).over(here)).otherwise(F.col(f"__s_{name}"))
+        return _result("sum", sums, None, placed.schema[f"__v_{name}"].dataType)
+    handed = F.col(f"__c_{name}" if calc.agg == "count" else f"__m_{name}")
     return F.when(spread.isNull(), _AGGREGATES[calc.agg](v).over(here)).otherwise(handed)
 
 
@@ -324,11 +327,26 @@ def _plus(a: Column, b: Column) -> Column:
     return F.coalesce(a + b, a, b)
 
 
-def _result(agg: str, sums: Column | None, counts: Column | None) -> Column:
-    if agg == "sum":
-        return sums
+def _sum_type(kind: T.DataType) -> T.DataType:
+    """The type of a sum of values of a type, as Spark has it."""
+    if isinstance(kind, T.DecimalType):
+        return T.DecimalType(min(kind.precision + 10, 38), kind.scale)
+    return T.LongType() if isinstance(kind, T.IntegralType) else T.DoubleType()
+
+
+def _result(agg: str, sums: Column | None, counts: Column | None, kind: T.DataType) -> Column:
+    """Sum, count or average of values of type `kind`, in the type that the plain window gives."""
     if agg == "count":
         return counts
+    sums = sums.cast(_sum_type(kind))
+    if agg == "sum":
+        return sums
+    if isinstance(kind, T.DecimalType):
+        mean = T.DecimalType(min(kind.precision + 4, 38), min(kind.scale + 4, 38))
+        # A quotient of 38 digits would lose places; a sum that fits into 34 keeps four more than it has.
+        short = sums.try_cast(T.DecimalType(min(kind.precision + 10, 34), kind.scale))
+        count = counts.cast("decimal(20,0)")
+        return F.coalesce(F.try_divide(short, count).cast(mean), F.try_divide(sums, count).cast(mean))
     return F.try_divide(sums.cast("double"), counts.cast("double"))
 
 
@@ -354,7 +372,8 @@ def peer_ranks(
     per distinct sort value, those few rows are ranked, and the ranks are joined back.
     """
     sizes = sizes or group_sizes(df, partition)
-    if partition and sizes.largest <= max_group_rows(df.sparkSession):
+    limit = max_group_rows(df.sparkSession)
+    if sizes.largest <= (limit if partition else min(limit, KEYLESS_ROWS)):
         w = Window.partitionBy(*partition).orderBy(*[by.column for by in order])
         return df.withColumns({name: getattr(F, kind)().over(w) for name, kind in kinds.items()})
     keys = [*partition, *[by.name for by in order]]
@@ -392,9 +411,9 @@ def group_totals(df: DataFrame, keys: list[str], sizes: Sizes | None = None, **a
 
 
 def join_facts(
-    df: DataFrame, facts: DataFrame, keys: list[str], sizes: Sizes | None = None, own_keys: bool = False
+    df: DataFrame, facts: DataFrame, keys: list[str], sizes: Sizes | None = None, own_keys: bool = False, how: str = "left"
 ) -> DataFrame:
-    """Left join of `facts`, one row per key, to all rows of that key, NULL keys included.
+    """Left (or inner) join of `facts`, one or a few rows per key, to all rows of that key, NULL keys included.
 
     `own_keys` says that `facts` holds no other keys than `df`; it is then broadcast while the
     counted keys stay under `wardflow.maxBroadcastRows`. Otherwise the join is left to the planner,
@@ -406,10 +425,10 @@ def join_facts(
     renamed = facts.select(*[F.col(k).alias(f"__k_{k}") for k in keys], *[c for c in facts.columns if c not in keys])
     pairs = [(k, f"__k_{k}") for k in keys]
     if own_keys and sizes.groups <= max_broadcast_rows(spark):
-        return df.join(F.broadcast(renamed), null_safe(df, renamed, pairs), "left")
+        return df.join(F.broadcast(renamed), null_safe(df, renamed, pairs), how)
     limit = max(max_group_rows(spark), sizes.rows // max(max_broadcast_rows(spark), 1))
     if sizes.largest <= limit:
-        return df.join(renamed, null_safe(df, renamed, pairs), "left")
+        return df.join(renamed, null_safe(df, renamed, pairs), how)
     salts = ceil(sizes.largest / limit) * 4
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > limit)
     hot = counts.select(*[F.col(k).alias(f"__h_{k}") for k in keys], F.lit(salts).alias("__salts"))
@@ -418,10 +437,11 @@ def join_facts(
         same = null_safe(side, hot, [(c, f"__h_{k}") for c, k in zip(columns, keys, strict=True)])
         return side.join(F.broadcast(hot), same, "left").drop(*[f"__h_{k}" for k in keys])
 
-    left = marked(df, keys)
-    # By place, not by value: equal rows of a hot key must part too.
+    # By place, not by value: equal rows of a hot key must part too. Written out first, so that a task
+    # that is run again deals its rows to the same salts.
+    left = marked(settle(df), keys)
     spread = F.pmod(F.monotonically_increasing_id(), F.col("__salts")).cast("int")
     left = left.withColumn("__salt", F.coalesce(spread, F.lit(0))).drop("__salts")
     copies = F.sequence(F.lit(0), F.coalesce(F.col("__salts"), F.lit(1)) - 1)
     right = marked(renamed, [f"__k_{k}" for k in keys]).withColumn("__k_salt", F.explode(copies)).drop("__salts")
-    return left.join(right, null_safe(left, right, [*pairs, ("__salt", "__k_salt")]), "left")
+    return left.join(right, null_safe(left, right, [*pairs, ("__salt", "__k_salt")]), how)

@@ -27,6 +27,7 @@ from wardflow.operators.ordered import (
     first_of,
     group_sizes,
     group_totals,
+    join_facts,
     lag,
     last_before,
     moving,
@@ -504,7 +505,9 @@ def int_patient_360(
 
 def int_patient_journey(stg_patients: DataFrame, stg_encounters: DataFrame, params: Params) -> DataFrame:
     people = stg_patients.select("patient_id", F.col("full_name").alias("patient_name"))
-    visits = people.join(stg_encounters, "patient_id").select(
+    seen = stg_encounters.filter(F.col("patient_id").isNotNull())
+    # One patient may have a large part of all encounters.
+    visits = join_facts(seen, people, ["patient_id"], how="inner").select(
         "patient_id", "patient_name", "encounter_id", "encounter_type", "admit_datetime", "discharge_datetime"
     )
     numbered = ordered_window(
@@ -558,7 +561,6 @@ def int_patient_risk_score(stg_patients: DataFrame, params: Params) -> DataFrame
 
 def int_payer_performance(stg_claims: DataFrame, params: Params) -> DataFrame:
     charge = "total_charges"
-    sizes = group_sizes(stg_claims, ["payer_name", "claim_type"])
     metrics = grouped(
         stg_claims, ["payer_name", "claim_type"],
         {
@@ -578,10 +580,9 @@ def int_payer_performance(stg_claims: DataFrame, params: Params) -> DataFrame:
             "median_days_to_pay": ("days_to_payment", 0.5),
             **{f"p{p}_charge": (charge, p / 100) for p in (25, 50, 75, 95)},
         },
-        sizes,
     )
     spread, low, high = iqr_fences(F.col("p25_charge"), F.col("p75_charge"))
-    rated = metrics.withColumns(
+    rated = settle(metrics).withColumns(
         {
             "denial_rate": div0null(F.col("denied_count"), F.col("total_claims")),
             "iqr": spread,
@@ -589,9 +590,9 @@ def int_payer_performance(stg_claims: DataFrame, params: Params) -> DataFrame:
             "outlier_high_threshold": high,
         }
     )
-    few = Sizes(sizes.groups, 1, sizes.groups)
-    ranked = peer_ranks(rated, [], [desc("sum_charges")], few, charge_rank="rank")
-    ranked = peer_ranks(ranked, [], [asc("denial_rate")], few, denial_rank="rank")
+    sizes = group_sizes(rated, [])
+    ranked = peer_ranks(rated, [], [desc("sum_charges")], sizes, charge_rank="rank")
+    ranked = peer_ranks(ranked, [], [asc("denial_rate")], sizes, denial_rank="rank")
     rate = F.col("denial_rate")
     return ranked.withColumn(
         "payer_grade", band([(rate > 0.20, "Poor"), (rate > 0.10, "Below Average"), (rate > 0.05, "Average")], "Excellent")

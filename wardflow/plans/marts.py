@@ -32,7 +32,7 @@ from wardflow.operators.incremental import (
     scd2_from_log,
     scd2_snapshot,
 )
-from wardflow.operators.ordered import asc, desc, group_totals
+from wardflow.operators.ordered import asc, desc, group_totals, join_facts
 from wardflow.operators.relational import latest_by
 from wardflow.params import Params
 from wardflow.session import settle
@@ -215,13 +215,14 @@ def fct_revenue(
 ) -> DataFrame:
     """Claims with their patient as last known; earlier copies of a patient would count a claim twice."""
     newest = latest_by(stg_patients, ["patient_id"], [desc("_ingested_at"), asc("facility_id")])
-    people = newest.select(
+    people = newest.filter(F.col("patient_id").isNotNull()).select(
         "patient_id", "facility_id", F.col("age").alias("patient_age"), F.col("gender").alias("patient_gender")
     )
 
     def build(claims: DataFrame) -> DataFrame:
         served = F.col("service_date")
-        return claims.join(people, "patient_id", "left").select(
+        # One patient may have a large part of all claims.
+        return join_facts(claims, people, ["patient_id"]).select(
             surrogate_key(F.col("claim_id"), F.col("patient_id")).alias("revenue_key"),
             "claim_id", "patient_id", "encounter_id", "payer_name", "claim_type", "claim_status", "service_date",
             "total_charges", "total_paid", "total_denied", "outstanding_amount", "payment_ratio", "days_to_submit",
