@@ -16,7 +16,7 @@ from wardflow.operators.aggregates import ordered_list
 from wardflow.params import Params
 from wardflow.plans.catalog import build
 from wardflow.session import fresh_path
-from wardflow.sources.landing import read_landing
+from wardflow.sources.landing import read_landing, write_variant
 
 AS_OF = datetime(2001, 8, 1, 12, 30)
 EVENTS_AS_OF = datetime(2024, 1, 29, 12, 30)
@@ -289,23 +289,34 @@ def landed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_landing(spark, _WRITTEN[key])
 
 
+def landed_variant(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The landing table with its documents as VARIANT, written once per session."""
+    key = (spark.sparkContext.applicationId, sf_dir, f"{name} as variant")
+    if key not in _WRITTEN:
+        path = fresh_path(spark, f"{name}-variant")
+        write_variant(landed(spark, sf_dir, name), path)
+        _WRITTEN[key] = path
+    return read_landing(spark, _WRITTEN[key])
+
+
 class Landing(dict):
     """Landing relations, each opened when first asked for."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, records: bool):
+    def __init__(self, spark: SparkSession, sf_dir: str, records: bool, variant: bool = False):
         super().__init__()
-        self.spark, self.sf_dir, self.records = spark, sf_dir, records
+        self.spark, self.sf_dir, self.records, self.variant = spark, sf_dir, records, variant
 
     def __contains__(self, name) -> bool:
         return name in SOURCES or super().__contains__(name)
 
     def __missing__(self, name):
-        relation = landed(self.spark, self.sf_dir, name)
+        opened = landed_variant if self.variant and name.startswith("raw_") else landed
+        relation = opened(self.spark, self.sf_dir, name)
         if self.records and name == "raw_facility_ops":
-            relation = relation.unionByName(landed(self.spark, self.sf_dir, "raw_facility_records"))
+            relation = relation.unionByName(opened(self.spark, self.sf_dir, "raw_facility_records"))
         self[name] = relation
         return relation
 
 
-def model(spark: SparkSession, sf_dir: str, name: str, params: Params = PARAMS) -> DataFrame:
-    return build(name, spark, Landing(spark, sf_dir, name in _RECORD_MODELS), params)
+def model(spark: SparkSession, sf_dir: str, name: str, params: Params = PARAMS, variant: bool = False) -> DataFrame:
+    return build(name, spark, Landing(spark, sf_dir, name in _RECORD_MODELS, variant), params)

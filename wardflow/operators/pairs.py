@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardflow.operators.ordered import asc, group_totals, ordered_window, running
-from wardflow.operators.relational import share_of_total
+from wardflow.operators.ordered import Sizes, asc, group_totals, join_facts, ordered_window, running
+from wardflow.operators.relational import left_null_safe, share_of_total
 from wardflow.session import settle
 
 BLOCK_ITEMS = 1000
@@ -39,10 +39,20 @@ def cooccurrence_pairs(
     same = (F.col("__e") == F.col(entity)) & (F.col("__b") == F.col("__block"))
     pairs = left.join(right, same & (F.col("item_1") < F.col("item_2")))
     keys = ["item_1", "item_2", "label_1", "label_2"]
-    support = F.count(F.lit(1)).alias("support")
-    counted = pairs.groupBy(*keys).agg(support, F.array_sort(F.collect_list(entity)).alias("entities"))
-    joined = share_of_total(settle(counted.filter(F.col("support") >= min_support)), prevalence="support")
-    return joined.withColumn("pair_hash", F.xxhash64("item_1", "item_2"))
+    # Counts first, without lists: by far the most pairs end here, summed up before they are shuffled.
+    counted = pairs.groupBy(*keys).agg(F.count(F.lit(1)).alias("support"))
+    supported = settle(counted.filter(F.col("support") >= min_support))
+    # Then the pairs are made again, and only the supported ones get a list.
+    named = join_facts(pairs, supported.select(*keys, F.lit(True).alias("__held")), keys, _supported_sizes(supported), how="inner")
+    lists = named.groupBy(*keys).agg(F.array_sort(F.collect_list(entity)).alias("entities"))
+    joined = share_of_total(left_null_safe(supported, lists, keys), prevalence="support")
+    return joined.select(*keys, "support", "entities", "prevalence", F.xxhash64("item_1", "item_2").alias("pair_hash"))
+
+
+def _supported_sizes(supported: DataFrame) -> Sizes:
+    """How the rows of supported pairs fall to them: known from their support, without counting again."""
+    row = supported.agg(F.sum("support"), F.count(F.lit(1)), F.max("support")).first()
+    return Sizes(int(row[0] or 0), int(row[1] or 0), int(row[2] or 0))
 
 
 def pair_rule_counts(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,15 +35,27 @@ def read_seed(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path)
 
 
+def write_variant(landing: DataFrame, path: str) -> DataFrame:
+    """The landing table stored once with its documents as VARIANT, and read back.
+
+    Spark shreds the documents it writes: paths with values of one type become Parquet columns of their
+    own, so that `parse` reads the fields it asks for and no whole document. Malformed text fails.
+    """
+    stored = landing.withColumn("raw_data", F.parse_json("raw_data"))
+    stored.write.parquet(path)
+    return read_landing(landing.sparkSession, path)
+
+
 def parse(landing: DataFrame, schema: str) -> DataFrame:
     """The wanted document fields as columns, parsed once, next to the envelope.
 
     `schema` names only the fields a model reads, and every leaf as string: models cast each leaf
-    strictly or safely as they need. JSON null and a missing key both come out as NULL. A document
-    column of type VARIANT is read as well as JSON text.
+    strictly or safely as they need. JSON null and a missing key both come out as NULL. Fields of a
+    document column of type VARIANT are asked for path by path, which the scan answers with their columns.
     """
-    raw: Column = F.col("raw_data")
-    if isinstance(landing.schema["raw_data"].dataType, T.VariantType):
-        raw = F.to_json(raw)
     envelope = [c for c in ENVELOPE if c in landing.columns]
-    return landing.select(F.from_json(raw, schema).alias("doc"), *envelope).select("doc.*", *envelope)
+    if isinstance(landing.schema["raw_data"].dataType, T.VariantType):
+        wanted = T.StructType.fromDDL(schema)
+        fields = [F.try_variant_get("raw_data", f"$.{f.name}", f.dataType.simpleString()).alias(f.name) for f in wanted]
+        return landing.select(*fields, *envelope)
+    return landing.select(F.from_json("raw_data", schema).alias("doc"), *envelope).select("doc.*", *envelope)
