@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,6 +51,19 @@ class Scratch:
         self.paths.clear()
 
 
+def byte_slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 16 << 20) -> Iterator[pa.RecordBatch]:
+    """Batches cut so that one holds at most `limit` bytes of a text column, or a single row."""
+    for batch in batches:
+        at = held = 0
+        for k, size in enumerate(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()):
+            if held and held + size > limit:
+                yield batch.slice(at, k - at)
+                at, held = k, 0
+            held += size
+        if at < batch.num_rows:
+            yield batch.slice(at)
+
+
 def words_of(text: Column) -> Column:
     """The words of a text, between white space; none for NULL."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE), "")

@@ -12,6 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from wardflow.llm.common import byte_slices
 from wardflow.llm.url_rules import host_of, path_of
 from wardflow.session import settle
 
@@ -19,9 +20,11 @@ from wardflow.session import settle
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small"
-    " span strike strong sub sup time tt u var wbr".split()
+    " span strike strong sub sup time tt u var wbr object math mrow mi mn mo ms mtext mspace msup msub msubsup mfrac msqrt"
+    " mroot munder mover munderover mtable mtr mtd mstyle mpadded mphantom merror menclose semantics".split()
 )
-RAW = frozenset("script style textarea title noscript template iframe svg math object".split())
+#: Elements whose content is no text of the page; a line goes on behind them.
+RAW = frozenset("script style textarea title noscript template iframe svg annotation annotation-xml".split())
 #: Elements that never hold main text.
 CHROME = RAW | frozenset("head nav header footer aside form button select menu dialog figcaption".split())
 #: Elements that mark main text.
@@ -35,10 +38,9 @@ CHROME_WORDS = frozenset(
     " notices pagination popup promo promoted related replies respond search share sharing sidebar signup skip social"
     " sponsor sponsored subscribe toolbar widget complementary contentinfo alert".split()
 )
-_TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*?)(/?)>",
-    re.DOTALL,
-)
+_NAME = re.compile(r"[^\s/>]+")
+#: From behind a tag's name to its end; quotes count where a value begins. Possessive, so that nothing is read twice.
+_REST = re.compile(r"(?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+>")
 #: Words that stand before or after one of these as one name: fixed values.
 _BEFORE = "site page main top bottom left right global primary secondary mobile footer header side blog post".split()
 _AFTER = (
@@ -95,109 +97,189 @@ def _kind(name: str, text: str, inside_main: bool) -> int:
     return SHOWN
 
 
-def lines_of(page: str | None) -> list[tuple[str, bool, bool]]:
-    """Text lines of a page: (text, in a main element, in an element of running text).
+class Markup:
+    """Reads a page from its start to its end in linear time, however broken its markup is.
 
-    A line is the text between two block borders, with character references decoded and white space
-    turned into one blank. Regions that markup names as something other than main text are left out, but
-    none only for a class, id or role if it holds a main element or an article; unclosed elements end with
-    the element around them.
+    What is not there, such as another `>`, is looked for once and remembered.
     """
-    page = page or ""
-    # Text in order; where a line ends, a pair (in a main element, in an element of running text).
-    parts: list[str | tuple[bool, bool]] = []
-    # Open elements, whether each began a left-out region, and where a region begins that goes if nothing main is in it.
-    stack: list[list] = []
-    named: list[list] = []
-    chrome = main = prose = articles = 0
-    at, size = 0, len(page)
-
-    def close_line() -> None:
-        if parts and isinstance(parts[-1], str):
-            parts.append((main > 0, prose > 0))
-
-    def leave(to: int) -> None:
-        nonlocal chrome, main, prose, articles
-        while len(stack) > to:
-            element = stack.pop()
-            name, hides, start = element
-            chrome -= hides
-            main -= name in MAIN
-            articles -= name == "article"
-            prose -= name in PROSE
+
+    def __init__(self, page: str) -> None:
+        self.page, self.size = page, len(page)
+        self.gone: set[str] = set()
+        self.broken = False
+
+    def find(self, what: str, at: int) -> int:
+        """Where `what` stands next; -1 if it stands nowhere behind `at`."""
+        if what in self.gone:
+            return -1
+        found = self.page.find(what, at)
+        if found < 0:
+            self.gone.add(what)
+        return found
+
+    def behind(self, what: str, at: int) -> int:
+        """The place behind the next `what`, or the end of the page."""
+        found = self.find(what, at)
+        return self.size if found < 0 else found + len(what)
+
+    def tags(self) -> Iterator[tuple[int, int, str, bool, str]]:
+        """(start, end, lower-case name, whether it closes, attributes) of each tag; comments have no name.
+
+        A `<` that begins no tag, or has no `>` behind it, is text. `skip` moves on, past an element of raw text.
+        """
+        page, self.at = self.page, 0
+        while (start := self.find("<", self.at)) >= 0:
+            if page.startswith("<!--", start):
+                end = self.behind("-->", start + 4)
+            elif page.startswith("<![CDATA[", start):
+                end = self.behind("]]>", start + 9)
+            elif page.startswith(("<!", "<?"), start):
+                end = self.behind(">", start + 2)
+            else:
+                closes = page.startswith("</", start)
+                first = start + 1 + closes
+                if not page[first : first + 1].isascii() or not page[first : first + 1].isalpha() or self.find(">", first) < 0:
+                    self.at = start + 1
+                    continue
+                name = _NAME.match(page, first)
+                rest = None if self.broken else _REST.match(page, name.end())
+                if rest is None:
+                    # A quote that is never closed hides all that follows: from here on quotes do not count.
+                    self.broken = True
+                end = self.find(">", name.end()) + 1 if rest is None else rest.end()
+                self.at = end
+                yield start, end, name[0].lower(), closes, page[name.end() : end - 1]
+                continue
+            self.at = end
+            yield start, end, "", False, ""
+
+    def skip(self, name: str) -> None:
+        """Moves behind the end tag of an element of raw text, or to the end of the page."""
+        close = re.compile(rf"</{name}(?![\w-])", re.IGNORECASE).search(self.page, self.at)
+        self.at = self.behind(">", close.end()) if close else self.size
+
+
+class LineBuilder:
+    """Text lines of a page while its tags go by."""
+
+    def __init__(self) -> None:
+        # Text in order; where a line ends, a pair (in a main element, in an element of running text).
+        self.parts: list[str | tuple[bool, bool]] = []
+        # Open elements: name, whether it began a left-out region, where a region begins that goes if nothing main is in it.
+        self.stack: list[list] = []
+        self.named: list[list] = []
+        # How often each name is open, and the places of open elements that are not inline.
+        self.open: dict[str, int] = {}
+        self.blocks: list[int] = []
+        self.chrome = self.main = self.prose = 0
+
+    def text(self, text: str) -> None:
+        if text and not self.chrome:
+            self.parts.append(text)
+
+    def close_line(self) -> None:
+        if self.parts and isinstance(self.parts[-1], str):
+            self.parts.append((self.main > 0, self.prose > 0))
+
+    def leave(self, to: int) -> None:
+        """Ends the open elements from place `to` on."""
+        while len(self.stack) > to:
+            name, hides, start = self.stack.pop()
+            self.open[name] -= 1
+            if self.blocks and self.blocks[-1] == len(self.stack):
+                self.blocks.pop()
+            self.chrome -= hides
+            self.main -= name in MAIN
+            self.prose -= name in PROSE
             if start is not None:
-                named.pop()
+                self.named.pop()
                 # Lines that end within the region end where it stands.
-                ends = next((x for x in parts[start:] if not isinstance(x, str)), None)
-                del parts[start:]
-                if ends and parts and isinstance(parts[-1], str):
-                    parts.append(ends)
-
-    while at < size:
-        tag = _TAG.search(page, at)
-        end = tag.start() if tag else size
-        if not chrome and end > at:
-            parts.append(page[at:end])
-        if tag is None:
-            break
-        at = tag.end()
-        name = (tag[2] or "").lower()
-        if not name:
-            continue
-        if tag[1]:
-            if name not in INLINE:
-                close_line()
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == name:
-                    leave(k)
-                    break
-            continue
-        if name == "br":
-            if not chrome:
-                parts.append(" ")
-            continue
+                ends = next((x for x in self.parts[start:] if not isinstance(x, str)), None)
+                del self.parts[start:]
+                if ends and self.parts and isinstance(self.parts[-1], str):
+                    self.parts.append(ends)
+
+    def end(self, name: str) -> None:
+        """An end tag; one that closes nothing only ends a line."""
+        if name not in INLINE and name not in RAW:
+            self.close_line()
+        if self.open.get(name):
+            k = len(self.stack) - 1
+            while self.stack[k][0] != name:
+                k -= 1
+            self.leave(k)
+
+    def begin(self, name: str, attributes: str, empty: bool) -> None:
+        """A start tag."""
         if name not in INLINE:
-            close_line()
-            if name in PROSE:
+            self.close_line()
+            if name in PROSE and self.blocks:
                 # A new paragraph, item or heading ends an unclosed one; nothing inline stays open across.
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] in PROSE and stack[k][0] not in ("blockquote", "td", "th", "li"):
-                        leave(k)
-                        break
-                    if stack[k][0] not in INLINE:
-                        break
-        if name in VOID or tag[4]:
-            continue
-        if name in RAW:
-            close = re.compile(rf"</{name}\b[^>]*>", re.IGNORECASE).search(page, at)
-            at = close.end() if close else size
-            continue
-        kind = SHOWN if chrome else _kind(name, tag[3], main > 0)
+                last = self.stack[self.blocks[-1]][0]
+                if last in PROSE and last not in ("blockquote", "td", "th", "li"):
+                    self.leave(self.blocks[-1])
+        if empty:
+            return
+        kind = SHOWN if self.chrome else _kind(name, attributes, self.main > 0)
         # Articles within an article are comments on it, so there a name decides alone.
-        hides = kind == HIDDEN or (kind == NAMED and articles > 0)
-        element = [name, hides, len(parts) if kind == NAMED and not hides else None]
-        if name in MAIN and not chrome and not hides:
-            for region in named:
+        hides = kind == HIDDEN or (kind == NAMED and self.open.get("article", 0) > 0)
+        element = [name, hides, len(self.parts) if kind == NAMED and not hides else None]
+        if name in MAIN and not self.chrome and not hides:
+            for region in self.named:
                 region[2] = None
-            named.clear()
-        stack.append(element)
+            self.named.clear()
+        if name not in INLINE:
+            self.blocks.append(len(self.stack))
+        self.stack.append(element)
+        self.open[name] = self.open.get(name, 0) + 1
         if element[2] is not None:
-            named.append(element)
-        chrome += hides
-        main += name in MAIN
-        articles += name == "article"
-        prose += name in PROSE
-    close_line()
-    leave(0)
-    lines: list[tuple[str, bool, bool]] = []
-    start = 0
-    for k, end in enumerate(parts):
-        if not isinstance(end, str):
-            text = " ".join(html.unescape("".join(parts[start:k])).split())
-            if text:
-                lines.append((text, *end))
-            start = k + 1
-    return lines
+            self.named.append(element)
+        self.chrome += hides
+        self.main += name in MAIN
+        self.prose += name in PROSE
+
+    def lines(self) -> list[tuple[str, bool, bool]]:
+        """The lines, when all tags have gone by."""
+        self.close_line()
+        self.leave(0)
+        found: list[tuple[str, bool, bool]] = []
+        start = 0
+        for k, end in enumerate(self.parts):
+            if not isinstance(end, str):
+                text = " ".join(html.unescape("".join(self.parts[start:k])).split())
+                if text:
+                    found.append((text, *end))
+                start = k + 1
+        return found
+
+
+def lines_of(page: str | None) -> list[tuple[str, bool, bool]]:
+    """Text lines of a page: (text, in a main element, in an element of running text).
+
+    A line is the text between two block borders, with character references decoded and white space
+    turned into one blank. Regions that markup names as something other than main text are left out, but
+    none only for a class, id or role if it holds a main element or an article; unclosed elements end with
+    the element around them. Formulas and other inline content stay in their line, without markup.
+    """
+    markup, made = Markup(page or ""), LineBuilder()
+    at = 0
+    for start, end, name, closes, rest in markup.tags():
+        made.text(markup.page[at:start])
+        at = end
+        if not name:
+            continue
+        if closes:
+            made.end(name)
+        elif name == "br":
+            made.text(" ")
+        elif name in RAW:
+            if not rest.endswith("/") or name not in ("svg", "annotation", "annotation-xml"):
+                markup.skip(name)
+                at = markup.at
+        else:
+            made.begin(name, rest, name in VOID or rest.endswith("/"))
+    made.text(markup.page[at:])
+    return made.lines()
 
 
 def common_places(a: list[int], b: list[int]) -> list[int]:
@@ -262,22 +344,22 @@ def _lengths(a: list[int], b: list[int]) -> np.ndarray:
 def main_lines(lines: list[tuple[int, bool, bool]], other: list[int] | None) -> list[bool]:
     """Which lines are main text, given the lines of the page with the nearest URL.
 
-    `lines` are (hash, in main, in prose). Where a page marks its main text, lines outside go and all of
-    the marked ones stay, since two pages may carry the same article. Elsewhere lines that the other page
-    shares, in the same order, are template and go, unless the page is a copy: then it shares most of its
-    running text, of which nothing goes. A page without elements of running text has all its lines for it.
+    `lines` are (hash, in main, in prose). Lines that the other page shares, in the same order, are template
+    and go. Two things protect a shared line: that the page marks it as main text, since two pages may carry
+    the same article; and that the page is a copy, which shares most of its running text, of which then
+    nothing goes. A page without elements of running text has all its lines for it.
     """
-    if any(main for _, main, _ in lines):
-        return [main for _, main, _ in lines]
     shared = set(common_places([x for x, _, _ in lines], other)) if other else set()
-    running = [k for k, (_, _, prose) in enumerate(lines) if prose] or range(len(lines))
-    copy = 2 * sum(k in shared for k in running) > len(running)
-    kept = set(running) if copy else set()
+    kept = {k for k, (_, main, _) in enumerate(lines) if main}
+    if not kept:
+        running = [k for k, (_, _, prose) in enumerate(lines) if prose] or range(len(lines))
+        if 2 * sum(k in shared for k in running) > len(running):
+            kept = set(running)
     return [k not in shared or k in kept for k in range(len(lines))]
 
 
 def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in byte_slices(batches, "html"):
         rows = [[(xxhash.xxh64_intdigest(t) >> 1, m, p) for t, m, p in lines_of(h.as_py())] for h in batch.column("html")]
         hashes = [[x for x, _, _ in r] for r in rows]
         kinds = [[2 * m + p for _, m, p in r] for r in rows]
@@ -298,7 +380,7 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in byte_slices(batches, "html"):
         lines = [[t for t, _, _ in lines_of(page.as_py())] for page in batch.column("html")]
         columns = [batch.column(c) for c in ("page_id", "url", "key")]
         yield pa.RecordBatch.from_arrays([*columns, pa.array(lines, pa.list_(pa.string()))], ["page_id", "url", "key", "lines"])
@@ -343,9 +425,11 @@ def extract(pages: DataFrame) -> DataFrame:
     when neighbours are sought and stay in the result. An empty table gives an empty result; further
     columns are ignored.
     """
-    named = pages.select("page_id", "url", "html", F.xxhash64("url", "html").alias("key"))
+    content = [F.coalesce(F.concat(F.lit("="), F.col(c)), F.lit("")) for c in ("url", "html")]
+    key = F.unhex(F.md5(F.concat(content[0], F.lit("\0"), content[1]).cast("binary")))
+    named = pages.select("page_id", "url", "html", key.alias("key"))
     keyed = named.select("key", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), "html")
-    schema = "key bigint, host string, path string, hashes array<bigint>, kinds array<tinyint>"
+    schema = "key binary, host string, path string, hashes array<bigint>, kinds array<tinyint>"
     parsed = settle(keyed.mapInArrow(_parsed, schema))
     distinct = parsed.groupBy("key").agg(*[F.first(c).alias(c) for c in ("host", "path", "hashes", "kinds")])
     distinct = settle(distinct)
@@ -357,9 +441,9 @@ def extract(pages: DataFrame) -> DataFrame:
         .join(others, F.col("other") == F.col("other_key"), "left")
         .select("key", "hashes", "kinds", F.col("other_hashes").alias("other"))
     )
-    kept = settle(pairs.mapInArrow(_compared, "key bigint, keep array<boolean>"))
+    kept = settle(pairs.mapInArrow(_compared, "key binary, keep array<boolean>"))
     kind = pages.schema["page_id"].dataType.simpleString()
-    lines = named.mapInArrow(_texts, f"page_id {kind}, url string, key bigint, lines array<string>")
+    lines = named.mapInArrow(_texts, f"page_id {kind}, url string, key binary, lines array<string>")
     # Lines outside the named regions are all that travels with a page; one way at every size.
     text = F.array_join(F.filter("lines", lambda t, k: F.get("keep", k)), "\n\n")
     joined = lines.join(kept.hint("merge"), "key", "left")

@@ -8,10 +8,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from wardflow.llm.common import byte_slices
+
 #: A run repeats its period at least so many times, and has at least so many words.
 REPEATS = 4
 LEAST_WORDS = 6
@@ -297,28 +298,14 @@ def word_runs(docs: DataFrame, text: str = "text", spoil=None, key: str | None =
     rest = [c for c in docs.columns if c not in (text, *names)]
     schema = T.StructType([*[docs.schema[c] for c in rest], *RESULT])
 
-    def cuts(texts: pa.Array) -> Iterator[tuple[int, int]]:
-        """Slices of a batch with a bounded number of bytes."""
-        at = held = 0
-        for k, size in enumerate(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):
-            if held and held + size > BATCH_BYTES:
-                yield at, k
-                at, held = k, 0
-            held += size
-        if at < len(texts):
-            yield at, len(texts)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            column = batch.column(text).cast(pa.binary())
-            for at, to in cuts(column):
-                part = batch.slice(at, to - at)
-                keys = part.column(key).to_pylist() if key else None
-                found = summaries([t or b"" for t in column.slice(at, to - at).to_pylist()], spoil, keys)
-                made = [
-                    pa.array([row[k] for row in found], pa.string() if name.endswith("sha256") else pa.int64())
-                    for k, name in enumerate(names)
-                ]
-                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in rest], *made], [*rest, *names])
+        for part in byte_slices(batches, text, BATCH_BYTES):
+            keys = part.column(key).to_pylist() if key else None
+            found = summaries([t or b"" for t in part.column(text).cast(pa.binary()).to_pylist()], spoil, keys)
+            made = [
+                pa.array([row[k] for row in found], pa.string() if name.endswith("sha256") else pa.int64())
+                for k, name in enumerate(names)
+            ]
+            yield pa.RecordBatch.from_arrays([*[part.column(c) for c in rest], *made], [*rest, *names])
 
     return docs.select(*rest, text).mapInArrow(run, schema)
