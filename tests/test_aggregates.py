@@ -85,3 +85,19 @@ def test_histogram_edges(spark):
     df = spark.createDataFrame([(-1.0,), (0.0,), (9.9,), (10.0,), (100.0,), (None,)], "v double")
     got = {r.b: r.n for r in A.histogram(df, [], "v", 0, 100, 10, "b", n=F.count(F.lit(1))).collect()}
     assert got == {0: 1, 1: 2, 2: 1, 11: 1, None: 1}
+
+
+def test_long_lists_are_put_together_from_pieces(spark, readings):
+    """The list of a group past the limit has the same items in the same order, NULLs and ties included."""
+    items = F.struct("ts", "v")
+
+    def build(order):
+        return sorted((str(r.key), repr(r.l)) for r in A.ordered_list(readings, ["key"], order, items, "l").collect())
+
+    below = build(["v", "id"]), build(["score"])
+    spark.conf.set("wardflow.maxGroupRows", "25")
+    try:
+        above = build(["v", "id"]), build(["score"])
+    finally:
+        spark.conf.unset("wardflow.maxGroupRows")
+    assert above == below

@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardflow.operators.ordered import asc, ordered_window, running, total
+from wardflow.operators.ordered import Sizes, asc, group_sizes, ordered_window, row_number, running, total
 from wardflow.operators.relational import left_null_safe
-from wardflow.session import settle
+from wardflow.session import max_group_rows, settle
 
 
 def grouped(
@@ -141,13 +141,33 @@ def joined_set(column: Column | str, separator: str) -> Column:
     return F.array_join(sorted_set(column), separator)
 
 
-def ordered_list(df: DataFrame, keys: list[str], order: list[str], item: Column, name: str) -> DataFrame:
-    """One row per group with all its items, ordered, as `name`; NULLs in the order come last.
+#: Members that one task sorts as objects; a longer list is put together from sorted pieces of so many members.
+LIST_ROWS = 200_000
+PIECE_ROWS = 10_000
 
-    A group always has one row, so totals joined to it are never repeated. The list is a cell: keep the
-    member relation itself where groups have no bound.
+
+def ordered_list(
+    df: DataFrame, keys: list[str], order: list[str], item: Column, name: str, sizes: Sizes | None = None
+) -> DataFrame:
+    """One row per group with all its items, ordered, as `name`; NULLs in the order come last, ties go by item.
+
+    A group always has one row, so totals joined to it are never repeated. The list is one cell, whole,
+    whatever its length. Members of long lists are numbered by sharded windows and gathered in pieces;
+    one task then holds the pieces of one list, packed, and nothing else of it. Keep the member relation
+    itself where even that is too much.
     """
-    sort = [c for o in order for c in (F.col(o).isNull(), F.col(o))]
-    packed = df.select(*keys, F.struct(*[c.alias(f"s{i}") for i, c in enumerate(sort)], item.alias("item")).alias("__e"))
-    lists = packed.groupBy(*keys).agg(F.array_sort(F.collect_list("__e")).alias("__l"))
-    return lists.select(*keys, F.col("__l")["item"].alias(name))
+    sizes = sizes or group_sizes(df, keys)
+    limit = min(LIST_ROWS, max_group_rows(df.sparkSession))
+    if sizes.largest <= limit:
+        sort = [c for o in order for c in (F.col(o).isNull(), F.col(o))]
+        packed = df.select(*keys, F.struct(*[c.alias(f"s{i}") for i, c in enumerate(sort)], item.alias("item")).alias("__e"))
+        lists = packed.groupBy(*keys).agg(F.array_sort(F.collect_list("__e")).alias("__l"))
+        return lists.select(*keys, F.col("__l")["item"].alias(name))
+    members = df.select(*keys, *[F.col(o).alias(f"__o{i}") for i, o in enumerate(order)], item.alias("__item"))
+    by = [*[asc(f"__o{i}") for i in range(len(order))], asc("__item", "first")]
+    numbered = ordered_window(members, keys, by, Sizes(sizes.rows, sizes.groups, sizes.largest), __at=row_number())
+    pieces = numbered.groupBy(*keys, F.floor((F.col("__at") - 1) / min(PIECE_ROWS, limit)).alias("__piece")).agg(
+        F.array_sort(F.collect_list(F.struct("__at", "__item")))["__item"].alias("__items")
+    )
+    whole = F.flatten(F.array_sort(F.collect_list(F.struct("__piece", "__items")))["__items"])
+    return settle(pieces).groupBy(*keys).agg(whole.alias(name))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wardflow.operators.aggregates import ordered_list
 from wardflow.operators.ordered import Sizes, asc, group_totals, join_facts, ordered_window, running
 from wardflow.operators.relational import left_null_safe, share_of_total
 from wardflow.session import settle
@@ -43,8 +44,9 @@ def cooccurrence_pairs(
     counted = pairs.groupBy(*keys).agg(F.count(F.lit(1)).alias("support"))
     supported = settle(counted.filter(F.col("support") >= min_support))
     # Then the pairs are made again, and only the supported ones get a list.
-    named = join_facts(pairs, supported.select(*keys, F.lit(True).alias("__held")), keys, _supported_sizes(supported), how="inner")
-    lists = named.groupBy(*keys).agg(F.array_sort(F.collect_list(entity)).alias("entities"))
+    sizes = _supported_sizes(supported)
+    named = join_facts(pairs, supported.select(*keys, F.lit(True).alias("__held")), keys, sizes, how="inner")
+    lists = ordered_list(named, keys, [entity], F.col(entity), "entities", sizes)
     joined = share_of_total(left_null_safe(supported, lists, keys), prevalence="support")
     return joined.select(*keys, "support", "entities", "prevalence", F.xxhash64("item_1", "item_2").alias("pair_hash"))
 

@@ -28,10 +28,12 @@ from wardflow.functions import (
     whole,
     zero_if_null,
 )
+from wardflow.operators.aggregates import ordered_list
 from wardflow.operators.ordered import (
     asc,
     desc,
     group_totals,
+    join_facts,
     lag,
     lead,
     ordered_window,
@@ -41,6 +43,7 @@ from wardflow.operators.ordered import (
 from wardflow.operators.relational import latest_by
 from wardflow.operators.semi import flatten, flatten_keep, object_keys
 from wardflow.params import Params
+from wardflow.session import settle
 from wardflow.sources.landing import parse
 
 # Routes of medication.
@@ -72,12 +75,6 @@ def _flag(condition: Column) -> Column:
     return iff(condition, True, False)
 
 
-def _charges(array: str, keep: Callable[[Column], Column] = lambda charge: charge.isNotNull()) -> Column:
-    """Sum of the charges in a document's array; NULL when there is none. Saves a shuffle of its items."""
-    charges = F.filter(F.transform(F.col(array), lambda x: x["charge"].cast("double")), keep)
-    return F.when(F.size(charges) > 0, F.aggregate(charges, F.lit(0.0), lambda a, x: a + x))
-
-
 # ---- patients -----------------------------------------------------------------------------------
 
 
@@ -498,11 +495,8 @@ def stg_procedures(raw_encounters: DataFrame, params: Params) -> DataFrame:
         "encounter_id string, patient_id string, charges struct<total:string>, procedures array<struct<code:string,"
         "description:string,units:string,charge:string,performed_by:string,service_date:string>>",
     )
-    docs = group_totals(
-        doc.withColumn("__charges", _charges("procedures")), ["encounter_id"], __sum=F.sum("__charges")
-    )
     code = F.col("item.code")
-    rows = flatten(docs, "procedures").select(
+    rows = flatten(doc, "procedures").select(
         "encounter_id", "patient_id",
         code.alias("procedure_code"),
         F.col("item.description").alias("procedure_description"),
@@ -521,10 +515,12 @@ def stg_procedures(raw_encounters: DataFrame, params: Params) -> DataFrame:
             "Other",
         ).alias("procedure_category"),
         _num("charges.total").alias("encounter_total_charges"),
-        share(_num("item.charge"), F.col("__sum")).alias("charge_pct_of_encounter"),
         "_ingested_at",
     )
-    return rows
+    # Totals are joined to the narrow rows, not to the documents.
+    summed = group_totals(rows, ["encounter_id"], __sum=F.sum("charge_amount"))
+    columns = [c for c in rows.columns if c != "_ingested_at"]
+    return summed.select(*columns, share(F.col("charge_amount"), F.col("__sum")).alias("charge_pct_of_encounter"), "_ingested_at")
 
 
 def stg_encounter_diagnoses(raw_encounters: DataFrame, params: Params) -> DataFrame:
@@ -563,16 +559,13 @@ def stg_care_plans(raw_encounters: DataFrame, params: Params) -> DataFrame:
         "_ingested_at",
     )
     order = ["priority_rank", "encounter_id", "goal_sequence", "_ingested_at", "intervention"]
-    numbered = ordered_window(rows, ["patient_id"], [asc(o) for o in order], __rn=row_number())
-    packed = F.struct(F.col("__rn"), F.col("intervention"))
-    lists = numbered.groupBy("patient_id").agg(
-        F.array_sort(F.collect_list(F.when(F.col("intervention").isNotNull(), packed))).alias("__l")
-    )
-    joined = F.array_join(F.col("__l")["intervention"], "; ")
-    lists = lists.select(F.col("patient_id").alias("__p"), joined.alias("all_interventions"))
-    return numbered.join(lists, numbered["patient_id"].eqNullSafe(lists["__p"])).select(
-        *[c for c in rows.columns if c != "_ingested_at"], "all_interventions", "_ingested_at"
-    )
+    # Listed once per patient, then joined; a patient may have a large part of all goals.
+    told = settle(rows)
+    lists = ordered_list(told.filter(F.col("intervention").isNotNull()), ["patient_id"], order, F.col("intervention"), "__list")
+    listed = join_facts(told, lists, ["patient_id"], own_keys=True)
+    text = F.coalesce(F.array_join("__list", "; "), F.lit(""))
+    return listed.select(*[c for c in rows.columns if c != "_ingested_at"], text.alias("all_interventions"), "_ingested_at")
+
 
 
 def stg_clinical_documents(raw_encounters: DataFrame, params: Params) -> DataFrame:
@@ -624,21 +617,22 @@ def stg_order_history(raw_encounters: DataFrame, params: Params) -> DataFrame:
         raw_encounters,
         "patient_id string, encounter_id string, orders array<struct<order_type:string,description:string,charge:string>>",
     )
-    docs = group_totals(
-        doc.withColumn("__charges", _charges("orders", lambda charge: charge > 0)), ["encounter_id"],
-        __sum=F.sum("__charges"),
-    )
-    rows = flatten(docs, "orders").select(
+    rows = flatten(doc, "orders").select(
         "patient_id", "encounter_id",
         F.col("item.order_type"),
         F.col("item.description").alias("order_description"),
         _num("item.charge").alias("order_charge"),
         (F.col("pos") + 1).alias("order_sequence"),
-        share(_num("item.charge"), F.col("__sum")).alias("charge_pct_of_encounter"),
+        "_ingested_at",
+    ).filter(F.col("order_charge") > 0)
+    # Totals are joined to the narrow rows, not to the documents.
+    summed = group_totals(rows, ["encounter_id"], __sum=F.sum("order_charge"))
+    return summed.select(
+        *[c for c in rows.columns if c != "_ingested_at"],
+        share(F.col("order_charge"), F.col("__sum")).alias("charge_pct_of_encounter"),
         F.col("__sum").alias("encounter_total_charges"),
         "_ingested_at",
     )
-    return rows.filter(F.col("order_charge") > 0)
 
 
 def stg_referrals(raw_encounters: DataFrame, params: Params) -> DataFrame:
