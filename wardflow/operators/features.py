@@ -42,13 +42,12 @@ def watchlist_overlap(df: DataFrame, entity: str, items: dict[str, str], lists:
 
     `items` maps a new array name to its column; `lists` maps a new name to (array, watched values).
     """
-    sets = df.groupBy(entity).agg(*[sorted_set(column).alias(name) for name, column in items.items()])
-    return sets.withColumns(
-        {
-            name: F.array_intersect(F.col(source), F.array(*[F.lit(v) for v in values]))
-            for name, (source, values) in lists.items()
-        }
-    )
+    # Overlaps come from the rows, so they hold no more than the watched values however many items there are.
+    overlaps = [
+        sorted_set(F.when(F.col(items[source]).isin(values), F.col(items[source]))).alias(name)
+        for name, (source, values) in lists.items()
+    ]
+    return df.groupBy(entity).agg(*[sorted_set(column).alias(name) for name, column in items.items()], *overlaps)
 
 
 def note_features(text: Column, terms: str, values: dict[str, str], classes: list[tuple[str, str]], short: str) -> dict:

@@ -1,7 +1,7 @@
 """Ordered window functions that stay distributed when one group holds much of the data.
 
 A plain window puts each group into one task. `ordered_window` looks at the largest group first.
-Up to `wardflow.maxGroupRows` rows (without keys: KEYLESS_ROWS) the plain window is planned. Beyond it the rows are range
+Up to `wardflow.maxGroupRows` rows (with few groups: FEW_GROUPS_ROWS) the plain window is planned. Beyond it the rows are range
 partitioned by (partition, order) into shards of equal size, written to the shared folder, and
 each function is computed per shard and completed with what the earlier (or later) shards of the
 same group hand over. Fewer than two hand-over rows per shard exist for groups that span shards,
@@ -17,7 +17,7 @@ from functools import reduce
 from math import ceil
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,8 +26,8 @@ from wardflow.session import max_broadcast_rows, max_group_rows, settle
 
 # Keeps the number of shuffle blocks and of hand-over rows bounded however large the input is.
 MAX_SHARDS = 20_000
-# Without keys all rows would meet in one task; up to so many it sorts them in about a second.
-KEYLESS_ROWS = 200_000
+# Fewer groups than tasks leave tasks idle, without keys all but one; so many rows one task sorts in about a second.
+FEW_GROUPS_ROWS = 200_000
 
 
 @dataclass(frozen=True)
@@ -133,11 +133,17 @@ def ordered_window(
 ) -> DataFrame:
     """`df` with one column per entry of `calcs`."""
     sizes = sizes or group_sizes(df, partition)
-    limit = max_group_rows(df.sparkSession)
-    if sizes.largest <= (limit if partition else min(limit, KEYLESS_ROWS)):
+    limit = _task_rows(df.sparkSession, sizes)
+    if sizes.largest <= limit:
         return _plain(df, partition, order, calcs)
-    wanted = ceil(2 * sizes.rows / (limit if partition else min(limit, KEYLESS_ROWS)))
-    return _sharded(df, partition, order, calcs, min(wanted, MAX_SHARDS))
+    return _sharded(df, partition, order, calcs, min(ceil(2 * sizes.rows / limit), MAX_SHARDS))
+
+
+def _task_rows(spark: SparkSession, sizes: Sizes) -> int:
+    """Rows of the largest group up to which its task takes no longer than the others."""
+    limit = max_group_rows(spark)
+    few = sizes.groups < int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return min(limit, FEW_GROUPS_ROWS) if few else limit
 
 
 _AGGREGATES = {"sum": F.sum, "count": F.count, "avg": F.avg, "min": F.min, "max": F.max}
@@ -372,8 +378,7 @@ def peer_ranks(
     per distinct sort value, those few rows are ranked, and the ranks are joined back.
     """
     sizes = sizes or group_sizes(df, partition)
-    limit = max_group_rows(df.sparkSession)
-    if sizes.largest <= (limit if partition else min(limit, KEYLESS_ROWS)):
+    if sizes.largest <= _task_rows(df.sparkSession, sizes):
         w = Window.partitionBy(*partition).orderBy(*[by.column for by in order])
         return df.withColumns({name: getattr(F, kind)().over(w) for name, kind in kinds.items()})
     keys = [*partition, *[by.name for by in order]]

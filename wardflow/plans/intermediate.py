@@ -52,6 +52,7 @@ from wardflow.operators.timeseries import (
     trend_states,
 )
 from wardflow.params import Params
+from wardflow.plans.staging import procedure_lines
 from wardflow.session import settle
 
 # Watch lists and daily rates the models are defined by.
@@ -270,9 +271,10 @@ def int_drug_interactions(stg_medications: DataFrame, params: Params) -> DataFra
 
 
 def int_encounter_summary(
-    stg_encounters: DataFrame, stg_procedures: DataFrame, stg_claims: DataFrame, params: Params
+    stg_encounters: DataFrame, raw_encounters: DataFrame, stg_claims: DataFrame, params: Params
 ) -> DataFrame:
-    procedures = stg_procedures.groupBy("encounter_id").agg(
+    # Procedures without their share of the encounter, which nothing here reads.
+    procedures = procedure_lines(raw_encounters).groupBy("encounter_id").agg(
         F.count(F.lit(1)).alias("p_count"),
         F.sum("charge_amount").alias("p_charges"),
         joined_set("procedure_category", ", ").alias("procedure_categories"),

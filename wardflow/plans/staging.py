@@ -489,7 +489,8 @@ def stg_encounters(raw_encounters: DataFrame, params: Params) -> DataFrame:
     )
 
 
-def stg_procedures(raw_encounters: DataFrame, params: Params) -> DataFrame:
+def procedure_lines(raw_encounters: DataFrame) -> DataFrame:
+    """The procedures of all encounters, without the totals that stand beside them in `stg_procedures`."""
     doc = parse(
         raw_encounters,
         "encounter_id string, patient_id string, charges struct<total:string>, procedures array<struct<code:string,"
@@ -517,6 +518,11 @@ def stg_procedures(raw_encounters: DataFrame, params: Params) -> DataFrame:
         _num("charges.total").alias("encounter_total_charges"),
         "_ingested_at",
     )
+    return rows
+
+
+def stg_procedures(raw_encounters: DataFrame, params: Params) -> DataFrame:
+    rows = procedure_lines(raw_encounters)
     # Totals are joined to the narrow rows, not to the documents.
     summed = group_totals(rows, ["encounter_id"], __sum=F.sum("charge_amount"))
     columns = [c for c in rows.columns if c != "_ingested_at"]
