@@ -103,8 +103,7 @@ def grouping_sets(
     out = finest.groupingSets(levels, *columns).agg(*final, *flags, level)
     if not percentiles:
         return out
-    counts = settle(_value_counts(df, columns, percentiles))
-    counts = counts.groupingSets([[*s, "__c", "__v"] for s in levels], *columns, "__c", "__v").agg(
+    counts = _value_counts(df, columns, percentiles).groupingSets([[*s, "__c", "__v"] for s in levels], *columns, "__c", "__v").agg(
         F.sum("__n").alias("__n"), F.grouping_id(*columns, "__c", "__v").alias("__id")
     )
     counts = settle(counts.withColumn("level", F.shiftright("__id", 2)).drop("__id"))

@@ -121,6 +121,8 @@ class KeyedTable:
     ):
         self.spark, self.path, self.buckets, self.ignore = spark, path.rstrip("/"), buckets, ignore
         self.keys = [key] if isinstance(key, str) else list(key)
+        # The manifest read last, by its version; a manifest never changes.
+        self._known: tuple[int, dict] | None = None
 
     def versions(self) -> list[int]:
         """Committed versions, oldest first."""
@@ -137,10 +139,13 @@ class KeyedTable:
         versions = self.versions()
         if not versions:
             return None
+        if self._known and self._known[0] == versions[-1]:
+            return self._known[1]
         row = self.spark.read.schema("manifest string").parquet(f"{self.path}/manifests/{versions[-1]:06d}").first()
         held = json.loads(row["manifest"])
         held["holds"] = {int(b): v for b, v in held["holds"].items()}
         self.buckets = held["buckets"]
+        self._known = versions[-1], held
         return held
 
     def _scan(self, manifest: dict, buckets: list[int] | None = None) -> DataFrame:
@@ -203,7 +208,8 @@ class KeyedTable:
         after = self._groups(new, "after")
         both = before.join(after, same_keys(before, after, self.keys), "full_outer").filter(~F.col("before").eqNullSafe(F.col("after")))
         changed = settle(both.select(*[F.coalesce(before[k], after[k]).alias(k) for k in self.keys]))
-        buckets = self._buckets_of(changed)
+        sizes = {r["b"]: r["n"] for r in changed.groupBy(self._bucket().alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()}
+        buckets = sorted(sizes)
         if not buckets and [f.name for f in new.schema] == [f["name"] for f in manifest["schema"]["fields"]]:
             if mark != manifest["watermark"]:
                 self._write_manifest(self.versions()[-1] + 1, manifest | {"watermark": mark})
@@ -213,7 +219,7 @@ class KeyedTable:
         rows = kept.unionByName(new.join(changed, same_keys(new, changed, self.keys), "left_semi"), allowMissingColumns=True)
         holds = {b: v for b, v in manifest["holds"].items() if b not in buckets}
         self._commit(rows, self.versions()[-1] + 1, holds, mark, rows.schema)
-        return changed.count()
+        return sum(sizes.values())
 
     def _commit(self, rows: DataFrame, version: int, holds: dict[int, int], watermark: str | None, schema: StructType) -> None:
         # Files by bucket, large buckets cut into several: that is for the adaptive plan to balance.
