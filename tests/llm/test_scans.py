@@ -200,12 +200,13 @@ def overlap_brute_force(docs, items, window=12, differ=2):
                         covered.update(range(j, j + width))
                         n += 1
             if n:
-                out[doc_id, item_id] = (len(covered), len(b), n, len(covered) >= spaced_seeds.MIN_OVERLAP)
+                least = min(spaced_seeds.MIN_OVERLAP, len(b)) if short_items else spaced_seeds.MIN_OVERLAP
+                out[doc_id, item_id] = (len(covered), len(b), n, len(covered) >= least)
     return out
 
 
-@pytest.mark.parametrize("block", [1 << 20, 300])
-def test_overlaps_are_brute_force(spark, block):
+@pytest.mark.parametrize("block, short", [(1 << 20, False), (300, False), (1 << 20, True), (300, True)])
+def test_overlaps_are_brute_force(spark, block, short):
     rng = random.Random(8)
     words = [f"t{i}" for i in range(30)]
     items = [(k, " ".join(rng.choice(words) for _ in range(rng.choice([3, 7, 12, 20, 40])))) for k in range(12)] + [(50, None), (51, " .,")]
@@ -219,12 +220,12 @@ def test_overlaps_are_brute_force(spark, block):
             text[len(text) // 2 : len(text) // 2] = copy
         docs.append((k, ", ".join(text).upper()))
     benchmark = spark.createDataFrame(items, "item_id bigint, text string")
-    rows = spaced_seeds.overlaps(documents(spark, docs), benchmark, block).collect()
+    rows = spaced_seeds.overlaps(documents(spark, docs), benchmark, block, short).collect()
     got = {(r["doc_id"], r["item_id"]): (r["covered"], r["n_tokens"], r["n_windows"], r["contaminated"]) for r in rows}
-    want = overlap_brute_force(docs, items)
+    want = overlap_brute_force(docs, items, short)
     assert got == want and want
     bad = {i for (i, _), v in want.items() if v[3]}
-    kept = spaced_seeds.keep_clean(documents(spark, docs, extra=("covered",)), benchmark, block)
+    kept = spaced_seeds.keep_clean(documents(spark, docs, extra=("covered",)), benchmark, block, short)
     assert {r["doc_id"] for r in kept.collect()} == {i for i, _ in docs} - bad
 
 
@@ -254,9 +255,9 @@ def test_short_and_unspaced_items_contaminate(spark):
     docs = [(1, "And so: why don't penguins fly? Nobody knows."), (2, "前の文です。二つの数の和を求めなさい。後の文です。"), (3, "Penguins fly, don't they? 二つの数")]
     benchmark = spark.createDataFrame(items, "item_id bigint, text string")
     frame = documents(spark, docs)
-    rows = spaced_seeds.overlaps(frame, benchmark, short_items=True).collect()
+    rows = spaced_seeds.overlaps(frame, benchmark).collect()
     assert {(r["doc_id"], r["item_id"]) for r in rows if r["contaminated"]} == {(1, 1), (2, 2)}
-    assert [r["doc_id"] for r in spaced_seeds.keep_clean(frame, benchmark, short_items=True).collect()] == [3]
+    assert [r["doc_id"] for r in spaced_seeds.keep_clean(frame, benchmark).collect()] == [3]
 
 
 def test_hosts_paths_and_fixed_rules(spark):

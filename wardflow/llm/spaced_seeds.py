@@ -192,13 +192,13 @@ def _blocks(benchmark: DataFrame, block_chars: int) -> Iterator[Index]:
 
 
 def overlaps(
-    docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS, short_items: bool = False
+    docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS, short_items: bool = True
 ) -> DataFrame:
     """doc_id, item_id, covered, n_tokens, n_windows and contaminated for each document and item that overlap.
 
     Two windows of WINDOW tokens overlap if at most SUBSTITUTIONS tokens differ. `covered` counts the
     item's tokens in such windows, `n_windows` the pairs of windows, `n_tokens` all tokens of the item.
-    A document is contaminated from MIN_OVERLAP covered tokens on; with `short_items` from all tokens of an
+    A document is contaminated from MIN_OVERLAP covered tokens on; with `short_items`, the default, from all tokens of an
     item on that has fewer.
     Whole texts are read; documents are never shuffled. NULL and empty texts overlap nothing. Repeated
     documents or items give a row each; an empty table on either side gives an empty result; further
@@ -235,7 +235,7 @@ def overlaps(
 
 
 def keep_clean(
-    docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS, short_items: bool = False
+    docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS, short_items: bool = True
 ) -> DataFrame:
     """The rows of `docs` that no benchmark item contaminates, as in `overlaps`, in place, with all their columns."""
     for index in _blocks(benchmark, block_chars):
