@@ -185,7 +185,7 @@ def test_published_license_headers(spark):
     assert got == want
 
 
-def overlap_brute_force(docs, items, window=12, differ=2):
+def overlap_brute_force(docs, items, short_items=True, window=12, differ=2):
     out = {}
     for doc_id, text in docs:
         a = spaced_seeds.tokens(text)
