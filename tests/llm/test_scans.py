@@ -300,3 +300,15 @@ def test_rules_below_the_share_are_mined(spark):
     labels = spark.createDataFrame([(k, q, 0) for k, (_, q, _) in enumerate(rows)], "doc_id bigint, quality int, toxic int")
     got = {r["page_id"]: r["verdict"] for r in url_rules.judge(pages, labels, URL_RULES).collect()}
     assert [got[k] for k in range(len(rows))] == ["block"] * 28 + ["allow"] * 4020
+
+
+def test_context_words_are_whole_however_far(spark):
+    """The words beside a candidate, with long words and long gaps between them."""
+    long = "w" * 500
+    texts = [f"{long} call\n\n{' ' * 300}+49 30 123456 {' ' * 200}{long} now", "alone@example.org", f"one {long}@example.org, two"]
+    frame = spark.createDataFrame([(t,) for t in texts], "text string")
+    found = [r["c"] for r in frame.select(pii_bootstrap.candidates(frame["text"]).alias("c")).collect()]
+    (first,), (second,), (third,) = found
+    assert (first["left1"], first["left2"], first["right1"]) == ("call", f"{long} call", long)
+    assert (second["left1"], second["left2"], second["right1"]) == ("", "", "")
+    assert (third["left1"], third["left2"], third["right1"]) == ("one", "one", "two")

@@ -29,8 +29,6 @@ _GAP = r"\x20\x09-\x0D"
 _WORD = rf"[^{_GAP}0-9@]*+[0-9@][^{_GAP}]*+"
 CANDIDATE = rf"(?<![^{_GAP}]){_WORD}(?:\x20{_WORD})*+"
 
-#: Characters on either side of a candidate in which its context words are sought.
-CONTEXT_CHARS = 100
 #: Distinct seeds a pattern needs, share of its occurrences that are identifiers, and the score for acceptance.
 MIN_SEEDS = 5
 MIN_PRECISION = 0.5
@@ -176,16 +174,17 @@ def candidates(text: Column) -> Column:
     def described(m: Column) -> Column:
         lead = F.length(F.regexp_extract(m["value"], r"^[^\p{L}\p{N}+(@]*+", 0))
         value = F.regexp_replace(F.substr(m["value"], lead + 1), r"[^\p{L}\p{N}]+$", "")
-        before = F.split(F.trim(F.regexp_replace(F.right(m["before"], F.lit(CONTEXT_CHARS)), f"[{_GAP}]+", " ")), " ")
-        after = F.split(F.trim(F.regexp_replace(F.left(m["after"], F.lit(CONTEXT_CHARS)), f"[{_GAP}]+", " ")), " ")
-        word = F.get(before, F.size(before) - 1)
+        # Whole words beside the candidate, however long or far off they are.
+        before, after = (F.trim(F.regexp_replace(m[side], f"[{_GAP}]+", " ")) for side in ("before", "after"))
+        two, word = F.substring_index(before, " ", -2), F.substring_index(before, " ", -1)
+        ahead = F.when(F.contains(two, F.lit(" ")), F.substring_index(two, " ", 1))
         return F.struct(
             value.alias("value"),
             (m["start"] + lead).alias("start"),
             (m["start"] + lead + F.length(value)).alias("end"),
             _plain(word).alias("left1"),
-            F.concat_ws(" ", _plain(F.get(before, F.size(before) - 2)), _plain(word)).alias("left2"),
-            _plain(F.get(after, F.lit(0))).alias("right1"),
+            F.concat_ws(" ", _plain(ahead), _plain(word)).alias("left2"),
+            _plain(F.substring_index(after, " ", 1)).alias("right1"),
         )
 
     return F.filter(F.transform(found, described), lambda c: F.length(c["value"]) > 0)
