@@ -9,7 +9,7 @@ import tiktoken
 
 import corpus_pipeline
 from tests.llm.helpers import awkward, documents
-from tests.llm.test_quality_and_lines import line_brute_force, measures
+from tests.llm.test_quality_and_lines import line_brute_force, measures, slow_quality
 from tests.llm.test_scans import overlap_brute_force
 from tests.llm.test_simhash import slow_print
 from wardflow.llm import bpe_transducer, weak_quality
@@ -32,14 +32,12 @@ def pattern(text):
 
 
 def brute_force(rows, items):
-    counts = {}
-    for _, text in rows:
-        counts[pattern(text)] = counts.get(pattern(text), 0) + 1
-    share, accuracy = weak_quality.fit(counts)
+    votes = [pattern(text) for _, text in rows]
+    quality = dict(zip(votes, slow_quality(votes), strict=True))
 
     def good(text):
         n, repeats = measures(text)[0], measures(text)[4]
-        return n >= 10 and 100 * repeats <= 20 * n and weak_quality.posterior(pattern(text), share, accuracy) >= 0.5
+        return n >= 10 and 100 * repeats <= 20 * n and quality[pattern(text)] >= 0.5
 
     rows = [(i, t) for i, t in rows if good(t)]
     cut = {k[0]: v for k, v in line_brute_force(rows).items()}

@@ -1,5 +1,6 @@
 """Weakly supervised quality rules and line dedup against brute force."""
 
+import random
 import re
 from collections import Counter
 
@@ -57,6 +58,48 @@ def test_fit_finds_the_better_rule():
     assert weak_quality.fit({})[1] == []
 
 
+def slow_quality(votes):
+    """Probability of being good for each text of `votes`, texts one by one: what is assumed counts as 0.25 of all and 5."""
+    rules = len(votes[0])
+    cast = [sum(v[r] != weak_quality.ABSTAIN for v in votes) for r in range(rules)]
+    share, accuracy = 0.8, [0.8] * rules
+
+    def chance(vote):
+        good, bad = share, 1 - share
+        for r, said in enumerate(vote):
+            if said == weak_quality.GOOD:
+                good, bad = good * accuracy[r], bad * (1 - accuracy[r])
+            elif said == weak_quality.BAD:
+                good, bad = good * (1 - accuracy[r]), bad * accuracy[r]
+        return good / (good + bad)
+
+    for _ in range(60):
+        p = [chance(v) for v in votes]
+        before = 0.25 * len(votes) + 5
+        new = []
+        for r in range(rules):
+            right = sum(x if v[r] == weak_quality.GOOD else 1 - x for x, v in zip(p, votes, strict=True) if v[r] != weak_quality.ABSTAIN)
+            held = 0.25 * cast[r] + 5
+            new.append(min(0.99, max(0.55, (right + 0.8 * held) / (cast[r] + held))))
+        share, accuracy = min(0.9, max(0.1, (sum(p) + 0.8 * before) / (len(votes) + before))), new
+    return [chance(v) for v in votes]
+
+
+def test_expectation_maximisation_is_brute_force():
+    rng = random.Random(9)
+    votes = []
+    for _ in range(400):
+        truth = rng.random() < 0.7
+        votes.append(tuple(
+            weak_quality.ABSTAIN if rng.random() < 0.4
+            else weak_quality.GOOD if (rng.random() < right) == truth else weak_quality.BAD
+            for right in (0.95, 0.9, 0.8, 0.6, 0.55)
+        ))
+    share, accuracy = weak_quality.fit(Counter(votes))
+    want = slow_quality(votes)
+    assert max(abs(weak_quality.posterior(v, share, accuracy) - w) for v, w in zip(votes, want, strict=True)) < 1e-9
+
+
 def test_quality_of_awkward_rows(spark):
     docs = awkward(spark, extra=("kept", "n_words"))
     rows = weak_quality.score(docs).collect()

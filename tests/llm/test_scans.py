@@ -2,6 +2,8 @@
 
 import random
 import re
+from collections import Counter
+from itertools import combinations
 
 import pytest
 from pyspark.sql import functions as F
@@ -302,6 +304,198 @@ def test_rules_below_the_share_are_mined(spark):
     assert [got[k] for k in range(len(rows))] == ["block"] * 28 + ["allow"] * 4020
 
 
+def slow_url_verdicts(labelled, urls):
+    """Verdict for each token set of `urls`: all combinations of the tokens of `labelled` (tokens, bad) are counted."""
+    rows, n_bad = len(labelled), sum(bad for _, bad in labelled)
+    count = {0: Counter(), 1: Counter()}
+    for have, bad in labelled:
+        for size in range(1, len(have) + 1):
+            count[bad].update(combinations(sorted(have), size))
+    rules = []
+    for tokens in set(count[0]) | set(count[1]):
+        good, n = count[0][tokens], count[0][tokens] + count[1][tokens]
+        least = {0: max(5, 0.01 * (rows - n_bad)), 1: max(5, 0.01 * n_bad)}
+        if len(tokens) > 2 and all(count[c][tokens] < least[c] for c in (0, 1)):
+            continue
+        for verdict, hits, share in (("block", n - good, n_bad / rows), ("allow", good, 1 - n_bad / rows)):
+            far = hits - n * share >= 3 * (n * share * (1 - share)) ** 0.5
+            if hits >= 5 and hits / n >= 0.6 and hits / n >= 1.1 * share and (hits >= 0.01 * rows or far):
+                rules.append((hits / n, hits, verdict, set(tokens)))
+    rules.sort(key=lambda r: r[:3], reverse=True)
+    return [next((r[2] for r in rules if r[3] <= have), "allow") for have in urls]
+
+
+@pytest.mark.parametrize("broadcast", [100_000, 3])
+def test_mined_verdicts_are_brute_force(spark, broadcast, monkeypatch):
+    monkeypatch.setattr(url_rules, "BROADCAST_RULES", broadcast)
+    rng = random.Random(12)
+    rows = []
+    for k in range(900):
+        host, folder, last = rng.choice("abcdef"), rng.choice(["shop", "news", "wiki"]), rng.choice(["x", "y", "z"])
+        chance = 0.95 if (host, folder) in {("a", "shop"), ("b", "news")} or (folder, last) == ("wiki", "z") else 0.15
+        rows.append((k, host, folder, last, rng.random() < chance))
+    pages = spark.createDataFrame(
+        [(k, f"http://{h}.site.org/{f}/{e}/{k}{'?s=1&t=2' if e == 'y' else ''}") for k, h, f, e, _ in rows], "page_id bigint, url string"
+    )
+    labels = spark.createDataFrame([(k, 0 if bad else 1, 0) for k, *_, bad in rows if k < 600], "doc_id bigint, quality int, toxic int")
+    tokens = [
+        frozenset({"scheme", f"h={h}", "site", "org", f"p={f}", f"p={e}", "0"} | ({"s", "t"} if e == "y" else set()))
+        for _, h, f, e, _ in rows
+    ]
+    want = slow_url_verdicts([(t, r[-1]) for t, r in zip(tokens[:600], rows[:600], strict=True)], tokens)
+    got = {r["page_id"]: r["verdict"] for r in url_rules.judge(pages, labels, URL_RULES).collect()}
+    assert [got[k] for k in range(900)] == want
+    # On pages that carry no label the mined rules decide: by default all would be allowed.
+    held_out = [(got[k], rows[k][-1]) for k in range(600, 900)]
+    blocked = [bad for verdict, bad in held_out if verdict == "block"]
+    assert len(blocked) > 50 and sum(blocked) >= 0.85 * len(blocked)
+    assert sum(blocked) >= 0.6 * sum(bad for _, bad in held_out)
+
+
+def test_urls_of_many_parts(spark):
+    """Parts that always stand together make one item: 400 of them add no combinations."""
+    query = "&".join(f"k{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(400))
+    rows = [(k, f"http://h.site.org/p/{k}" + (f"?{query}" if k % 4 == 0 else "")) for k in range(200)]
+    pages = spark.createDataFrame(rows + [(900, "http://h.site.org/q/z?kbb"), (901, "http://h.site.org/q/z")], "page_id bigint, url string")
+    labels = spark.createDataFrame([(k, int(k % 4 > 0), 0) for k in range(100)], "doc_id bigint, quality int, toxic int")
+    (rule,) = [r for r in url_rules.mine(url_rules.label_transactions(pages, labels)).collect() if r["verdict"] == "block"]
+    assert len(rule["tokens"]) == 1 and len(rule["members"][0]) == 400
+    got = {r["page_id"]: r["verdict"] for r in url_rules.judge(pages, labels, URL_RULES).collect()}
+    assert [got[k] for k in range(200)] == ["block" if k % 4 == 0 else "allow" for k in range(200)]
+    assert (got[900], got[901]) == ("block", "allow")
+
+
+def slow_candidates(text):
+    """(value, start, end, contexts) of runs of words with digits or an at sign, one blank apart."""
+    words = [(m[0], m.start(), m.end()) for m in re.finditer(r"[^\x20\x09-\x0D]+", text)]
+    runs, gaps, gap = [], [], []
+    for k, (word, start, end) in enumerate(words):
+        if not re.search("[0-9@]", word):
+            gap.append(word)
+        elif runs and not gap and text[words[k - 1][2] : start] == " ":
+            runs[-1] = (runs[-1][0], end)
+        else:
+            gaps.append(gap)
+            runs.append((start, end))
+            gap = []
+    gaps.append(gap)
+    out = []
+    for k, (start, end) in enumerate(runs):
+        value = text[start:end]
+        if len(re.sub("[^0-9]", "", value)) < 5 and "@" not in value:
+            continue
+        while value and not (value[0].isalnum() or value[0] in "+(@"):
+            value, start = value[1:], start + 1
+        while value and not value[-1].isalnum():
+            value = value[:-1]
+        before, after = [slow_plain(w) for w in gaps[k][-2:]], [slow_plain(w) for w in gaps[k + 1][:1]]
+        contexts = {f"L1 {before[-1]}", f"L2 {' '.join(before)}"} if before else set()
+        if value:
+            out.append((value, start, start + len(value), contexts | {f"R1 {w}" for w in after}))
+    return out
+
+
+def slow_plain(word):
+    return "".join(c for c in word.lower() if c.isalnum()) or word
+
+
+def slow_kind(value):
+    return next((k for k in BASE if any(valid(k, m[0]) for m in re.finditer(BASE[k], value))), None)
+
+
+def slow_shaped(kind, value):
+    n = len(re.sub("[^0-9]", "", value))
+    return {
+        "email": bool(re.fullmatch(r"[^ @]+@[^ @]+", value)),
+        "ip": bool(re.fullmatch(r"[0-9]+([.:][0-9]+){3,7}", value)),
+        "card": 12 <= n <= 19 and bool(re.fullmatch(r"[0-9][0-9 -]*", value)),
+        "phone": 7 <= n <= 15 and bool(re.fullmatch(r"[0-9+(][0-9 ().+-]*", value)),
+    }[kind]
+
+
+def slow_discoveries(texts):
+    """Spans beyond the base for each text, by plain dictionaries."""
+    found = [slow_candidates(t) for t in texts]
+    everywhere, standing, edges = Counter(), Counter(), set()
+    for text in texts:
+        plain = [slow_plain(w) for w in text.split()]
+        for k, word in enumerate(plain):
+            everywhere.update([f"L1 {word}", f"R1 {word}", f"L2 {' '.join(plain[max(0, k - 1) : k + 1])}"])
+    for value, _, _, contexts in (c for row in found for c in row):
+        standing.update(contexts)
+        edges.update((p, value) for p in contexts)
+    kind = {v: slow_kind(v) for _, v in edges}
+    seeds = Counter((p, kind[v]) for p, v in edges if kind[v])
+    named = {p for (p, _), n in seeds.items() if n >= 5 and standing[p] >= 0.5 * everywhere[p]}
+    values = {p: {v for q, v in edges if q == p} for p in named}
+    score = {(v, k): float(kind[v] == k) for p in named for v in values[p] for k in BASE}
+    for _ in range(3):
+        trust = {}
+        for p in named:
+            known = [v for v in values[p] if kind[v]]
+            for k in BASE if len(known) >= 5 else ():
+                mean = sum(score[v, k] for v in values[p]) / len(values[p])
+                share = sum(kind[v] == k for v in known) / len(known)
+                trust[p, k] = max(mean, share) * len(known) / (len(known) + 1)
+        for v, k in score:
+            if not kind[v]:
+                miss = 1.0
+                for p in named:
+                    if v in values[p] and (p, k) in trust:
+                        miss *= 1 - min(trust[p, k], 0.999)
+                score[v, k] = 1 - miss
+    best = {}
+    for (v, k), s in score.items():
+        if not kind[v] and s >= 0.9 and slow_shaped(k, v):
+            best[v] = max(best.get(v, (0, "")), (s, k))
+    return [sorted((best[v][1], a, b) for v, a, b, _ in row if v in best) for row in found]
+
+
+def test_discoveries_are_brute_force(spark):
+    rng = random.Random(15)
+    filler = ["the", "house", "of", "stones", "was", "built", "near", "rivers", "and", "fields"]
+
+    def digits(n):
+        return "".join(rng.choice("0123456789") for _ in range(n))
+
+    def card(ok):
+        while luhn(value := digits(16)) != ok:
+            pass
+        return value
+
+    makers = {
+        "pay by card number": lambda ok: card(ok),
+        "phone us at": lambda ok: f"+44 20 {digits(7)}" if ok else f"0{digits(9)}",
+        "write to address": lambda ok: f"{rng.choice(filler)}{digits(2)}@{'mail.example.org' if ok else 'intranet'}",
+        "hosted on server": lambda ok: ".".join(str(rng.randint(1, 250)) for _ in range(4)) if ok else f"{digits(2)}.999.3.{digits(2)}",
+    }
+    texts, planted, other = [], [], 0
+    for k in range(400):
+        words = [rng.choice(filler) for _ in range(rng.randint(3, 9))]
+        lead, make = rng.choice(list(makers.items()))
+        ok = rng.random() < 0.8
+        if k % 4 == 3:
+            # Numbers of no kind in running text, and lead words without an identifier.
+            texts.append(" ".join([*words, card(False), *words, lead.split()[0], "nothing", digits(6) + "."]))
+            other += 2
+            continue
+        value = make(ok)
+        start = len(" ".join([*words, lead])) + 1
+        texts.append(" ".join([*words, lead, value]) + ", " + " ".join(words))
+        if not ok:
+            planted.append((k, start, start + len(value)))
+    rows = {r["doc_id"]: r for r in pii_bootstrap.find(documents(spark, list(enumerate(texts)))).collect()}
+    more = slow_discoveries(texts)
+    order = list(BASE)
+    for k, text in enumerate(texts):
+        want = sorted({*base(text), *more[k]}, key=lambda s: (order.index(s[0]), *s[1:]))
+        assert spans(rows[k]["spans"]) == want
+    added = {(k, a, b) for k in rows for _, a, b in set(spans(rows[k]["spans"])) - set(base(texts[k]))}
+    hits = added & set(planted)
+    assert other == 200 and len(planted) > 40
+    assert len(hits) >= 0.9 * len(planted) and len(hits) >= 0.95 * len(added)
+
+
 def test_context_words_are_whole_however_far(spark):
     """The words beside a candidate, with long words and long gaps between them."""
     long = "w" * 500

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -9,8 +11,8 @@ from pyspark.sql import functions as F
 from wardflow.llm.common import join_by_key
 from wardflow.session import settle
 
-#: Share of labelled URLs that must show a combination of three or more tokens, labelled URLs that must show a rule, and
-#: what a rule must reach.
+#: Share of the URLs of a class that must show a combination of three or more tokens, labelled URLs that must show a rule,
+#: and what a rule must reach.
 SUPPORT = 0.01
 MIN_ROWS = 5
 CONFIDENCE = 0.6
@@ -19,6 +21,8 @@ LIFT = 1.1
 DEVIATIONS = 3
 #: Rules that may be broadcast; more are joined by shuffle.
 BROADCAST_RULES = 100_000
+#: URLs that a task is given.
+TASK_ROWS = 5_000
 #: Classes as items of a transaction.
 BLOCK, ALLOW = "class=block", "class=allow"
 
@@ -91,29 +95,121 @@ def label_transactions(pages: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
-def _counted(
-    transactions: DataFrame, rows: int, support: float, confidence: float, lift: float
-) -> DataFrame:
-    """Rules on one token or two, and on the combinations in a share of the blocked URLs, by counts over all URLs."""
-    plain = F.array_sort(F.array_except("items", F.array(F.lit(BLOCK), F.lit(ALLOW))))
-    classes = transactions.select(plain.alias("have"), F.array_contains("items", BLOCK).cast("bigint").alias("bad"))
-    n_bad = classes.agg(F.sum("bad")).first()[0]
+def _spread(df: DataFrame, rows: int, key: str) -> DataFrame:
+    """Rows dealt out by their number, as few bytes of URL are much work."""
+    return df.repartition(max(1, -(-rows // TASK_ROWS)), key)
+
+
+def _meet(exploded: DataFrame, index: DataFrame) -> DataFrame:
+    """`exploded` (token and more) with each `entry` that `index` (token, n, entry) lists under the token.
+
+    n is the number of rows of `exploded` with the token.
+    """
+    if index.limit(BROADCAST_RULES + 1).count() <= BROADCAST_RULES:
+        return exploded.join(F.broadcast(index.drop("n")), "token")
+    lists = settle(index.groupBy("token").agg(F.first("n").alias("n"), F.collect_list("entry").alias("entries")))
+    return join_by_key(exploded, lists, "token", "n").withColumn("entry", F.explode("entries")).drop("entries")
+
+
+def _itemised(transactions: DataFrame, rows: int) -> tuple[DataFrame, DataFrame]:
+    """Settled (row, bad, have) with items for tokens, and (item, members, n, n_bad) for each item.
+
+    Tokens that stand in the very same labelled URLs cannot be told apart and make one item, named after the
+    least of them: whatever their number, they add no combinations. Same URLs means the same counts and
+    the same sums of two hashes of the row. Tokens of fewer than MIN_ROWS URLs belong to no rule.
+    """
+    plain = F.array_except("items", F.array(F.lit(BLOCK), F.lit(ALLOW)))
+    bad = F.array_contains("items", BLOCK).cast("bigint")
+    held = settle(transactions.select(F.monotonically_increasing_id().alias("row"), plain.alias("have"), bad.alias("bad")))
+    exploded = held.select("row", "bad", F.explode("have").alias("token"))
+    sums = [F.sum(F.xxhash64("row", F.lit(k)).cast("decimal(20,0)")).alias(f"sum{k}") for k in (1, 2)]
     counts = F.count(F.lit(1)).alias("n"), F.sum("bad").alias("n_bad")
-    exploded = classes.select("have", "bad", F.explode("have").alias("token"))
-    single = settle(exploded.groupBy("token").agg(*counts).filter(F.col("n") >= MIN_ROWS))
+    single = settle(exploded.groupBy("token").agg(*counts, *sums).filter(F.col("n") >= MIN_ROWS))
+    # All members stand in one URL, so that a list is no longer than its tokens.
+    members = F.sort_array(F.collect_list("token")).alias("members")
+    items = single.groupBy("n", "n_bad", "sum1", "sum2").agg(members)
+    items = settle(items.select(F.get("members", F.lit(0)).alias("item"), "members", "n", "n_bad"))
+    # One member stands for its item.
+    named = items.select(F.col("item").alias("token"), F.lit(True).alias("known"), "n")
+    kept = join_by_key(exploded, named, "token", "n").filter("known")
+    sets = kept.groupBy("row", "bad").agg(F.sort_array(F.collect_list("token")).alias("have"))
+    return settle(_spread(sets, rows, "row")), items
+
+
+def _longer(sets: DataFrame, items: DataFrame, support: float) -> DataFrame:
+    """(tokens, n, n_bad) of the item combinations that Spark's FP-growth finds in a class, three items or more.
+
+    Each class is mined by itself, in the share `support` of its own URLs but in MIN_ROWS at least; then the
+    combinations are counted in both, found under their rarest item.
+    """
+    found = []
+    for bad in (0, 1):
+        of_class = sets.filter(F.col("bad") == bad)
+        size = of_class.count()
+        if size >= MIN_ROWS:
+            # Half a row less, as Spark rounds the share of rows up.
+            share = min(1.0, max(support, (MIN_ROWS - 0.5) / size))
+            found.append(FPGrowth(itemsCol="have", minSupport=share).fit(of_class).freqItemsets)
+    if not found:
+        return sets.select(F.col("have").alias("tokens"), F.col("row").alias("n"), F.col("bad").alias("n_bad")).limit(0)
+    every = reduce(DataFrame.unionByName, found).filter(F.size("items") > 2)
+    every = settle(every.select(F.sort_array("items").alias("tokens")).distinct())
+    by_item = every.select("tokens", F.explode("tokens").alias("token")).join(
+        items.select(F.col("item").alias("token"), "n"), "token"
+    )
+    rarest = by_item.groupBy("tokens").agg(F.min(F.struct("n", "token")).alias("least"))
+    index = settle(rarest.select("least.token", "least.n", F.col("tokens").alias("entry")))
+    held = _meet(sets.select("have", "bad", F.explode("have").alias("token")), index)
+    held = held.filter(F.size(F.array_except("entry", "have")) == 0)
+    return held.groupBy(F.col("entry").alias("tokens")).agg(F.count(F.lit(1)).alias("n"), F.sum("bad").alias("n_bad"))
+
+
+def _unbeaten(rules: DataFrame) -> DataFrame:
+    """The rules that no rule on part of their items, with the same verdict, equals in confidence."""
+    exploded = settle(
+        rules.select(F.col("tokens").alias("whole"), "verdict", F.col("confidence").alias("reached"), F.explode("tokens").alias("token"))
+    )
+    counts = exploded.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    listed = rules.select("tokens", "verdict", "confidence", F.explode("tokens").alias("token")).join(counts, "token")
+    least = listed.groupBy("tokens", "verdict", "confidence").agg(F.min(F.struct("n", "token")).alias("least"))
+    entry = F.struct("tokens", F.col("verdict").alias("says"), "confidence").alias("entry")
+    met = _meet(exploded, settle(least.select("least.token", "least.n", entry)))
+    beaten = met.filter(
+        (F.col("entry.says") == F.col("verdict"))
+        & (F.size("entry.tokens") < F.size("whole"))
+        & (F.col("entry.confidence") >= F.col("reached"))
+        & (F.size(F.array_except("entry.tokens", "whole")) == 0)
+    )
+    beaten = beaten.select(F.col("whole").alias("tokens"), "verdict").distinct()
+    return rules.join(beaten, ["tokens", "verdict"], "left_anti")
+
+
+def mine(
+    transactions: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE, lift: float = LIFT
+) -> DataFrame:
+    """Settled rules: tokens (sorted), members, verdict, confidence, lift and support.
+
+    A URL meets a rule if it holds, for each of the tokens, that token or another of its `members`: those that
+    stood in the same labelled URLs. Rules need MIN_ROWS URLs. Those on one item or two are counted,
+    however large the table; longer combinations are found by Spark's FP-growth, in the share `support`
+    of the blocked or of the allowed URLs. Rules must reach the confidence and lift and, in less than the
+    share `support` of all URLs, stand DEVIATIONS off from what chance would give. No rule on part of the
+    same items with the same verdict may be as confident.
+    """
+    empty = (
+        "tokens array<string>, members array<array<string>>, verdict string, confidence double, lift double, support double"
+    )
+    rows, n_bad = transactions.agg(F.count(F.lit(1)), F.sum(F.array_contains("items", BLOCK).cast("bigint"))).first()
+    if rows < MIN_ROWS:
+        return transactions.sparkSession.createDataFrame([], empty)
+    sets, items = _itemised(transactions, rows)
     pairs = F.flatten(
         F.transform("have", lambda a, k: F.transform(F.slice("have", k + 2, F.size("have")), lambda b: F.array(a, b)))
     )
-    double = classes.select("bad", F.explode(pairs).alias("tokens")).groupBy("tokens").agg(*counts)
-    found = single.select(F.array("token").alias("tokens"), "n", "n_bad").unionByName(double)
-    if n_bad >= MIN_ROWS:
-        growth = FPGrowth(itemsCol="have", minSupport=min(1.0, max(support, MIN_ROWS / n_bad)))
-        sets = growth.fit(classes.filter("bad = 1")).freqItemsets.filter(F.size("items") > 2)
-        sets = sets.select(F.array_sort("items").alias("tokens"))
-        rarest = sets.select("tokens", F.explode("tokens").alias("token")).join(single.select("token", "n"), "token")
-        index = rarest.groupBy("tokens").agg(F.min_by("token", "n").alias("token"))
-        held = exploded.join(F.broadcast(index), "token").filter(F.size(F.array_except("tokens", "have")) == 0)
-        found = found.unionByName(held.groupBy("tokens").agg(*counts))
+    counts = F.count(F.lit(1)).alias("n"), F.sum("bad").alias("n_bad")
+    double = sets.select("bad", F.explode(pairs).alias("tokens")).groupBy("tokens").agg(*counts)
+    found = items.select(F.array("item").alias("tokens"), "n", "n_bad").unionByName(double)
+    found = found.unionByName(_longer(sets, items, support))
     good = F.col("n") - F.col("n_bad")
     sides = [("block", F.col("n_bad"), n_bad / rows), ("allow", good, 1 - n_bad / rows)]
     verdicts = F.array(
@@ -123,92 +219,54 @@ def _counted(
     rules = rules.select("tokens", "verdict", "n", "hits", "share", (F.col("hits") / F.col("n")).alias("confidence"))
     chance = F.sqrt(F.col("n") * F.col("share") * (1 - F.col("share")))
     beyond = F.col("hits") - F.col("n") * F.col("share") >= DEVIATIONS * chance
-    return rules.filter(
+    rules = rules.filter(
         (F.col("confidence") >= confidence)
         & (F.col("confidence") >= lift * F.col("share"))
         & ((F.col("hits") >= support * rows) | beyond)
-    ).select(
-        "tokens", "verdict", "confidence", (F.col("confidence") / F.col("share")).alias("lift"),
-        (F.col("hits") / rows).alias("support"),
-    )
-
-
-def mine(
-    transactions: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE, lift: float = LIFT
-) -> DataFrame:
-    """Settled rules: tokens (sorted), verdict, confidence, lift and support.
-
-    Rules need MIN_ROWS URLs. Those on one token or two are counted, however large the table; longer
-    combinations are found by Spark's FP-growth, in the share `support` of all URLs or of the blocked ones.
-    Rules must reach the confidence and lift and, in less than the share `support` of all URLs, stand
-    DEVIATIONS off from what chance would give. No rule on part of the same tokens with the
-    same verdict may be as confident.
-    """
-    empty = "tokens array<string>, verdict string, confidence double, lift double, support double"
-    rows = transactions.count()
-    if rows < MIN_ROWS:
-        return transactions.sparkSession.createDataFrame([], empty)
-    said = F.element_at("consequent", 1)
-    share = min(1.0, max(support, MIN_ROWS / rows))
-    model = FPGrowth(itemsCol="items", minSupport=share, minConfidence=confidence).fit(transactions)
-    longer = (
-        model.associationRules.filter(said.isin(BLOCK, ALLOW) & (F.col("lift") >= lift) & (F.size("antecedent") > 2))
-        .filter(~F.array_contains("antecedent", BLOCK) & ~F.array_contains("antecedent", ALLOW))
-        .select(
-            F.sort_array("antecedent").alias("tokens"),
-            F.when(said == BLOCK, "block").otherwise("allow").alias("verdict"),
-            "confidence",
-            "lift",
-            "support",
-        )
     )
-    counted = _counted(transactions, rows, support, confidence, lift)
-    rules = settle(counted.unionByName(longer).dropDuplicates(["tokens", "verdict"]))
-    # A combination has at most as many parts as a URL has tokens; only rules are compared, by shared part.
-    parts = F.aggregate(
-        "tokens",
-        F.array(F.array().cast("array<string>")),
-        lambda made, t: F.concat(made, F.transform(made, lambda p: F.array_append(p, t))),
+    rules = settle(
+        rules.select(
+            "tokens", "verdict", "confidence", (F.col("confidence") / F.col("share")).alias("lift"),
+            (F.col("hits") / rows).alias("support"),
+        )
+    )
+    kept = settle(_unbeaten(rules))
+    # Members stand in the order of the tokens.
+    by_item = kept.select("tokens", "verdict", F.explode("tokens").alias("item")).join(items.select("item", "members"), "item")
+    listed = by_item.groupBy("tokens", "verdict").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("item", "members"))), lambda x: x["members"]).alias("members")
     )
-    smaller = rules.select(
-        F.col("tokens").alias("whole"), "verdict", F.col("confidence").alias("reached"), F.explode(parts).alias("tokens")
-    ).filter(F.size("tokens") < F.size("whole"))
-    beaten = smaller.join(rules, ["tokens", "verdict"]).filter("confidence >= reached").select(
-        F.col("whole").alias("tokens"), "verdict"
+    return settle(
+        kept.join(listed, ["tokens", "verdict"]).select("tokens", "members", "verdict", "confidence", "lift", "support")
     )
-    return settle(rules.join(beaten.distinct(), ["tokens", "verdict"], "left_anti"))
 
 
 def match(urls: DataFrame, rules: DataFrame) -> DataFrame:
     """url and the verdict of its best rule, for each distinct url of `urls` that meets a rule.
 
-    Inverted index: each rule is found under its rarest token. Of several rules met the most confident
-    decides, then the better supported, then block before allow.
+    Inverted index: each rule is found under the members of its rarest item. Of several rules met the most
+    confident decides, then the better supported, then block before allow.
     """
     if rules.isEmpty():
         return urls.sparkSession.createDataFrame([], "url string, mined string, confidence double")
-    exploded = urls.select("url").distinct().withColumn("have", tokens_of(F.col("url"))).withColumn(
-        "token", F.explode("have")
-    )
-    exploded = settle(exploded)
-    # Support of a token among the URLs decides which list a rule stands in.
+    distinct = settle(urls.select("url").distinct())
+    spread = _spread(distinct, distinct.count(), "url").withColumn("have", tokens_of(F.col("url")))
+    exploded = settle(spread.withColumn("token", F.explode("have")))
+    # The URLs that hold a member of an item decide which list a rule stands in.
     counts = exploded.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-    listed = rules.withColumn("token", F.explode("tokens")).join(counts, "token")
-    rarest = listed.groupBy("tokens", "verdict", "confidence", "support").agg(
-        F.min(F.struct("n", "token")).alias("least"), F.count(F.lit(1)).alias("present")
+    rule = F.struct("tokens", "members", "verdict", "confidence", "support").alias("rule")
+    by_item = rules.select(rule, F.explode(F.arrays_zip("tokens", "members")).alias("item"))
+    listed = by_item.select("rule", "item.tokens", F.explode("item.members").alias("token")).join(counts, "token")
+    per_item = listed.groupBy("rule", "tokens").agg(
+        F.sum("n").alias("sum"), F.collect_list(F.struct("token", "n")).alias("held")
     )
-    index = settle(
-        rarest.filter(F.col("present") == F.size("tokens")).select(
-            F.col("least.token").alias("token"), F.col("least.n").alias("n"),
-            F.struct("tokens", "verdict", "confidence", "support").alias("rule"),
-        )
-    )
-    if index.limit(BROADCAST_RULES + 1).count() <= BROADCAST_RULES:
-        hits = exploded.join(F.broadcast(index), "token")
-    else:
-        lists = settle(index.groupBy("token").agg(F.first("n").alias("n"), F.collect_list("rule").alias("rules")))
-        hits = join_by_key(exploded, lists, "token", "n").withColumn("rule", F.explode("rules"))
-    met = hits.filter(F.size(F.array_except("rule.tokens", "have")) == 0)
+    rarest = per_item.groupBy("rule").agg(
+        F.min_by("held", F.struct("sum", "tokens")).alias("held"), F.count(F.lit(1)).alias("present")
+    )
+    rarest = rarest.filter(F.col("present") == F.size("rule.tokens"))
+    index = settle(rarest.select(F.inline("held"), F.col("rule").alias("entry")))
+    hits = _meet(exploded, index).withColumnRenamed("entry", "rule")
+    met = hits.filter(F.forall("rule.members", lambda m: F.arrays_overlap(m, "have")))
     rank = F.struct(F.col("rule.confidence"), F.col("rule.support"), F.col("rule.verdict"), F.col("rule.tokens"))
     best = met.groupBy("url").agg(F.max(rank).alias("best"))
     return best.select("url", F.col("best.verdict").alias("mined"), F.col("best.confidence").alias("confidence"))
