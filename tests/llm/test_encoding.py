@@ -89,6 +89,16 @@ def test_encoder_equals_tokenizers():
         assert np.frombuffer(own.ids(text), "<u2").tolist() == theirs.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_pieces_are_encoded_one_by_one():
+    definition = vocabulary("byte_bpe_50k.json").decode()
+    own, theirs = zstd_tokens.Encoder(definition), tokenizers.Tokenizer.from_str(definition)
+    assert own.by_piece and len(set(zstd_tokens.byte_characters().values())) == 256
+    own.pieces.size = 3
+    every = "".join(map(chr, [*range(0x20, 0x250), 0x2028, 0x3000, 0x1F600, 0xFFFD]))
+    for text in [*fuzz(1500, 10), every, "x" * 20_000, " " * 5000 + "end", "'s 't're's\u00a0\x1c\x85d"]:
+        assert np.frombuffer(own.ids(text), "<u2").tolist() == theirs.encode(text, add_special_tokens=False).ids, repr(text)
+
+
 def test_file_of_frames():
     file = zstd_tokens.FileWriter(2)
     documents_in = [(3, [1, 2, 3]), (None, []), (-7, list(range(5000)))]

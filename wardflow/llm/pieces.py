@@ -40,3 +40,33 @@ class PieceEncoder:
                     new.append(piece)
             self.young.update(zip(new, self.encode(new), strict=True))
         return b"".join(map(self.young.__getitem__, found))
+
+
+class _Memory(dict[str, bytes]):
+    """Encoded pieces. A missing one is taken from the generation before, or encoded."""
+
+    def __init__(self, encode: Callable[[str], bytes], before: dict[str, bytes]) -> None:
+        super().__init__()
+        self.encode, self.before = encode, before
+
+    def __missing__(self, piece: str) -> bytes:
+        found = self.before.get(piece)
+        if found is None:
+            found = self.encode(piece)
+        self[piece] = found
+        return found
+
+
+class SinglePieceEncoder:
+    """As `PieceEncoder`, for an `encode` that is quick for one piece: what is missing is encoded as it is met."""
+
+    def __init__(self, split: str, encode: Callable[[str], bytes], size: int = GENERATION) -> None:
+        self.split, self.encode, self.size = regex.compile(split), encode, size
+        self.young = _Memory(encode, {})
+
+    def ids(self, text: str) -> bytes:
+        """All ids of the text."""
+        if len(self.young) > self.size:
+            self.young.before = {}
+            self.young = _Memory(self.encode, self.young)
+        return b"".join(map(self.young.__getitem__, self.split.findall(text)))

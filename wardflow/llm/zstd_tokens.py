@@ -27,7 +27,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wardflow.llm.pieces import BYTE_LEVEL, PieceEncoder
+from wardflow.llm.pieces import BYTE_LEVEL, SinglePieceEncoder
 from wardflow.session import settle
 
 #: Numbers of the zstandard formats; fixed values.
@@ -41,12 +41,20 @@ LEVEL = 3
 FILE_BYTES = 16 << 20
 
 
+def byte_characters() -> dict[int, int]:
+    """The character that stands for each byte in byte-level BPE: itself if it is visible, else the next from 256 on."""
+    visible = {*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)}
+    hidden = [byte for byte in range(256) if byte not in visible]
+    return {byte: byte for byte in visible} | {byte: 256 + place for place, byte in enumerate(hidden)}
+
+
 class Encoder:
     """Ids of whole texts by the tokenizers library.
 
-    Byte-level BPE encodes each match of its split pattern by itself. For such tokenizers matches are
-    encoded once and remembered, which gives the library's ids in less time. Any other tokenizer, and
-    any text with the string of a special token, goes to the library whole.
+    Byte-level BPE encodes each match of its split pattern by itself. For such tokenizers matches go to the
+    library's BPE model once, spelled in the characters that stand for bytes, and are remembered, which gives
+    the library's ids in less time. Any other tokenizer, and any text with the string of a special token,
+    goes to the library whole.
     """
 
     def __init__(self, definition: str) -> None:
@@ -67,17 +75,24 @@ class Encoder:
             and not parts.get("padding")
         )
         self.special = [t["content"] for t in parts.get("added_tokens", [])]
-        self.pieces = PieceEncoder(BYTE_LEVEL, self._whole)
+        self.pieces = SinglePieceEncoder(BYTE_LEVEL, self._piece)
+        self.model, self.spelling = self.library.model, byte_characters()
         self.width = 2 if self.library.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
 
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        found = self.library.encode_batch_fast(texts, add_special_tokens=False)
-        return [struct.pack(f"<{len(e.ids)}{'HI'[self.width // 4]}", *e.ids) for e in found]
+    def _packed(self, ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}{'HI'[self.width // 4]}", *ids)
+
+    def _whole(self, text: str) -> bytes:
+        return self._packed(self.library.encode(text, add_special_tokens=False).ids)
+
+    def _piece(self, piece: str) -> bytes:
+        spelled = piece.encode("utf-8").decode("latin-1").translate(self.spelling)
+        return self._packed([token.id for token in self.model.tokenize(spelled)])
 
     def ids(self, text: str) -> bytes:
         """Packed ids of a text."""
         if not self.by_piece or any(s in text for s in self.special):
-            return self._whole([text])[0]
+            return self._whole(text)
         return self.pieces.ids(text)
 
 
