@@ -6,6 +6,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+import regex
 import tiktoken
 import tokenizers
 
@@ -89,6 +90,17 @@ def test_encoder_equals_tokenizers():
         assert np.frombuffer(own.ids(text), "<u2").tolist() == theirs.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_both_splits_are_the_pattern():
+    plain = regex.compile(pieces.BYTE_LEVEL)
+    for code in [*range(0x3000), *range(0xFB00, 0x10000), 0x1D7CE, 0x1F600, 0x20000]:
+        c = chr(code)
+        text = f"a{c}b {c} {c}1{c} {c}{c}'s\n{c}_{c}  {c}'re \t{c}"
+        assert pieces.split_byte_level(text) == plain.findall(text), hex(code)
+    assert pieces._OTHER.search("½ and so on") and not pieces._OTHER.search("“naïve” – d’où…")
+    for text in fuzz(3000, 12):
+        assert pieces.split_byte_level(text) == plain.findall(text)
+
+
 def test_pieces_are_encoded_one_by_one():
     definition = vocabulary("byte_bpe_50k.json").decode()
     own, theirs = zstd_tokens.Encoder(definition), tokenizers.Tokenizer.from_str(definition)

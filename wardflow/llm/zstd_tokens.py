@@ -27,7 +27,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wardflow.llm.pieces import BYTE_LEVEL, SinglePieceEncoder
+from wardflow.llm.pieces import SinglePieceEncoder, split_byte_level
 from wardflow.session import settle
 
 #: Numbers of the zstandard formats; fixed values.
@@ -75,7 +75,7 @@ class Encoder:
             and not parts.get("padding")
         )
         self.special = [t["content"] for t in parts.get("added_tokens", [])]
-        self.pieces = SinglePieceEncoder(BYTE_LEVEL, self._piece)
+        self.pieces = SinglePieceEncoder(split_byte_level, self._piece)
         self.model, self.spelling = self.library.model, byte_characters()
         self.width = 2 if self.library.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
 
