@@ -149,6 +149,54 @@ def test_neighbours_cross_ranges(spark):
     assert got == {**want, 300: None}
 
 
+def test_extraction_is_brute_force(spark):
+    """Made-up sites: pages know their own lines, so the expected text needs no reader of markup."""
+    rng = random.Random(21)
+    template = [f"Template line {k}" for k in range(30)]
+    pages = []
+    for host in ("a.example", "b.example", "c.example"):
+        for number in range(40):
+            # Template lines keep their order, so that the longest common subsequence is one only.
+            shared = sorted(rng.sample(range(30), rng.randint(0, 8)))
+            own = [f"Own {host} {number} {k}" for k in range(rng.randint(0, 6))]
+            lines = [(template[k], rng.choice(["p", "div"])) for k in shared]
+            marked = set()
+            if own and rng.random() < 0.5:
+                marked = set(rng.sample(own, rng.randint(1, len(own)))) | {template[k] for k in shared if rng.random() < 0.2}
+            for text in own:
+                lines.insert(rng.randint(0, len(lines)), (text, rng.choice(["p", "div"])))
+            if number % 9 == 8:
+                lines, marked = pages[-1][2], pages[-1][3]
+            pages.append((host, f"/x/{number:02d}", lines, marked))
+    html = []
+    for _, _, lines, marked in pages:
+        parts = ["<nav><p>Menu</p></nav>", "<script>var x = 1;</script>"]
+        for text, name in lines:
+            spread = text.replace(" ", rng.choice([" ", "\n  ", "&#32;", "\t"]))
+            block = f"<{name}>{spread}</{name}>"
+            parts.append(f"<article>{block}</article>" if text in marked else block)
+        html.append(page("".join([*parts, "<footer>Foot</footer>"])))
+
+    want = {}
+    for k, (host, path, lines, marked) in enumerate(pages):
+        near = sorted((p, n) for n, (h, p, *_) in enumerate(pages) if h == host)
+        here = near.index((path, k))
+        other = [t for t, _ in pages[near[here + 1 if here + 1 < len(near) else here - 1][1]][2]]
+        shared = {t for t, _ in lines} & set(other)
+        kept = {t for t, _ in lines if t in marked}
+        if not kept:
+            running = [t for t, name in lines if name == "p"] or [t for t, _ in lines]
+            if 2 * len(shared & set(running)) > len(running):
+                kept = set(running)
+        want[k] = "\n\n".join(t for t, _ in lines if t not in shared or t in kept)
+    rows = [(k, f"http://{h}{p}", html[k]) for k, (h, p, *_) in enumerate(pages)]
+    frame = spark.createDataFrame(rows, PAGES)
+    got = {r["page_id"]: (r["text"], r["n_chars"]) for r in html_difference.extract(frame.repartition(6)).collect()}
+    assert got == {k: (t, len(t)) for k, t in want.items()}
+    dropped = sum(len(lines) for _, _, lines, _ in pages) - sum(len(t.split("\n\n")) for t in want.values() if t)
+    assert dropped > 50 and any("Template" in t for t in want.values())
+
+
 def test_awkward_pages(spark):
     body = page("<article><p>" + "long " * 50_000 + "</p></article>")
     rows = [(1, None, "<p>x"), (1, None, "<p>x"), (2, "http://h/", None), (3, "no scheme", ""), (None, "http://h/a", body), (4, "http://h/b", "<" * 50_000)]
