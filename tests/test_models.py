@@ -2,6 +2,7 @@
 
 import json
 from datetime import date, datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from wardflow.params import Params
 from wardflow.plans import intermediate, marts, staging
 from wardflow.plans.catalog import MODELS, build, inputs_of, publish
-from wardflow.session import fresh_path
+from wardflow.session import fresh_path, shared_dir
 from wardflow.sources.landing import FACILITY_SCHEMA, ICD10_SCHEMA, TABLES, read_seed
 from wardflow.sources.tables import KeyedTable
 
@@ -265,6 +266,22 @@ def test_publish_stores_layers_and_reads_them_back(spark, relations):
     assert spark.table("bronze_stg_vitals").count() == 3
 
 
+def test_publish_leaves_no_intermediate_relations(spark, relations, tight):
+    def settled():
+        return {p.name for p in Path(shared_dir(spark).removeprefix("file:")).glob("settled-*")}
+
+    root, rels = fresh_path(spark, "lake"), dict(relations)
+    for needed in inputs_of("int_payer_performance"):
+        publish(needed, spark, rels, PARAMS, root)
+    before = settled()
+    plain = model(spark, relations, "int_payer_performance")
+    assert settled() > before, "the model settles nothing, take another"
+    before = settled()
+    stored = publish("int_payer_performance", spark, {**rels}, PARAMS, root)
+    assert settled() == before
+    assert sorted(map(str, stored.collect())) == sorted(map(str, plain.collect()))
+
+
 def test_seeds(spark, tmp_path):
     (tmp_path / "icd.csv").write_text("icd10_code,description,category,drg_weight\nI10,Hypertension,Cardiology,0.75\n")
     assert tuple(read_seed(spark, str(tmp_path / "icd.csv"), ICD10_SCHEMA).first()) == ("I10", "Hypertension", "Cardiology", 0.75)

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wardflow.params import Params
 from wardflow.plans import advanced, intermediate, marts, staging
+from wardflow.session import settling
 from wardflow.sources import seeds
 from wardflow.sources.tables import LAYERS, publish_table, publish_view
 
@@ -64,10 +65,15 @@ def publish(name: str, spark: SparkSession, relations: dict[str, DataFrame], par
     for needed in inputs_of(name):
         if needed not in relations and needed not in SEEDS:
             publish(needed, spark, relations, params, root)
-    df = build(name, spark, relations, params)
     folder = MODELS[name][0]
     if folder == "staging":
-        publish_view(df, name, LAYERS[folder])
+        # A view stays lazy: what it reads has to stay.
+        publish_view(build(name, spark, relations, params), name, LAYERS[folder])
+    elif name in relations:
+        relations[name] = spark.read.parquet(publish_table(relations[name], root, LAYERS[folder], name))
     else:
-        relations[name] = spark.read.parquet(publish_table(df, root, LAYERS[folder], name))
+        # All inputs are published, so that nothing but the model itself is built here.
+        with settling(spark):
+            path = publish_table(build(name, spark, relations, params), root, LAYERS[folder], name)
+        relations[name] = spark.read.parquet(path)
     return relations[name]

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,6 +15,8 @@ GROUP_ROWS_DEFAULT = 2_000_000
 BROADCAST_ROWS_CONF = "wardflow.maxBroadcastRows"
 BROADCAST_ROWS_DEFAULT = 100_000
 
+_settled: ContextVar[list[str] | None] = ContextVar("settled", default=None)
+
 
 def max_group_rows(spark: SparkSession) -> int:
     """Rows one task may hold for one key before the key is split up."""
@@ -47,6 +52,29 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Removes a folder on any file system that Spark reaches; nothing happens if it is not there."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+@contextmanager
+def settling(spark: SparkSession) -> Iterator[None]:
+    """Removes at its end, after an error too, what `settle` wrote within it.
+
+    Results are to be written or collected before the end: a DataFrame that still reads a settled relation
+    fails afterwards. Within another such block, only what the inner one settled goes at its end.
+    """
+    paths: list[str] = []
+    outer = _settled.set(paths)
+    try:
+        yield
+    finally:
+        _settled.reset(outer)
+        for path in paths:
+            remove(spark, path)
+
+
 def settle(df: DataFrame) -> DataFrame:
     """The relation written to the shared folder and read back.
 
@@ -54,5 +82,8 @@ def settle(df: DataFrame) -> DataFrame:
     executors, and later reads take only the columns they need.
     """
     path = fresh_path(df.sparkSession, "settled")
+    paths = _settled.get()
+    if paths is not None:
+        paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -12,7 +12,7 @@ from pyspark.sql.types import StructType
 
 from wardflow.functions import surrogate_key, text_of
 from wardflow.operators.ordered import same_keys
-from wardflow.session import settle
+from wardflow.session import remove, settle
 
 LAYERS = {"staging": "bronze", "intermediate": "silver", "advanced": "silver", "marts": "gold", "seeds": "seeds"}
 
@@ -46,11 +46,6 @@ def _committed(spark: SparkSession, path: str) -> list[int]:
     return sorted(done)
 
 
-def _remove(spark: SparkSession, path: str) -> None:
-    fs, at = _files(spark, path)
-    fs.delete(at, True)
-
-
 class PublishedTable:
     """A table that is replaced as a whole: each load is written beside the others, then a mark names it.
 
@@ -88,8 +83,8 @@ class PublishedTable:
         writer.parquet(self._rows(load))
         self.spark.range(1).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/marks/{load:06d}")
         for old in loads[:-1]:
-            _remove(self.spark, f"{self.path}/marks/{old:06d}")
-            _remove(self.spark, self._rows(old))
+            remove(self.spark, f"{self.path}/marks/{old:06d}")
+            remove(self.spark, self._rows(old))
         return self._rows(load)
 
 
@@ -237,12 +232,12 @@ class KeyedTable:
         """Removes manifests but the newest, and rows that it does not need. No reader of older ones may be left."""
         versions, manifest = self.versions(), self._manifest()
         for version in versions[:-1]:
-            _remove(self.spark, f"{self.path}/manifests/{version:06d}")
+            remove(self.spark, f"{self.path}/manifests/{version:06d}")
             stale = [b for b in _folders(self.spark, self._rows(version)) if manifest["holds"].get(int(b.split("=")[1])) != version]
             for bucket in stale:
-                _remove(self.spark, f"{self._rows(version)}/{bucket}")
+                remove(self.spark, f"{self._rows(version)}/{bucket}")
             if version not in manifest["holds"].values():
-                _remove(self.spark, self._rows(version))
+                remove(self.spark, self._rows(version))
 
 
 class HistoryTable:
