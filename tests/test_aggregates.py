@@ -101,3 +101,21 @@ def test_long_lists_are_put_together_from_pieces(spark, readings):
     finally:
         spark.conf.unset("wardflow.maxGroupRows")
     assert above == below
+
+
+def test_members_of_lists_are_dealt_out_before_they_are_gathered(spark, readings):
+    """No map task sorts its whole input by key, and the columns of the order travel once."""
+    lists = A.ordered_list(readings, ["key"], ["v", "id"], None, "l")
+    plan = lists._jdf.queryExecution().executedPlan().toString()
+    # The plan is printed from the result down to the scan.
+    assert plan.rindex("partial_collect_list") < plan.index("hashpartitioning(key")
+    assert plan.count("Exchange") == 1
+    assert [f.name for f in lists.schema["l"].dataType.elementType] == ["v", "id"]
+    wide = A.ordered_list(readings, ["key"], ["v", "id"], F.struct("v", "id"), "l")
+    assert sorted(map(str, lists.collect())) == sorted(map(str, wide.collect()))
+    data = readings.toPandas()
+    hot = next(r.l for r in lists.collect() if r.key == "hot")
+    want = data[data.key == "hot"].sort_values(["v", "id"], na_position="last")
+    assert [r.id for r in hot] == list(want.id)
+    whole = A.ordered_list(readings.limit(9), [], ["id"], F.col("id"), "l").first().l
+    assert whole == sorted(whole) and len(whole) == 9

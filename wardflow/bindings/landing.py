@@ -124,7 +124,7 @@ LINE = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with all their line items as an ordered array; the data model bounds the lines of an order."""
     lines = table(spark, sf_dir, "lineitem")
-    items = ordered_list(lines, ["l_orderkey"], LINE, F.struct(*LINE), "l")
+    items = ordered_list(lines, ["l_orderkey"], LINE, None, "l")
     return (
         table(spark, sf_dir, "orders")
         .join(items, F.col("o_orderkey") == F.col("l_orderkey"), "left")
@@ -282,7 +282,7 @@ def landed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _WRITTEN:
         path = fresh_path(spark, name)
-        SOURCES[name](spark, sf_dir).write.parquet(path)
+        SOURCES[name](spark, sf_dir).write.option("compression", "zstd").parquet(path)
         _WRITTEN[key] = path
     if not name.startswith("raw_"):
         return spark.read.parquet(_WRITTEN[key])
@@ -294,7 +294,8 @@ def landed_variant(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir, f"{name} as variant")
     if key not in _WRITTEN:
         path = fresh_path(spark, f"{name}-variant")
-        write_variant(landed(spark, sf_dir, name), path)
+        # Not from the landing table as text: it would be written and read back for this alone.
+        write_variant(SOURCES[name](spark, sf_dir), path)
         _WRITTEN[key] = path
     return read_landing(spark, _WRITTEN[key])
 

@@ -146,22 +146,36 @@ PIECE_ROWS = 10_000
 
 
 def ordered_list(
-    df: DataFrame, keys: list[str], order: list[str], item: Column, name: str, sizes: Sizes | None = None
+    df: DataFrame, keys: list[str], order: list[str], item: Column | None, name: str, sizes: Sizes | None = None
 ) -> DataFrame:
     """One row per group with all its items, ordered, as `name`; NULLs in the order come last, ties go by item.
 
-    A group always has one row, so totals joined to it are never repeated. The list is one cell, whole,
-    whatever its length. Members of long lists are numbered by sharded windows and gathered in pieces;
-    one task then holds the pieces of one list, packed, and nothing else of it. Keep the member relation
-    itself where even that is too much.
+    Without `item`, the items are structs of the columns in `order`, which then travel once. A group always
+    has one row, so totals joined to it are never repeated. The list is one cell, whole, whatever its length.
+    Members of long lists are numbered by sharded windows and gathered in pieces; one task then holds the
+    pieces of one list, packed, and nothing else of it. Keep the member relation itself where even that is
+    too much.
     """
     sizes = sizes or group_sizes(df, keys)
     limit = min(LIST_ROWS, max_group_rows(df.sparkSession))
     if sizes.largest <= limit:
-        sort = [c for o in order for c in (F.col(o).isNull(), F.col(o))]
-        packed = df.select(*keys, F.struct(*[c.alias(f"s{i}") for i, c in enumerate(sort)], item.alias("item")).alias("__e"))
-        lists = packed.groupBy(*keys).agg(F.array_sort(F.collect_list("__e")).alias("__l"))
-        return lists.select(*keys, F.col("__l")["item"].alias(name))
+        carried = [F.col(o).alias(f"o{i}") for i, o in enumerate(order)]
+        packed = df.select(*keys, F.struct(*carried, *([] if item is None else [item.alias("item")])).alias("__e"))
+        # Lists are no smaller than their members: gathered before the shuffle, each map task would sort its
+        # whole input by key. Dealt out by key first, a task sorts one partition. NULL marks are added there.
+        dealt = packed.repartition(*[F.col(k) for k in keys]) if keys else packed
+        lists = dealt.groupBy(*keys).agg(F.collect_list("__e").alias("__l"))
+
+        def sortable(e: Column) -> Column:
+            values = [c for i in range(len(order)) for c in (e[f"o{i}"].isNull().alias(f"n{i}"), e[f"o{i}"].alias(f"o{i}"))]
+            return F.struct(*values, *([] if item is None else [e["item"].alias("item")]))
+
+        def shown(e: Column) -> Column:
+            return F.struct(*[e[f"o{i}"].alias(o) for i, o in enumerate(order)]) if item is None else e["item"]
+
+        ordered = F.array_sort(F.transform("__l", sortable))
+        return lists.select(*keys, F.transform(ordered, shown).alias(name))
+    item = F.struct(*order) if item is None else item
     members = df.select(*keys, *[F.col(o).alias(f"__o{i}") for i, o in enumerate(order)], item.alias("__item"))
     by = [*[asc(f"__o{i}") for i in range(len(order))], asc("__item", "first")]
     numbered = ordered_window(members, keys, by, Sizes(sizes.rows, sizes.groups, sizes.largest), __at=row_number())

@@ -85,5 +85,5 @@ def settle(df: DataFrame) -> DataFrame:
     paths = _settled.get()
     if paths is not None:
         paths.append(path)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

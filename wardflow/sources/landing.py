@@ -42,7 +42,7 @@ def write_variant(landing: DataFrame, path: str) -> DataFrame:
     own, so that `parse` reads the fields it asks for and no whole document. Malformed text fails.
     """
     stored = landing.withColumn("raw_data", F.parse_json("raw_data"))
-    stored.write.parquet(path)
+    stored.write.option("compression", "zstd").parquet(path)
     return read_landing(landing.sparkSession, path)
 
 
