@@ -1,5 +1,7 @@
 """The plain and the distributed way of every ordered operator give the same rows."""
 
+from datetime import timedelta
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -119,3 +121,26 @@ def test_checkpoint_folder_comes_from_the_session(spark, readings):
 
     assert shared_dir(spark) == spark.sparkContext.getConf().get("spark.checkpoint.dir")
     assert fresh_path(spark, "x").startswith(shared_dir(spark))
+
+
+def test_count_within_looks_at_each_row_twice_at_most(spark):
+    """Frames only grow; a sliding one costs rows times rows within a range where many lie close together."""
+    rows = spark.range(4000).selectExpr(
+        "id % 3 AS k", "id",
+        # Ties, times apart by a microsecond around the width, and rows without a time.
+        "if(id % 53 = 0, null, timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id * 7919 % 400 * 60 + id % 5 / 1000000BD)) AS ts",
+        "if(id % 11 = 0, null, id % 4 > 0) AS hit",
+    )
+    counted = count_within(rows, ["k"], "ts", 3600, F.col("hit"), "n")
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("specifiedwindowframe(") == plan.count("Frame, unboundedpreceding$()") > 0
+    data = [r.asDict() for r in rows.collect()]
+    width = timedelta(hours=1)
+
+    def near(a, b):
+        return a is None if b is None else a is not None and timedelta() <= b - a <= width
+
+    want = {
+        r["id"]: sum(bool(o["hit"]) and near(o["ts"], r["ts"]) for o in data if o["k"] == r["k"]) for r in data if r["id"] % 10 < 4
+    }
+    assert {r.id: r.n for r in counted.collect() if r.id in want} == want

@@ -120,16 +120,19 @@ def count_within(
 ) -> DataFrame:
     """Rows of the group that meet `condition` within `seconds` up to each row's time, ties included.
 
-    Large groups use running counts over distinct times: the count at a moment minus the count just
-    before the start of its range.
+    The count at a moment minus the count just before the start of its range: both only grow, so a row is
+    looked at twice however many rows lie within a range. Large groups use running counts over distinct times.
     """
     sizes = sizes or group_sizes(df, keys)
     if sizes.largest <= max_group_rows(df.sparkSession):
         by = ", ".join(f"`{k}`" for k in keys)
-        frame = f"RANGE BETWEEN INTERVAL '{seconds}' SECOND PRECEDING AND CURRENT ROW"
-        marked = df.withColumn("__hit", condition)
-        counted = f"count_if(__hit) OVER (PARTITION BY {by} ORDER BY `{ts}` ASC NULLS LAST {frame})"
-        return marked.withColumn(name, F.expr(counted)).drop("__hit")
+        marked = df.withColumn("__hit", F.coalesce(condition, F.lit(False)))
+        upto = f"count_if(__hit) OVER (PARTITION BY {by} ORDER BY `{ts}` ASC NULLS LAST RANGE BETWEEN UNBOUNDED PRECEDING AND "
+        # Times are in microseconds: the next one before the range.
+        counted = f"{upto} CURRENT ROW) - {upto} INTERVAL '{seconds}.000001' SECOND PRECEDING)"
+        # Rows without a time form a range of their own.
+        timeless = f"count_if(__hit AND `{ts}` IS NULL) OVER (PARTITION BY {by})"
+        return marked.withColumn(name, F.expr(f"if(`{ts}` IS NULL, {timeless}, {counted})")).drop("__hit")
     times = df.groupBy(*keys, ts).agg(F.count_if(condition).alias("__n"))
     width = F.make_dt_interval(secs=F.lit(seconds))
     ends = times.select(*keys, ts, F.col(ts).alias("__at"), F.lit(1).alias("__end"), "__n")
