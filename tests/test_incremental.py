@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from wardflow.operators.incremental import merge_aggregate, merge_upsert, scd2_from_log, scd2_snapshot
 from wardflow.operators.ordered import asc, desc
-from wardflow.session import fresh_path
+from wardflow.session import fresh_path, settle
 from wardflow.sources.tables import KeyedTable
 
 
@@ -100,3 +100,39 @@ def test_upsert_order_is_respected(spark, table):
     batch = frame(spark, [("a", 1, day(1)), ("a", 2, day(1))])
     merge_upsert(table, batch, "at", [asc("v")], lambda r: r)
     assert content(table) == [("a", 1)]
+
+
+def test_a_merge_lists_no_keys_and_joins_no_source_where_all_rows_are_new_or_looked_at_again(spark, monkeypatch):
+    """The relations written are the updates and the keys that changed; rows without a time stay as they were."""
+    from wardflow.operators import incremental
+    from wardflow.sources import tables
+
+    written = []
+
+    def noted(df):
+        written.append(df.columns)
+        return settle(df)
+
+    monkeypatch.setattr(incremental, "settle", noted)
+    monkeypatch.setattr(tables, "settle", noted)
+    table = KeyedTable(spark, fresh_path(spark, "t"), "k")
+    rows = frame(spark, [(f"k{i}", i % 5, day(1 + i % 20)) for i in range(60)] + [(None, 7, day(3))])
+
+    def build(source):
+        return source.groupBy("k").agg(F.sum("v").alias("v"), F.max("at").alias("at"))
+
+    def load(source):
+        # Keyed by other columns than the groups, so that vanished rows stay.
+        merge_aggregate(table, source, "at", ["k", "v"], build, 36_500)
+        return sorted(map(tuple, table.read().collect()), key=repr)
+
+    want = lambda source: sorted(map(tuple, build(source).collect()), key=repr)
+    assert load(rows.filter("k is null or v < 3")) == want(rows.filter("k is null or v < 3"))
+    written.clear()
+    assert load(rows) == want(rows)
+    assert [c for c in written if "at" not in c] == [["k"]]
+    written.clear()
+    # A row without a time is not looked at by itself: the groups of the others are told apart again.
+    timeless = rows.unionByName(frame(spark, [("k1", 100, None), ("z", 1, None)]))
+    assert load(timeless) == want(rows)
+    assert ["k", "v"] in written

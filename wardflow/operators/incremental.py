@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from wardflow.functions import surrogate_key, text_of
 from wardflow.operators.ordered import By, asc, lead, ordered_window, same_keys
-from wardflow.operators.relational import arrived_since, latest_by
+from wardflow.operators.relational import arrived_since, latest_by, since
 from wardflow.session import settle
 from wardflow.sources.tables import KeyedTable
 
@@ -55,15 +55,21 @@ def merge_aggregate(
     """
     old = table.watermark()
     fresh = arrived_since(source, watermark, old, late)
-    mark = high_mark(fresh, watermark)
+    looked_at = since(source, watermark, old, late)
+    mark, every = source.agg(
+        F.max(F.when(looked_at, F.col(watermark))).cast("string"),
+        F.coalesce(F.min(F.coalesce(looked_at, F.lit(False))), F.lit(False)),
+    ).first()
     if mark is None and table.exists():
         return table.read()
     if old is None:
         table.merge(build(source), mark)
         return table.read()
-    touched = settle(fresh.select(*groups).distinct())
-    affected = source.join(touched, same_keys(source, touched, groups), "left_semi")
-    table.merge(build(affected), mark, touched if set(groups) == set(table.keys) else None)
+    keyed = set(groups) == set(table.keys)
+    # Where no row lies before what is looked at, all rows are those of touched groups.
+    touched = settle(fresh.select(*groups).distinct()) if keyed or not every else None
+    affected = source if every else source.join(touched, same_keys(source, touched, groups), "left_semi")
+    table.merge(build(affected), mark, touched if keyed else None)
     return table.read()
 
 

@@ -70,12 +70,17 @@ def arrived_since(df: DataFrame, column: str, watermark, late: int = 0) -> DataF
 
     Rows at the mark may have come after it was taken; what may come later still is for `late` to say.
     """
+    return df if watermark is None else df.filter(since(df, column, watermark, late))
+
+
+def since(df: DataFrame, column: str, watermark, late: int = 0) -> Column:
+    """The condition of `arrived_since`; without a mark it holds for every row."""
     if watermark is None:
-        return df
+        return F.lit(True)
     kind = df.schema[column].dataType
     mark = F.lit(str(watermark)).cast(kind)
     if kind.typeName() in ("date", "timestamp", "timestamp_ntz"):
-        since = mark - F.make_dt_interval(F.lit(late))
+        start = mark - F.make_dt_interval(F.lit(late))
     else:
-        since = mark - F.lit(late) if late else mark
-    return df.filter(F.col(column) >= since)
+        start = mark - F.lit(late) if late else mark
+    return F.col(column) >= start

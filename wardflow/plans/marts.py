@@ -219,25 +219,33 @@ def fct_revenue(
         "patient_id", "facility_id", F.col("age").alias("patient_age"), F.col("gender").alias("patient_gender")
     )
 
-    def build(claims: DataFrame) -> DataFrame:
-        served = F.col("service_date")
+    kept = [
+        "claim_id", "patient_id", "encounter_id", "payer_name", "claim_type", "claim_status", "service_date",
+        "total_charges", "total_paid", "total_denied", "outstanding_amount", "payment_ratio", "days_to_submit",
+        "days_to_payment", "is_denied", "line_item_count", "facility_id", "patient_age", "patient_gender",
+    ]
+
+    def known(claims: DataFrame) -> DataFrame:
         # One patient may have a large part of all claims.
-        return join_facts(claims, people, ["patient_id"]).select(
-            surrogate_key(F.col("claim_id"), F.col("patient_id")).alias("revenue_key"),
-            "claim_id", "patient_id", "encounter_id", "payer_name", "claim_type", "claim_status", "service_date",
-            "total_charges", "total_paid", "total_denied", "outstanding_amount", "payment_ratio", "days_to_submit",
-            "days_to_payment", "is_denied", "line_item_count", "facility_id", "patient_age", "patient_gender",
+        key = surrogate_key(F.col("claim_id"), F.col("patient_id")).alias("revenue_key")
+        return join_facts(claims, people, ["patient_id"]).select(key, *kept)
+
+    def dated(rows: DataFrame) -> DataFrame:
+        served = F.col("service_date")
+        return rows.select(
+            "revenue_key", *kept,
             fiscal_quarter(served, params.fiscal_start_month).alias("fiscal_quarter"),
             floor_month(served).alias("service_month"),
             params.now().alias("_last_updated"),
         )
 
     if table is None:
-        return build(stg_claims)
+        return dated(known(stg_claims))
     order = [desc("service_date"), asc("facility_id"), asc("total_charges")]
 
     def one_per_key(claims: DataFrame) -> DataFrame:
-        return latest_by(build(claims), table.keys, order)
+        # Rows are dealt out by key before columns are added that follow from others.
+        return dated(latest_by(known(claims), table.keys, order))
 
     return merge_aggregate(table, stg_claims, "_ingested_at", ["claim_id", "patient_id"], one_per_key, params.late_days)
 

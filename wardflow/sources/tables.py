@@ -194,14 +194,16 @@ class KeyedTable:
         if manifest is None:
             self._commit(new, 1, {}, mark, new.schema)
             return new.select(*self.keys).distinct().count()
-        named = new.select(*self.keys)
-        if touched is not None:
-            named = named.unionByName(touched.select(*self.keys))
-        named = settle(named.distinct())
-        own = self._scan(manifest, self._buckets_of(named)).select(*self.keys, DIGEST)
-        before = self._groups(own.join(named, same_keys(own, named, self.keys), "left_semi"), "before")
         after = self._groups(new, "after")
-        both = before.join(after, same_keys(before, after, self.keys), "full_outer").filter(~F.col("before").eqNullSafe(F.col("after")))
+        if touched is None:
+            # Only keys of the updates can change: they are looked up, and no list of them is made.
+            own = self._scan(manifest, self._buckets_of(new)).select(*self.keys, DIGEST)
+            before, how = self._groups(own, "before"), "right"
+        else:
+            named = settle(new.select(*self.keys).unionByName(touched.select(*self.keys)).distinct())
+            own = self._scan(manifest, self._buckets_of(named)).select(*self.keys, DIGEST)
+            before, how = self._groups(own.join(named, same_keys(own, named, self.keys), "left_semi"), "before"), "full_outer"
+        both = before.join(after, same_keys(before, after, self.keys), how).filter(~F.col("before").eqNullSafe(F.col("after")))
         changed = settle(both.select(*[F.coalesce(before[k], after[k]).alias(k) for k in self.keys]))
         sizes = {r["b"]: r["n"] for r in changed.groupBy(self._bucket().alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()}
         buckets = sorted(sizes)
@@ -219,7 +221,7 @@ class KeyedTable:
     def _commit(self, rows: DataFrame, version: int, holds: dict[int, int], watermark: str | None, schema: StructType) -> None:
         # Files by bucket, large buckets cut into several: that is for the adaptive plan to balance.
         dealt = rows.withColumn(BUCKET, self._bucket()).hint("rebalance", BUCKET)
-        dealt.write.mode("overwrite").partitionBy(BUCKET).parquet(self._rows(version))
+        dealt.write.mode("overwrite").option("compression", "zstd").partitionBy(BUCKET).parquet(self._rows(version))
         written = [int(name.split("=")[1]) for name in _folders(self.spark, self._rows(version)) if name.startswith(f"{BUCKET}=")]
         held = {"schema": schema.jsonValue(), "buckets": self.buckets, "watermark": watermark}
         self._write_manifest(version, held | {"holds": holds | dict.fromkeys(written, version)})
