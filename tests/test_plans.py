@@ -53,3 +53,7 @@ def test_pairs_of_rules_are_counted_without_a_join_of_rows(spark):
     from wardflow.bindings.operator_queries import QUERIES
 
     assert plan_of(QUERIES["pair_rules"](spark, DATA)).count("Join") <= 1  # only part, to name the items
+
+
+def test_events_are_parsed_before_they_are_counted_and_dealt_out(spark):
+    assert "from_json" not in plan_of(everything()["int_event_response_analysis"](spark, DATA))

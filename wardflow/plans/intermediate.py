@@ -308,6 +308,8 @@ def int_event_response_analysis(stg_facility_events: DataFrame, params: Params)
         key, "facility_id", "event_type", at, "severity", "is_resolved", "resolution_minutes", "wing", "floor_number",
         "room_number", "patient_id", "staff_id",
     )
+    # Counted, sampled for ranges and dealt out: documents are parsed once for that.
+    events = settle(events)
     order = [asc(at), asc(key)]
     sizes = sizes_within(events, ["facility_id"])
     floor = ordered_window(
