@@ -119,3 +119,15 @@ def test_members_of_lists_are_dealt_out_before_they_are_gathered(spark, readings
     assert [r.id for r in hot] == list(want.id)
     whole = A.ordered_list(readings.limit(9), [], ["id"], F.col("id"), "l").first().l
     assert whole == sorted(whole) and len(whole) == 9
+
+
+def test_members_of_lists_are_dealt_out_to_more_tasks_the_more_there_are(spark, readings, monkeypatch):
+    """Neither the session's number of partitions nor compressed bytes set how many members a task gathers."""
+    below = A.ordered_list(readings, ["key"], ["v", "id"], None, "l").collect()
+    monkeypatch.setattr(A, "DEALT_ROWS", 100)
+    lists = A.ordered_list(readings, ["key"], ["v", "id"], None, "l")
+    assert lists.rdd.getNumPartitions() == 30
+    assert sorted(map(str, lists.collect())) == sorted(map(str, below))
+    # What is joined to the lists by their key comes to them: they are not shuffled again.
+    joined = readings.withColumnRenamed("key", "k").hint("merge").join(lists, F.col("k") == F.col("key"), "left")
+    assert joined._jdf.queryExecution().executedPlan().toString().count("Exchange") == 2

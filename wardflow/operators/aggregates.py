@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -143,6 +144,18 @@ def joined_set(column: Column | str, separator: str) -> Column:
 #: Members that one task sorts as objects; a longer list is put together from sorted pieces of so many members.
 LIST_ROWS = 200_000
 PIECE_ROWS = 10_000
+#: Members that one task gathers into whole lists: few enough to be sorted and joined further on without spilling.
+DEALT_ROWS = 250_000
+
+
+def _dealt(df: DataFrame, keys: list[str], rows: int) -> DataFrame:
+    """Shuffled by key, to more tasks the more rows there are.
+
+    The adaptive plan goes by compressed bytes, and a session's number of partitions is fixed: either lets the
+    rows of one task outgrow its memory.
+    """
+    by, parts = [F.col(k) for k in keys], math.ceil(rows / DEALT_ROWS)
+    return df.repartition(parts, *by) if parts > df.sparkSession.sparkContext.defaultParallelism else df.repartition(*by)
 
 
 def ordered_list(
@@ -163,7 +176,7 @@ def ordered_list(
         packed = df.select(*keys, F.struct(*carried, *([] if item is None else [item.alias("item")])).alias("__e"))
         # Lists are no smaller than their members: gathered before the shuffle, each map task would sort its
         # whole input by key. Dealt out by key first, a task sorts one partition. NULL marks are added there.
-        dealt = packed.repartition(*[F.col(k) for k in keys]) if keys else packed
+        dealt = _dealt(packed, keys, sizes.rows) if keys else packed
         lists = dealt.groupBy(*keys).agg(F.collect_list("__e").alias("__l"))
 
         def sortable(e: Column) -> Column:
