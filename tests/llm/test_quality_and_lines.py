@@ -161,3 +161,29 @@ def test_line_dedup_of_awkward_rows(spark):
     assert len(same) == 2 and all(r["n_removed"] == 0 for r in same)
     assert all(r["text"] is not None for r in rows)
     assert line_dedup.dedup_lines(docs.limit(0)).count() == 0
+
+
+def test_line_dedup_of_odd_white_space(spark):
+    words = "a b\u00a0c d\u2028e \U0001f600\U0001f600 f \x01 \x1c g.* h\\i \u0085 j k l m n o p q r s t".split(" ")
+    seps = [" ", "  ", "\t", " \x0b", "\x0c\r ", "\r"]
+    rows = [(i, f"{'  '[: i % 3]}{sep.join(words[: 4 + n])}{sep * (i % 2)}") for i, (n, sep) in enumerate((n, sep) for n in (0, 1, 3, 14) for sep in seps)]
+    rows += [(90, "\n".join(" ".join(words[k : k + n]) for k in range(9) for n in (1, 4, 5, 6, 11))), (91, " \n\t\n\r\n"), (92, "z " * 3000 + "y")]
+    got = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(documents(spark, rows)).collect()}
+    assert got == {k[0]: v for k, v in line_brute_force(rows).items()}
+
+
+def test_tokens_are_the_distinct_shingles(spark):
+    lines = ["", " \t", "a", " a  b ", "a b c d", "a b c d e", "a b c d e f", "x x x x x x x", "\ta b c d e\ra b c d e f \x0c", "é 😀 ü \u2028 \x85 v w"]
+    sets = line_dedup.line_sets(documents(spark, list(enumerate(lines)))).collect()
+    for r in sets:
+        words = WORD.findall(lines[r["doc_id"]])
+        want = {tuple(words[i : i + 5]) for i in range(max(min(len(words), 1), len(words) - 4))}
+        assert len(r["tokens"]) == len(set(r["tokens"])) == len(want)
+    assert len({(r["h1"], r["h2"]) for r in sets}) == len({" ".join(WORD.findall(x)) for x in lines})
+
+
+def test_sets_are_grouped_by_their_prefixes_alone(spark, near_lines):
+    lines = line_dedup.line_sets(documents(spark, near_lines))
+    plan = line_dedup.distinct_sets(lines, 0.8)._jdf.queryExecution().optimizedPlan().toString()
+    grouped = next(x for x in plan.splitlines() if "Aggregate" in x)
+    assert "first(prefix#" in grouped and "sort_array" not in grouped

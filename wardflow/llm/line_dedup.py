@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardflow.llm.common import Scratch, join_by_key, let, words_of
+from wardflow.llm.common import SPACE, Scratch, join_by_key, let
 from wardflow.session import settle
 
 SHINGLE = 5
@@ -19,15 +19,28 @@ BROADCAST_ROWS = 1_000_000
 #: Sets of one token in one unit of comparison; a token of more sets is split into several units.
 UNIT_ROWS = 500
 
+#: Dictionaries do not shorten hashes.
+HASHES = {"parquet.enable.dictionary": "false"}
+
 LINE = ["doc_id", "version", "pos"]
 
 
-def _tokens(words: Column, size: int) -> Column:
-    """Distinct 32-bit hashes of `size` words in a row; a shorter line is one shingle."""
-    steps = [words, *[F.slice(words, k, F.size(words)) for k in range(2, size + 1)]]
-    count = F.greatest(F.size(words) - (size - 1), F.least(F.size(words), F.lit(1)))
-    shingles = F.slice(F.arrays_zip(*steps), F.lit(1), count)
-    return F.array_distinct(F.transform(shingles, lambda s: F.shiftright(F.xxhash64(s), 32).cast("int")))
+def _plain(line: Column) -> Column:
+    """The words of a line with one blank between them."""
+    line = F.coalesce(line, F.lit(""))
+    outer = F.startswith(line, F.lit(" ")) | F.endswith(line, F.lit(" "))
+    odd = outer | F.contains(line, F.lit("  ")) | line.rlike(r"[\x09-\x0D]")
+    return F.when(odd, F.trim(F.regexp_replace(line, SPACE, " "))).otherwise(line)
+
+
+def _tokens(plain: Column, size: int) -> Column:
+    """Distinct 32-bit hashes of `size` words in a row; a shorter line is one shingle.
+
+    A match is looked up ahead and steps over one word, so that matches overlap.
+    """
+    word = "[^ ]+"
+    found = F.regexp_extract_all(plain, F.lit(rf"\G(?=({' '.join([word] * size)}|^[\s\S]+)){word} ?"), F.lit(1))
+    return F.array_distinct(F.transform(found, lambda s: F.shiftright(F.xxhash64(s), 32).cast("int")))
 
 
 def line_sets(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
@@ -39,67 +52,76 @@ def line_sets(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
         "doc_id",
         F.xxhash64("text").alias("version"),
         F.posexplode_outer(F.split(F.coalesce("text", F.lit("")), "\n")).alias("pos", "line"),
-    )
-    made = let(
-        words_of(F.col("line")),
-        lambda w: F.struct(
-            _tokens(w, shingle).alias("tokens"), F.xxhash64(w).alias("h1"), F.xxhash64(F.lit(1), w).alias("h2")
-        ),
-    )
-    return lines.select(*LINE, made.alias("set")).select(*LINE, "set.*")
+    ).select(*LINE, _plain(F.col("line")).alias("plain"))
+    names = [F.xxhash64("plain").alias("h1"), F.xxhash64(F.lit(1), "plain").alias("h2")]
+    return lines.select(*LINE, _tokens(F.col("plain"), shingle).alias("tokens"), *names)
 
 
 def _levels(lines: DataFrame) -> Column:
     """Literal array: for each token bucket, the logarithm of how many tokens of all lines fall into it."""
     tokens = lines.select(F.explode("tokens").alias("t"))
-    counts = tokens.groupBy(F.pmod("t", F.lit(BUCKETS)).alias("b")).count()
+    counts = tokens.groupBy(_bucket(F.col("t")).alias("b")).count()
     level = ["0"] * BUCKETS
     for row in counts.collect():  # one row per bucket
         level[row["b"]] = str(int(math.log2(row["count"] + 1)))
     return F.split(F.lit(",".join(level)), ",").cast("array<bigint>")
 
 
+def _bucket(token: Column) -> Column:
+    return token.bitwiseAND(F.lit(BUCKETS - 1))
+
+
 def _ceil(x: Column) -> Column:
     """Rounded up; whole numbers that floating point overshoots by a hair stay as they are."""
     return F.ceil(x - 1e-9).cast("int")
 
 
-def _prefix(tokens: Column, levels: Column, similarity: float) -> Column:
-    """First tokens in the order of rarity; two similar sets share one of theirs."""
-    ordered = F.sort_array(
+def _ordered(tokens: Column, levels: Column) -> Column:
+    """Tokens in the order of rarity, each with its level above its 32 bits; never NULL, so that they sort as numbers."""
+    return F.sort_array(
         F.transform(
             tokens,
-            lambda t: F.shiftleft(F.get(levels, F.pmod(t, F.lit(BUCKETS))), 32) + t.cast("bigint") + F.lit(1 << 31),
+            lambda t: F.coalesce(
+                F.shiftleft(F.get(levels, _bucket(t)), 32) + t.cast("bigint"), F.lit(0).cast("bigint")
+            ),
         )
     )
-    size = F.size(tokens)
+
+
+def _prefix(ordered: Column, similarity: float) -> Column:
+    """First tokens in the order of rarity; two similar sets share one of theirs."""
+    size = F.size(ordered)
     first = F.slice(ordered, F.lit(1), size - _ceil(F.lit(similarity) * size) + 1)
-    return F.transform(first, lambda x: (x.bitwiseAND(F.lit((1 << 32) - 1)) - F.lit(1 << 31)).cast("int"))
+    return F.transform(first, lambda x: F.shiftright(F.shiftleft(x, 32), 32).cast("int"))
 
 
 def _bitmap(tokens: Column) -> Column:
-    """Which of 64 classes of tokens a set holds."""
+    """Which of 64 classes of tokens a set holds; a shift by n is one by n modulo 64."""
     one = F.lit(1).cast("bigint")
     return F.aggregate(
         tokens,
         F.lit(0).cast("bigint"),
-        lambda bits, t: bits.bitwiseOR(F.call_function("shiftleft", one, F.shiftright(t, 16).bitwiseAND(F.lit(63)))),
+        lambda bits, t: bits.bitwiseOR(F.call_function("shiftleft", one, F.shiftright(t, 16))),
     )
 
 
 def distinct_sets(lines: DataFrame, similarity: float) -> DataFrame:
     """One row per distinct line: first (its earliest place), m (the size of its set), the set's prefix and bitmap."""
-    tokens = F.col("tokens")
-    named = lines.filter(F.size("tokens") > 0).select(
+    # `ordered` is read three times, so Spark computes it in a step of its own, where its sort is compiled.
+    ordered = lines.filter(F.size("tokens") > 0).select(
+        "h1", "h2", F.struct(*LINE).alias("line"), "tokens", _ordered(F.col("tokens"), _levels(lines)).alias("ordered")
+    )
+    named = ordered.select(
         "h1",
         "h2",
-        F.struct(*LINE).alias("line"),
-        F.size("tokens").alias("m"),
-        _bitmap(tokens).alias("bits"),
-        _prefix(tokens, _levels(lines), similarity).alias("prefix"),
+        "line",
+        F.size("ordered").alias("m"),
+        _bitmap(F.col("tokens")).alias("bits"),
+        _prefix(F.col("ordered"), similarity).alias("prefix"),
     )
     same = [F.first(c).alias(c) for c in ("m", "bits", "prefix")]
-    sets = named.groupBy("h1", "h2").agg(F.min("line").alias("first"), *same)
+    # Sorted here, the rows go through the sort with their prefix instead of all tokens.
+    sets = named.sortWithinPartitions("h1", "h2").groupBy("h1", "h2").agg(F.min("line").alias("first"), *same)
     return sets.drop("h1", "h2").withColumn("id", F.monotonically_increasing_id())
 
 
@@ -148,12 +170,9 @@ def later_matches(lines: DataFrame, sets: DataFrame, similarity: float, scratch:
     settle = scratch.settle
     places = sets.select("id", F.posexplode("prefix").alias("i", "token"))
     counts = settle(places.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
-    # Tokens of one set only, by far the most, need no comparison.
-    if counts.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        shared = places.join(F.broadcast(counts), "token")
-    else:
-        flagged = counts.withColumn("size", F.col("n"))
-        shared = join_by_key(places, flagged, "token", "n").filter("size IS NOT NULL").withColumnRenamed("size", "n")
+    # Tokens of one set only, by far the most, need no comparison. The way is the same at every size, and so is its growth.
+    flagged = counts.withColumn("size", F.col("n"))
+    shared = join_by_key(places, flagged, "token", "n").filter("size IS NOT NULL").withColumnRenamed("size", "n")
     whole = F.struct("first", "id", "m", "i", "bits").alias("a")
     postings = settle(settle(shared).join(sets.drop("prefix"), "id").select("token", "n", whole))
 
@@ -203,7 +222,7 @@ def dedup_lines(
     An empty table gives an empty result. Columns of `docs` stay; n_lines and n_removed are replaced.
     """
     scratch = Scratch(docs.sparkSession)
-    lines = scratch.settle(line_sets(docs.select("doc_id", F.col(text).alias("text")), shingle))
+    lines = scratch.settle(line_sets(docs.select("doc_id", F.col(text).alias("text")), shingle), HASHES)
     sets = scratch.settle(distinct_sets(lines, similarity))
     gone = later_matches(lines, sets, similarity, scratch)
     firsts = sets.join(gone, "id", "left_anti").select("first.*")
