@@ -120,7 +120,7 @@ def distinct_sets(lines: DataFrame, similarity: float) -> DataFrame:
         _prefix(F.col("ordered"), similarity).alias("prefix"),
     )
     same = [F.first(c).alias(c) for c in ("m", "bits", "prefix")]
-    # Sorted here, the rows go through the sort with their prefix instead of all tokens.
+    # Grouping needs this order anyway; stated here, the rows carry their prefix through it whatever the optimizer merges.
     sets = named.sortWithinPartitions("h1", "h2").groupBy("h1", "h2").agg(F.min("line").alias("first"), *same)
     return sets.drop("h1", "h2").withColumn("id", F.monotonically_increasing_id())
 
