@@ -2,12 +2,13 @@
 
 import random
 import re
+import time
 from collections import Counter
 
 import pytest
 
 from tests.llm.helpers import awkward, documents
-from wardflow.llm import line_dedup, weak_quality
+from wardflow.llm import common, line_dedup, weak_quality
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -187,3 +188,65 @@ def test_sets_are_grouped_by_their_prefixes_alone(spark, near_lines):
     plan = line_dedup.distinct_sets(lines, 0.8)._jdf.queryExecution().optimizedPlan().toString()
     grouped = next(x for x in plan.splitlines() if "Aggregate" in x)
     assert "first(prefix#" in grouped and "sort_array" not in grouped
+
+
+def shuffle_files(spark):
+    found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {n for n in (found.apply(k).getName() for k in range(found.size())) if n.startswith("shuffle_")}
+
+
+def test_line_dedup_leaves_no_shuffled_files(spark, near_lines):
+    before, own = shuffle_files(spark), spark.conf.get(common.SHUFFLE_CLEANUP, None)
+    result = line_dedup.dedup_lines(documents(spark, near_lines))
+    until = time.time() + 10
+    while (left := shuffle_files(spark) - before) and time.time() < until:
+        time.sleep(0.2)  # executors remove them on their own time
+    assert not left
+    assert spark.conf.get(common.SHUFFLE_CLEANUP, None) == own
+    assert result.count() == result.count() == len(near_lines)
+    with pytest.raises(ValueError), common.brief_shuffles(spark):
+        raise ValueError
+    assert spark.conf.get(common.SHUFFLE_CLEANUP, None) == own
+
+
+def test_tokens_of_two_sets_that_cannot_match_go(spark):
+    large = line_dedup.LARGEST
+    sets = [
+        (1, 10, 0, 7), (1, 100, 0, 7),  # sizes
+        (2, 10, 0, 7), (2, 10, 1, 7),
+        (3, 10, 0, 0), (3, 10, 0, 0x7FFFFFF0),  # bitmaps
+        (4, 100, 19, 7), (4, 100, 0, 7),  # places
+        (5, 10, 0, 7), (5, 100, 0, 7), (5, 1000, 0, 7),  # three sets
+        (6, 10, 0, -1), (6, 10, 0, -4),
+        (7, large + 5, 2000, 0), (7, 3 * large, 5000, -1),  # too large to tell
+        (8, 10, 0, 7),
+        (9, 20_000, 1500, 7), (9, 20_000, 1500, 7),
+    ]
+    places = spark.createDataFrame(sets, "token int, m int, i int, bits bigint")
+    got = {r["token"]: r["n"] for r in line_dedup.shared_tokens(places, 0.8).collect()}
+    assert got == {2: 2, 5: 3, 6: 2, 7: 2, 9: 2}
+
+
+def test_lines_are_looked_up_by_place(spark):
+    rows = [(None if d == 0 else d, d % 3, p) for d in range(300) for p in range(10)]
+    lines = spark.createDataFrame(rows, "doc_id bigint, version bigint, pos int")
+    wanted = {(None, 0, 4), (7, 1, 0), (7, 1, 9), (299, 2, 5)}
+    got = [tuple(r) for r in line_dedup._maybe_at(lines, lines.limit(0).union(spark.createDataFrame(list(wanted), lines.schema))).collect()]
+    assert wanted <= set(got) and len(got) < 20
+    assert line_dedup._maybe_at(lines, lines.limit(0)).count() == 0
+
+
+def test_line_dedup_of_long_lines(spark):
+    rng = random.Random(3)
+    rows, earlier = [], []
+    for i in range(80):
+        words = list(rng.choice(earlier)) if i % 3 == 2 else [f"v{rng.randrange(10**6)}" for _ in range(rng.randrange(120, 400))]
+        for _ in range(rng.randrange(9) if i % 3 == 2 else 0):
+            words[rng.randrange(len(words))] = f"new{i}"
+        start = rng.randrange(len(words) - 10)
+        words[start : start + 6] = "common shingles of many long lines".split()
+        earlier.append(words)
+        rows.append((i, " ".join(words)))
+    got = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(documents(spark, rows)).collect()}
+    want = {k[0]: v for k, v in line_brute_force(rows).items()}
+    assert got == want and 5 < sum(not t for t in got.values()) < 26

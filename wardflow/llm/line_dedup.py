@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardflow.llm.common import SPACE, Scratch, join_by_key, let
+from wardflow.llm.common import SPACE, Scratch, brief_shuffles, join_by_key, let
 from wardflow.session import settle
 
 SHINGLE = 5
@@ -18,6 +18,13 @@ BUCKETS = 1 << 16
 BROADCAST_ROWS = 1_000_000
 #: Sets of one token in one unit of comparison; a token of more sets is split into several units.
 UNIT_ROWS = 500
+#: Wanted lines are looked up in this many bits, in blocks of BLOCK_BITS, before lines are shuffled: 2 MB at every size.
+PLACE_BITS = 1 << 24
+BLOCK_BITS = 1 << 15
+#: Sets of as many tokens or more count as that large where sizes are packed.
+LARGEST = (1 << 21) - 1
+#: Pairs are compared by the tokens of one class in so many before all tokens travel.
+PARTS = 4
 
 #: Dictionaries do not shorten hashes.
 HASHES = {"parquet.enable.dictionary": "false"}
@@ -130,56 +137,100 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
 
 
-def _may_match(similarity: float) -> Column:
-    """Length, position and bitmap filters for postings a and b of one token.
+def _fits(low: Column, high: Column, rest: Column, apart: Column, similarity: float) -> Column:
+    """Length, position and bitmap filters for two sets of sizes `low` and `high` that share a token.
 
-    The token sits at places a.i and b.i of the order, so besides it at most the rest of either set is
-    shared. Each bit in which the bitmaps differ stands for a token that only one of the sets holds.
+    Besides the token at most `rest` more of either set, counted with it, are shared. Each of the `apart` bits in
+    which the bitmaps differ stands for a token that only one of the sets holds.
     """
-    sizes = F.col("a.m") + F.col("b.m")
-    need = _ceil(F.lit(similarity / (1 + similarity)) * sizes)
+    need = _ceil(F.lit(similarity / (1 + similarity)) * (low + high))
+    return (low >= F.lit(similarity) * high - 1e-9) & (rest >= need) & (apart <= low + high - 2 * need)
+
+
+def _may_match(similarity: float) -> Column:
+    """The filters for postings a and b of one token, which sits at places a.i and b.i of the order."""
     rest = F.least(F.col("a.m") - F.col("a.i"), F.col("b.m") - F.col("b.i"))
     apart = F.bit_count(F.col("a.bits").bitwiseXOR(F.col("b.bits")))
-    return (
-        (F.least("a.m", "b.m") >= F.lit(similarity) * F.greatest("a.m", "b.m") - 1e-9)
-        & (rest >= need)
-        & (apart <= sizes - 2 * need)
-    )
+    return _fits(F.least("a.m", "b.m"), F.greatest("a.m", "b.m"), rest, apart, similarity)
+
+
+def shared_tokens(places: DataFrame, similarity: float) -> DataFrame:
+    """Tokens that several sets have in their prefix, and how many (n).
+
+    Of tokens of two sets, by far the most of them, those go whose sets can't match. Size, place and half the bitmap
+    of a set travel as one number, so that the least and the greatest of a token are those of its two sets.
+    """
+    size, place = F.least("m", F.lit(LARGEST)).cast("bigint"), F.least("i", F.lit(1023)).cast("bigint")
+    half = F.col("bits").bitwiseAND(F.lit((1 << 32) - 1))
+    packed = places.select("token", (F.shiftleft(size, 42) + F.shiftleft(place, 32) + half).alias("set"))
+    counts = packed.groupBy("token").agg(F.count("set").alias("n"), F.min("set").alias("a"), F.max("set").alias("b"))
+    low, high = (F.shiftright(x, 42) for x in "ab")
+    rest = F.least(*[F.shiftright(x, 42) - F.shiftright(x, 32).bitwiseAND(F.lit(1023)) for x in "ab"])
+    apart = F.bit_count(F.col("a").bitwiseXOR(F.col("b")).bitwiseAND(F.lit((1 << 32) - 1)))
+    pair = (high == LARGEST) | _fits(low, high, rest, apart, similarity)
+    return counts.filter((F.col("n") > 2) | ((F.col("n") == 2) & pair)).select("token", "n")
+
+
+def _maybe_at(lines: DataFrame, wanted: DataFrame) -> DataFrame:
+    """`lines` without most that stand at no place of `wanted`: places are looked up in a bitmap of a fixed size."""
+    name = F.pmod(F.xxhash64(*LINE), F.lit(PLACE_BITS))
+    bit = name.bitwiseAND(F.lit(BLOCK_BITS - 1))
+    block = F.floor(name / BLOCK_BITS).cast("int")
+    blocks = wanted.groupBy(block.alias("__block")).agg(F.bitmap_construct_agg(bit).alias("__bitmap"))
+    looked = lines.withColumn("__bit", bit).join(F.broadcast(blocks), block == F.col("__block"))
+    byte = F.conv(F.hex(F.substring("__bitmap", F.shiftright("__bit", 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    held = F.getbit(byte, F.col("__bit").bitwiseAND(F.lit(7)).cast("int")) == 1
+    return looked.filter(held).drop("__bit", "__block", "__bitmap")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, lines: DataFrame, similarity: float, scratch: Scratch) -> DataFrame:
-    """Ids x of the pairs (x, y) of sets that have the similarity."""
-    pairs = scratch.settle(pairs.distinct())
+    """Ids x of the settled distinct pairs (x, y) of sets that have the similarity."""
+    brief = Scratch(lines.sparkSession)
     ids = pairs.select(F.col("x").alias("id")).union(pairs.select("y")).distinct()
-    wanted = scratch.settle(ids.join(sets, "id").select("id", *[F.col(f"first.{c}").alias(c) for c in LINE]))
-    near = _small(wanted)
-    same = lines["doc_id"].eqNullSafe(near["doc_id"]) & (lines["version"] == near["version"])
-    tokens = lines.join(near, same & (lines["pos"] == near["pos"])).select("id", "tokens")
+    wanted = brief.settle(ids.join(sets, "id").select("id", *[F.col(f"first.{c}").alias(c) for c in LINE]))
+    maybe = _maybe_at(lines.select(*LINE, "tokens"), wanted)
+    same = maybe["doc_id"].eqNullSafe(wanted["doc_id"]) & (maybe["version"] == wanted["version"])
+    tokens = maybe.join(wanted, same & (maybe["pos"] == wanted["pos"])).select("id", "tokens")
     # A row of the table that is repeated has its lines repeated.
-    tokens = scratch.settle(tokens.dropDuplicates(["id"]))
-    x = tokens.select(F.col("id").alias("x"), F.col("tokens").alias("tx"))
-    y = tokens.select(F.col("id").alias("y"), F.col("tokens").alias("ty"))
+    part = F.filter("tokens", lambda t: t.bitwiseAND(F.lit(PARTS - 1)) == 0)
+    tokens = brief.settle(tokens.dropDuplicates(["id"]).withColumn("m", F.size("tokens")).withColumn("part", part), HASHES)
+
+    def joined(pairs: DataFrame, kept: str) -> DataFrame:
+        x = tokens.select(F.col("id").alias("x"), F.col("m").alias("mx"), F.col(kept).alias("tx"))
+        y = tokens.select(F.col("id").alias("y"), F.col("m").alias("my"), F.col(kept).alias("ty"))
+        return pairs.join(x, "x").join(y, "y")
+
+    # Similar sets differ in few tokens, so in no more of any class; most pairs differ in more of one class already.
+    apart = F.size("tx") + F.size("ty") - 2 * F.size(F.array_intersect("tx", "ty"))
+    sizes = F.col("mx") + F.col("my")
+    most = sizes - 2 * _ceil(F.lit(similarity / (1 + similarity)) * sizes)
+    near = brief.settle(joined(pairs, "part").filter(apart <= most).select("x", "y"))
     shared = F.size(F.array_intersect("tx", "ty"))
-    both = F.size("tx") + F.size("ty") - shared
-    found = pairs.join(x, "x").join(y, "y").filter(shared >= F.lit(similarity) * both - 1e-9)
-    return scratch.settle(found.select(F.col("x").alias("id")).distinct())
+    found = joined(near, "tokens").filter(shared >= F.lit(similarity) * (sizes - shared) - 1e-9)
+    ids = scratch.settle(found.select(F.col("x").alias("id")).distinct())
+    brief.clear()
+    return ids
 
 
 def later_matches(lines: DataFrame, sets: DataFrame, similarity: float, scratch: Scratch) -> DataFrame:
     """Ids of the settled `sets` that are similar to one which occurs earlier."""
-    settle = scratch.settle
-    places = sets.select("id", F.posexplode("prefix").alias("i", "token"))
-    counts = settle(places.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
+    first, second = Scratch(lines.sparkSession), Scratch(lines.sparkSession)
+    places = sets.select("id", "m", "bits", F.posexplode("prefix").alias("i", "token"))
+    counts = first.settle(shared_tokens(places, similarity))
     # Tokens of one set only, by far the most, need no comparison. The way is the same at every size, and so is its growth.
     flagged = counts.withColumn("size", F.col("n"))
-    shared = join_by_key(places, flagged, "token", "n").filter("size IS NOT NULL").withColumnRenamed("size", "n")
+    shared = join_by_key(places.drop("m", "bits"), flagged, "token", "n").filter("size IS NOT NULL")
+    shared = first.settle(shared.withColumnRenamed("size", "n"))
     whole = F.struct("first", "id", "m", "i", "bits").alias("a")
-    postings = settle(settle(shared).join(sets.drop("prefix"), "id").select("token", "n", whole))
+    postings = second.settle(shared.join(sets.drop("prefix"), "id").select("token", "n", whole))
+    first.clear()
 
     # Near copies mostly match the earliest set that has a token in common; those need no other partner.
-    heads = settle(postings.groupBy("token").agg(F.min("a").alias("b"), F.count(F.lit(1)).alias("k")))
+    heads = first.settle(postings.groupBy("token").agg(F.min("a").alias("b"), F.count(F.lit(1)).alias("k")))
     to_head = join_by_key(postings.drop("n"), heads, "token", "k").filter("a.id <> b.id").filter(_may_match(similarity))
-    matched = _verified(to_head.select(F.col("a.id").alias("x"), F.col("b.id").alias("y")), sets, lines, similarity, scratch)
+    pairs = second.settle(to_head.select(F.col("a.id").alias("x"), F.col("b.id").alias("y")).distinct())
+    first.clear()
+    matched = _verified(pairs, sets, lines, similarity, scratch)
 
     # The others meet all earlier sets of their tokens, in units of bounded size.
     units = F.ceil(F.col("n") / UNIT_ROWS).cast("int")
@@ -187,7 +238,10 @@ def later_matches(lines: DataFrame, sets: DataFrame, similarity: float, scratch:
     left = postings.withColumn("id", F.col("a.id")).join(_small(matched), "id", "left_anti")
     probes = left.select("token", F.pmod(F.xxhash64("id"), units).cast("int").alias("unit"), "a")
     meet = probes.join(earlier, ["token", "unit"]).filter((F.col("b.first") < F.col("a.first")) & _may_match(similarity))
-    rest = _verified(meet.select(F.col("a.id").alias("x"), F.col("b.id").alias("y")), sets, lines, similarity, scratch)
+    pairs = first.settle(meet.select(F.col("a.id").alias("x"), F.col("b.id").alias("y")).distinct())
+    second.clear()
+    rest = _verified(pairs, sets, lines, similarity, scratch)
+    first.clear()
     return matched.union(rest)
 
 
@@ -222,12 +276,13 @@ def dedup_lines(
     An empty table gives an empty result. Columns of `docs` stay; n_lines and n_removed are replaced.
     """
     scratch = Scratch(docs.sparkSession)
-    lines = scratch.settle(line_sets(docs.select("doc_id", F.col(text).alias("text")), shingle), HASHES)
-    sets = scratch.settle(distinct_sets(lines, similarity))
-    gone = later_matches(lines, sets, similarity, scratch)
-    firsts = sets.join(gone, "id", "left_anti").select("first.*")
-    kept = firsts.groupBy("doc_id", "version").agg(F.sort_array(F.collect_list("pos")).alias("__kept"))
-    kept = settle(kept.select(F.col("doc_id").alias("__doc"), F.col("version").alias("__same"), "__kept"))
+    with brief_shuffles(docs.sparkSession):
+        lines = scratch.settle(line_sets(docs.select("doc_id", F.col(text).alias("text")), shingle), HASHES)
+        sets = scratch.settle(distinct_sets(lines, similarity))
+        gone = later_matches(lines, sets, similarity, scratch)
+        firsts = sets.join(gone, "id", "left_anti").select("first.*")
+        kept = firsts.groupBy("doc_id", "version").agg(F.sort_array(F.collect_list("pos")).alias("__kept"))
+        kept = settle(kept.select(F.col("doc_id").alias("__doc"), F.col("version").alias("__same"), "__kept"))
     scratch.clear()
     own = docs.drop("n_lines", "n_removed").withColumn("__version", F.xxhash64(text))
     joined = own.join(kept, own["doc_id"].eqNullSafe(kept["__doc"]) & (own["__version"] == kept["__same"]), "left")
